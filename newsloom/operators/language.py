@@ -135,24 +135,31 @@ def is_undetectable(text: Column, word_list: Column) -> Column:
 def detect_language(
     text: Column,
     word_list: Column,
-    detected: Column | None = None,
     words: Sequence[str] = tuple(fixed.MALAGASY_WORDS),
     min_ratio: float = fixed.MALAGASY_RATIO,
     default: str = "fr",
     listed: str = "mg",
-    other_label: str = "mg",
+    unlisted: str = "fr",
 ) -> Column:
-    """``fr`` or ``mg``: too little text, then the word list, then the detector.
+    """Too little text has the default language, enough listed words the listed one.
 
-    ``detected`` is the detector's answer: the default language is kept, any
-    other one is ``other_label``, and no answer gives the default.
+    ``unlisted`` stands for all other texts, whether it is the final answer or
+    a mark for the detector.
     """
-    ratio = malagasy_ratio(word_list, words)
-    answer = F.lit(default)
-    if detected is not None:
-        answer = F.when(F.coalesce(detected, F.lit(default)) == default, default).otherwise(other_label)
     return (
         F.when(is_undetectable(text, word_list), default)
-        .when(ratio >= min_ratio, listed)
-        .otherwise(answer)
+        .when(malagasy_ratio(word_list, words) >= min_ratio, listed)
+        .otherwise(unlisted)
     )
+
+
+def settled_language(
+    listed: Column, detected: Column, mark: str = "?", default: str = "fr", other_label: str = "mg"
+) -> Column:
+    """The detector's answer where the word list left the mark.
+
+    The default language is kept, any other one becomes ``other_label``, and no
+    answer gives the default.
+    """
+    answer = F.when(F.coalesce(detected, F.lit(default)) == default, default).otherwise(other_label)
+    return F.when(listed == mark, answer).otherwise(listed)

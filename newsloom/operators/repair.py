@@ -107,10 +107,14 @@ def coerce_timestamp(df: DataFrame, column: str, strict: bool = False) -> DataFr
 
 
 def categories_as_list(column: Column, kind: str) -> Column:
-    """A list as it is, a single value as a list of one, nothing as an empty list."""
+    """A list as it is but for nulls, a single value as a list of one, nothing as an empty list."""
+    empty = F.array().cast("array<string>")
     if kind.startswith("array"):
-        return F.coalesce(F.filter(column, lambda c: c.isNotNull()), F.array().cast(kind))
-    return F.when(is_missing(column), F.array().cast("array<string>")).otherwise(F.array(column))
+        listed = F.coalesce(F.array_compact(column), empty)
+    else:
+        listed = F.when(is_missing(column), empty).otherwise(F.array(column))
+    # Spark then knows that no element is null.
+    return F.transform(listed, lambda c: F.coalesce(c, F.lit("")))
 
 
 def explode_categories(df: DataFrame, column: str = "categorie") -> DataFrame:

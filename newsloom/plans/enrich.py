@@ -16,7 +16,10 @@ from newsloom.operators import categories as C
 from newsloom.operators import language as G
 from newsloom.operators import sentiment as S
 from newsloom.operators.origin import origin_of
-from newsloom.operators.quality import quality_gate
+from newsloom.operators.quality import passes_gate, quality_gate
+
+
+ADDED = ("langue", "sentiment_score", "sentiment", "categorie", "origin")
 
 
 def enrich_articles(
@@ -42,36 +45,36 @@ def enrich_articles(
     worked = with_once(normal, {"_words": T.words(F.col("_norm"))})
     text, norm, word_list = F.col("contenu"), F.col("_norm"), F.col("_words")
 
-    if detector is None:
-        language = G.detect_language(text, word_list, None, malagasy, min_ratio)
-        worked = worked.withColumn("langue", language)
-    else:
-        # Only texts the word list leaves open are sent to the detector.
-        first = G.detect_language(text, word_list, None, malagasy, min_ratio, default="?")
-        settled = G.is_undetectable(text, word_list)
-        worked = with_once(worked, {"_first": F.when(settled, "fr").otherwise(first)})
-        opened = F.when(F.col("_first") == "?", norm)
-        answer = F.coalesce(detector(opened), F.lit("fr"))
-        worked = worked.withColumn("_answer", answer)
-        worked = worked.withColumn(
-            "langue",
-            F.when(F.col("_first") != "?", F.col("_first"))
-            .when(F.col("_answer") == "fr", "fr")
-            .otherwise("mg"),
-        )
+    # Texts the word list leaves open are marked '?'; only they go to the detector.
+    listed = G.detect_language(text, word_list, words=malagasy, min_ratio=min_ratio, unlisted="?")
+    worked = with_once(worked, {"_listed": listed})
+    answer = F.lit(None).cast("string")
+    if detector is not None:
+        answer = detector(F.when(F.col("_listed") == "?", norm))
+    worked = worked.withColumn("_answer", answer)
+    worked = worked.withColumn("langue", G.settled_language(F.col("_listed"), F.col("_answer")))
 
     french = F.lit(0.0)
     if sentiment_model is not None:
         worked = S.model_sentiment(worked, sentiment_model, "contenu")
         french = F.col("model_score")
-    score = S.score_by_language(
-        F.col("langue"), french, S.lexicon_score(word_list, positive, negative)
+    malagasy_score = S.lexicon_score(word_list, positive, negative)
+    score = S.score_by_language(F.col("langue"), french, malagasy_score)
+    worked = with_once(worked, {"sentiment_score": score, "categorie": C.categorize(norm, phrases)})
+    worked = worked.withColumns(
+        {
+            "sentiment": S.sentiment_label(F.col("sentiment_score")),
+            "origin": origin_of(F.col("source"), origins),
+        }
     )
-    worked = worked.withColumn("sentiment_score", score)
-    added = {
-        "sentiment": S.sentiment_label(F.col("sentiment_score")),
-        "categorie": C.categorize(norm, phrases),
-        "origin": origin_of(F.col("source"), origins),
-    }
-    kept = [c for c in df.columns if c not in ("langue", "sentiment_score", *added)]
-    return worked.withColumns(added).select(*kept, "langue", "sentiment_score", *added)
+    return worked.select(*[c for c in df.columns if c not in ADDED], *ADDED)
+
+
+def reenrich(df: DataFrame, **enrichment) -> DataFrame:
+    """Recompute a whole table; rows that fail the gate stay as they are.
+
+    Both parts are row by row; the table is scanned once for each.
+    """
+    valid = passes_gate(F.col("titre"), F.col("contenu"))
+    done = enrich_articles(df.where(valid), **enrichment)
+    return done.unionByName(df.where(~valid), allowMissingColumns=True)

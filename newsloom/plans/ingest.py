@@ -39,12 +39,3 @@ def ingest(
 ) -> None:
     """Enrich the new articles of a batch and append them to the table at ``path``."""
     write_table(enrich_articles(new_articles(batch, known, *order), **enrichment), path, "append", by)
-
-
-def reenrich(df: DataFrame, **enrichment) -> DataFrame:
-    """Recompute the whole table in one pass; rows that fail the gate stay as they are."""
-    from newsloom.operators.quality import passes_gate
-
-    valid = passes_gate(F.col("titre"), F.col("contenu"))
-    done = enrich_articles(df.where(valid), **enrichment)
-    return done.unionByName(df.where(~valid), allowMissingColumns=True)

@@ -53,7 +53,9 @@ def append_new(
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Text columns as CSV with a header, quotes doubled."""
-    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("errorifexists").options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:
