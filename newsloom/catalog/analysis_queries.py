@@ -9,6 +9,7 @@ from newsloom.catalog.registry import Tables, query
 from newsloom.catalog.quality_queries import VALID, stripped
 from newsloom.catalog.text_queries import collapsed, normal, plain
 from newsloom.functions import text as T
+from newsloom.functions.staging import with_once
 from newsloom.operators import categories as C
 from newsloom.operators import language as G
 from newsloom.operators import lexicon as L
@@ -52,10 +53,13 @@ _WORDS = f"""
 """
 
 
+def normalized_of(tables: Tables) -> DataFrame:
+    words = T.normalize_text(F.col("text"))
+    return with_once(tables.texts("documents").select("doc_id", "text"), {"words": words})
+
+
 def words_of(tables: Tables) -> DataFrame:
-    return tables.table("documents").select(
-        "doc_id", "text", T.words(T.normalize_text(F.col("text"))).alias("ws")
-    )
+    return with_once(normalized_of(tables), {"ws": T.words(F.col("words"))}).drop("words")
 
 
 @query(
@@ -87,23 +91,21 @@ def _hits(phrases, name: str) -> str:
 
 @query(f"{_hits(None, 'default')} UNION ALL {_hits(PHRASES, 'corpus')}")
 def keyword_hits(tables: Tables) -> DataFrame:
-    normalized = tables.table("documents").select(
-        "doc_id", T.normalize_text(F.col("text")).alias("words")
-    )
-
-    def hits(phrases, name: str) -> DataFrame:
-        table = L.phrase_table(phrases)
-        scores = T.let(
-            L.phrases_found(F.col("words"), table), lambda found: L.phrase_scores(found, table)
-        )
-        rows = normalized.select(
-            "doc_id",
-            F.lit(name).alias("phrases"),
-            F.inline(F.filter(scores, lambda s: s["hits"] > 0)),
+    names = {"default": L.phrase_table(), "corpus": L.phrase_table(PHRASES)}
+    found = normalized_of(tables)
+    for name, table in names.items():
+        found = found.withColumn(name, L.phrases_found(F.col("words"), table))
+
+    def rows(name: str):
+        scores = F.filter(L.phrase_scores(F.col(name), names[name]), lambda s: s["hits"] > 0)
+        return F.transform(
+            scores,
+            lambda s: F.struct(
+                F.lit(name).alias("phrases"), s["categorie"].alias("categorie"), s["hits"].cast("long").alias("hits")
+            ),
         )
-        return rows.withColumn("hits", F.col("hits").cast("long"))
 
-    return hits(None, "default").union(hits(PHRASES, "corpus"))
+    return found.select("doc_id", F.inline(F.concat(rows("default"), rows("corpus"))))
 
 
 def _ranked(phrases) -> str:
@@ -158,15 +160,13 @@ def _categories(phrases) -> str:
     """
 )
 def categorize_keywords(tables: Tables) -> DataFrame:
-    normalized = tables.table("documents").select(
-        "doc_id", T.normalize_text(F.col("text")).alias("words")
+    words = normalized_of(tables)
+    named = words.select(
+        "doc_id",
+        F.array_join(C.categorize(F.col("words")), "|").alias("default"),
+        F.array_join(C.categorize(F.col("words"), PHRASES), "|").alias("corpus"),
     )
-
-    def named(phrases, name: str) -> DataFrame:
-        categories = F.array_join(C.categorize(F.col("words"), phrases), "|")
-        return normalized.select("doc_id", F.lit(name).alias("phrases"), categories.alias("categorie"))
-
-    return named(None, "default").union(named(PHRASES, "corpus"))
+    return named.unpivot(["doc_id"], ["default", "corpus"], "phrases", "categorie")
 
 
 @query(
@@ -181,13 +181,13 @@ def categorize_keywords(tables: Tables) -> DataFrame:
     """
 )
 def detect_language_dict(tables: Tables) -> DataFrame:
-    documents = words_of(tables)
-
-    def detected(words, name: str) -> DataFrame:
-        language = G.detect_language(F.col("text"), F.col("ws"), words=words)
-        return documents.select("doc_id", F.lit(name).alias("lists"), language.alias("langue"))
-
-    return detected(fixed.MALAGASY_WORDS, "default").union(detected(FREQUENT, "corpus"))
+    text, ws = F.col("text"), F.col("ws")
+    languages = words_of(tables).select(
+        "doc_id",
+        G.detect_language(text, ws).alias("default"),
+        G.detect_language(text, ws, words=FREQUENT).alias("corpus"),
+    )
+    return languages.unpivot(["doc_id"], ["default", "corpus"], "lists", "langue")
 
 
 # Trigrams of blank-padded words, counted per language, as scaled log probabilities.
@@ -207,7 +207,7 @@ _PROFILES = f"""
 
 @query(_PROFILES)
 def train_language_profiles(tables: Tables) -> DataFrame:
-    return G.train_language_profiles(tables.table("documents"), "text", "lang")
+    return G.train_language_profiles(tables.texts("documents"), "text", "lang")
 
 
 _DETECTED = f"""
@@ -223,7 +223,7 @@ _DETECTED = f"""
 
 @query(f"SELECT d.doc_id, x.detected FROM documents d LEFT JOIN ({_DETECTED}) x ON d.doc_id = x.doc_id")
 def detect_language_ngram(tables: Tables) -> DataFrame:
-    documents = tables.table("documents")
+    documents = tables.texts("documents")
     detect = G.ngram_detector(G.train_language_profiles(documents, "text", "lang"))
     return documents.select("doc_id", detect(T.normalize_text(F.col("text"))).alias("detected"))
 
@@ -263,7 +263,7 @@ def sentiment_label(tables: Tables) -> DataFrame:
 
 @query()
 def model_sentiment(tables: Tables) -> DataFrame:
-    documents = tables.table("documents").select("doc_id", "text")
+    documents = tables.texts("documents").select("doc_id", "text")
     labelled = documents.join(tables.table("labels"), "doc_id")
     model = S.train_sentiment_model(labelled, "text", "quality")
     return S.model_sentiment(documents, model, "text").select("doc_id", "model_score")
@@ -325,8 +325,8 @@ def _flat(df: DataFrame) -> DataFrame:
 
 @query(_enriched("SELECT doc_id, titre, contenu, source FROM @articles"))
 def enrich_articles(tables: Tables) -> DataFrame:
-    profiles = G.train_language_profiles(tables.table("documents"), "text", "lang")
-    rows = tables.view("articles").select("doc_id", "titre", "contenu", "source")
+    profiles = G.train_language_profiles(tables.texts("documents"), "text", "lang")
+    rows = tables.view("articles", spread=True).select("doc_id", "titre", "contenu", "source")
     return _flat(enrich(rows, detector=G.ngram_detector(profiles), **_ENRICHMENT))
 
 
@@ -340,6 +340,6 @@ def enrich_articles(tables: Tables) -> DataFrame:
     """
 )
 def reenrich(tables: Tables) -> DataFrame:
-    profiles = G.train_language_profiles(tables.table("documents"), "text", "lang")
-    rows = tables.view("articles").select("doc_id", "titre", "contenu", "source", "langue")
+    profiles = G.train_language_profiles(tables.texts("documents"), "text", "lang")
+    rows = tables.view("articles", spread=True).select("doc_id", "titre", "contenu", "source", "langue")
     return _flat(renew(rows, detector=G.ngram_detector(profiles), **_ENRICHMENT))

@@ -135,7 +135,7 @@ def publish_clean(tables: Tables) -> DataFrame:
     path = scratch_path(tables.spark, "published")
     P.publish(tables.view("raw_articles"), run_time(), path)
     stored = S.scan_articles(tables.spark, path, PUBLISHED_SCHEMA)
-    return stored.withColumns(
+    return stored.select(*PUBLISHED_SCHEMA.fieldNames()).withColumns(
         {
             "categorie": F.array_join("categorie", "|"),
             "sentiment_score": F.round("sentiment_score", 6),

@@ -11,6 +11,7 @@ from newsloom.catalog.tables_queries import RUN_TIME, moment_text, run_time
 from newsloom.functions import html as H
 from newsloom.functions import ids as I
 from newsloom.functions import text as T
+from newsloom.functions.staging import with_once
 from newsloom.functions import urls as U
 from newsloom.operators import origin as O
 from newsloom.plans.ingest import union_sources as unite
@@ -77,10 +78,10 @@ def summary(text: str) -> str:
     """
 )
 def clean_html_text(tables: Tables) -> DataFrame:
-    pages = tables.table("pages").select(
+    pages = tables.texts("pages").select(
         F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("markup")
     )
-    documents = tables.table("documents").select(
+    documents = tables.texts("documents").select(
         F.lit("document").alias("kind"), F.col("doc_id").alias("id"), F.col("text").alias("markup")
     )
     return H.clean_html_text(pages.union(documents), "markup", "plain").select("kind", "id", "plain")
@@ -88,17 +89,17 @@ def clean_html_text(tables: Tables) -> DataFrame:
 
 @query(f"SELECT page_id, {collapsed(plain('html', ''))} AS plain FROM pages")
 def strip_html_nosep(tables: Tables) -> DataFrame:
-    return tables.table("pages").select("page_id", H.strip_html_nosep(F.col("html")).alias("plain"))
+    return tables.texts("pages").select("page_id", H.strip_html_nosep(F.col("html")).alias("plain"))
 
 
 @query(f"SELECT doc_id, {normal('text')} AS normal FROM documents")
 def normalize_text(tables: Tables) -> DataFrame:
-    return tables.table("documents").select("doc_id", T.normalize_text(F.col("text")).alias("normal"))
+    return tables.texts("documents").select("doc_id", T.normalize_text(F.col("text")).alias("normal"))
 
 
 @query(f"SELECT doc_id, {summary('text')} AS summary FROM documents")
 def clean_summary(tables: Tables) -> DataFrame:
-    return tables.table("documents").select("doc_id", H.clean_summary(F.col("text")).alias("summary"))
+    return tables.texts("documents").select("doc_id", H.clean_summary(F.col("text")).alias("summary"))
 
 
 @query(
@@ -115,27 +116,23 @@ def clean_summary(tables: Tables) -> DataFrame:
     """
 )
 def word_ngrams(tables: Tables) -> DataFrame:
-    documents = tables.table("documents").select(
-        "doc_id", T.words(T.normalize_text(F.col("text"))).alias("words")
-    )
-
-    def grams(size: int) -> DataFrame:
-        listed = documents.select(
-            "doc_id",
-            F.lit(size).cast("long").alias("size"),
-            T.word_ngrams(F.col("words"), size).alias("grams"),
-        )
-        # Summed up per document inside the row: no gram leaves its task.
-        return listed.where(F.size("grams") > 0).select(
-            "doc_id",
-            "size",
-            F.size("grams").cast("long").alias("n"),
-            F.size(F.array_distinct("grams")).cast("long").alias("different"),
-            F.array_min("grams").alias("first_gram"),
-            F.array_max("grams").alias("last_gram"),
+    normal = {"words": T.words(T.normalize_text(F.col("text")))}
+    documents = with_once(tables.texts("documents").select("doc_id", "text"), normal)
+
+    def summed(size: int):
+        # Per document, inside the row: no gram leaves its task.
+        return T.let(
+            T.word_ngrams(F.col("words"), size),
+            lambda grams: F.struct(
+                F.lit(size).cast("long").alias("size"),
+                F.size(grams).cast("long").alias("n"),
+                F.size(F.array_distinct(grams)).cast("long").alias("different"),
+                F.array_min(grams).alias("first_gram"),
+                F.array_max(grams).alias("last_gram"),
+            ),
         )
 
-    return grams(2).union(grams(3))
+    return documents.select("doc_id", F.inline(F.array(summed(2), summed(3)))).where("n > 0")
 
 
 # --- ids and addresses -----------------------------------------------------------------
@@ -180,7 +177,7 @@ def article_id_title_date(tables: Tables) -> DataFrame:
     """
 )
 def resolve_url(tables: Tables) -> DataFrame:
-    pages = tables.table("pages").select("page_id", "url", "html")
+    pages = tables.texts("pages").select("page_id", "url", "html")
     return P.page_links(pages).select("page_id", "href", "titre", "link")
 
 
@@ -234,7 +231,7 @@ def feeds_of(tables: Tables) -> DataFrame:
         link, F.lit("'/><updated>"), F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss"),
         F.lit("Z</updated><summary type='html'>"), escaped("contenu"), F.lit("</summary></entry>"),
     )
-    entries = tables.view("articles").select(
+    entries = tables.view("articles", spread=True).select(
         feed.alias("feed"), "doc_id", F.when(feed % 2 == 0, rss).otherwise(atom).alias("entry")
     )
     # Twenty entries meet per feed, never more.
@@ -313,7 +310,7 @@ def feed_body_repair(tables: Tables) -> DataFrame:
     """
 )
 def page_articles(tables: Tables) -> DataFrame:
-    rows = P.site_articles(tables.table("pages").select("url", "html"), run_time(), "Example", "article")
+    rows = P.site_articles(tables.texts("pages").select("url", "html"), run_time(), "Example", "article")
     return rows.withColumns(
         {c: moment_text(c) for c in ("date_publication", "created_at")}
     )
@@ -331,7 +328,7 @@ def page_articles(tables: Tables) -> DataFrame:
     """
 )
 def block_articles(tables: Tables) -> DataFrame:
-    rows = B.block_articles(tables.view("blocks"), run_time())
+    rows = B.block_articles(tables.view("blocks", spread=True), run_time())
     return rows.select(
         (F.col("page_num") * 10 + F.col("block_pos")).cast("long").alias("doc_id"),
         "id_article", "titre", "contenu", "date_publication", "url",
@@ -357,7 +354,7 @@ _MESSAGES = f"""
     """
 )
 def message_articles(tables: Tables) -> DataFrame:
-    return M.message_articles(tables.table("conversations").select("conv_id", "turn", "text"), run_time())
+    return M.message_articles(tables.texts("conversations").select("conv_id", "turn", "text"), run_time())
 
 
 @query(

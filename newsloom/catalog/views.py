@@ -8,6 +8,7 @@ of their own (``@EMPTY_LIST``, ``@TEXT``).
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame
@@ -162,13 +163,13 @@ def expand(sql: str) -> str:
     return _NAME.sub(fill, _words(sql, ORACLE_WORDS))
 
 
-def build(tables: Tables, name: str) -> DataFrame:
-    """The view as a DataFrame."""
+def build(tables: Tables, name: str, scan: Callable[[str], DataFrame]) -> DataFrame:
+    """The view as a DataFrame, over tables read by ``scan``."""
     used: dict[str, DataFrame] = {}
 
     def fill(match: re.Match) -> str:
         part = match.group(1)
-        used[part] = build(tables, part) if part in VIEWS else tables.table(part)
+        used[part] = build(tables, part, scan) if part in VIEWS else scan(part)
         return "{" + part + "}"
 
     text = _words(VIEWS[name], SPARK_WORDS).replace("{", "{{").replace("}", "}}")

@@ -13,23 +13,14 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import let, without_marks
 
-# The beginnings of month names, French and English, by month.
-MONTH_NAMES = [
-    "jan",
-    "fev|feb",
-    "mar",
-    "avr|apr",
-    "mai|may",
-    "juin|jun",
-    "juil|jul",
-    "aou|aug",
-    "sep",
-    "oct",
-    "nov",
-    "dec",
-]
+# The beginnings of month names, French and English, and their months.
+MONTHS = {
+    "jan": 1, "fev": 2, "feb": 2, "mar": 3, "avr": 4, "apr": 4, "mai": 5, "may": 5, "juin": 6, "jun": 6,
+    "juil": 7, "jul": 7, "aou": 8, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
+}
 _ISO = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?\s*\z"
-_NAMED = "|".join(MONTH_NAMES)
+_NAMED = "|".join(MONTHS)
+_MONTHS_TEXT = ",".join(f"{name}:{month}" for name, month in MONTHS.items())
 
 
 def iso_timestamp(raw: Column) -> Column:
@@ -44,10 +35,9 @@ def _group(text: Column, pattern: str, group: int) -> Column:
 
 
 def _month_number(name: Column) -> Column:
-    number = F.lit(None).cast("int")
-    for month, beginnings in reversed(list(enumerate(MONTH_NAMES, 1))):
-        number = F.when(name.rlike(f"^(?:{beginnings})"), month).otherwise(number)
-    return number
+    months = F.str_to_map(F.lit(_MONTHS_TEXT))
+    found = [F.try_element_at(months, F.substring(name, 1, n)) for n in (4, 3)]
+    return F.coalesce(*found).cast("int")
 
 
 def loose_timestamp(raw: Column, day_first: bool = False) -> Column:

@@ -81,7 +81,9 @@ _C1 = {str(n): bytes([n]).decode("cp1252", "replace") for n in range(0x80, 0xA0)
 
 
 def _map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    """A constant map; as one text it stays a single node until it is folded."""
+    text = "\x01".join(f"{key}\x02{value}" for key, value in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
 
 
 def _numbered(name: Column) -> Column:

@@ -27,8 +27,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _base_letters() -> tuple[str, str]:
     """Characters that are one base character and marks, and those base characters."""
     marked, bare = [], []
-    for code in range(0x80, sys.maxunicode + 1):
-        ch = chr(code)
+    for ch in map(chr, range(0x80, sys.maxunicode + 1)):
+        if not unicodedata.decomposition(ch):
+            continue
         parts = unicodedata.normalize("NFD", ch)
         base = [p for p in parts if unicodedata.category(p) != "Mn"]
         if parts != ch and len(base) == 1:

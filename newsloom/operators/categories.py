@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -38,7 +39,15 @@ def description_similarities(word_list: Column, descriptions: Mapping[str, str])
 
     Null when the text shares no word with any of them.
     """
-    terms = L.unique(t for d in descriptions.values() for t in _term_counts(d))
+    counts = {category: _term_counts(text) for category, text in descriptions.items()}
+    rows = [
+        {"categorie": category, "terms": terms, "length": sum(n * n for n in terms.values()) ** 0.5}
+        for category, terms in counts.items()
+    ]
+    constant = F.from_json(
+        F.lit(json.dumps(rows)),
+        "array<struct<categorie: string, terms: map<string, int>, length: double>>",
+    )
 
     def squared_length(listed: Column) -> Column:
         # Ordered pairs of positions that hold the same word; the list is short.
@@ -48,27 +57,25 @@ def description_similarities(word_list: Column, descriptions: Mapping[str, str])
             lambda total, w: total + F.size(F.filter(listed, lambda other: other == w)),
         )
 
-    def row(category: str, shared: Column, squares: Column) -> Column:
-        counts = _term_counts(descriptions[category])
-        dot = F.lit(0)
-        for term, weight in counts.items():
-            dot = dot + weight * L.lexicon_hits(shared, [term])
-        length = float(np.sqrt(sum(v * v for v in counts.values())))
-        return F.struct(
-            F.lit(category).alias("categorie"),
-            (dot / (F.sqrt(squares) * F.lit(length))).alias("score"),
+    def similarity(row: Column, shared: Column, squares: Column) -> Column:
+        dot = F.aggregate(
+            shared,
+            F.lit(0),
+            lambda total, w: total + F.coalesce(F.try_element_at(row["terms"], w), F.lit(0)),
         )
+        score = dot / (F.sqrt(squares) * row["length"])
+        return F.struct(row["categorie"].alias("categorie"), score.alias("score"))
 
-    def rows(shared: Column, squares: Column) -> Column:
-        return F.array(*[row(category, shared, squares) for category in descriptions])
+    def compared(listed: Column, shared: Column) -> Column:
+        return T.let(
+            squared_length(listed),
+            lambda squares: F.transform(constant, lambda row: similarity(row, shared, squares)),
+        )
 
     def similar(listed: Column) -> Column:
         return T.let(
-            L.only_listed(listed, terms),
-            lambda shared: F.when(
-                F.size(shared) > 0,
-                T.let(squared_length(listed), lambda squares: rows(shared, squares)),
-            ),
+            L.only_listed(listed, [t for terms in counts.values() for t in terms]),
+            lambda shared: F.when(F.size(shared) > 0, compared(listed, shared)),
         )
 
     return T.let(word_list, similar)
@@ -99,15 +106,19 @@ def categorize(
     phrases: Mapping[str, str | Sequence[str]] | None = None,
     descriptions: Mapping[str, str] | None = None,
     fallback: Column | None = None,
+    found: Column | None = None,
 ) -> Column:
     """Categories of a normalised text, at least one.
 
     ``fallback`` names the category of a text no phrase fits; by default the
-    nearest description is taken.  Texts of a few words get the default.
+    nearest description is taken.  ``found`` are the phrases in the text, if they
+    are at hand.  Texts of a few words get the default.
     """
     table = L.phrase_table(phrases)
     word_count = F.size(T.words(normalized))
-    scores = T.let(L.phrases_found(normalized, table), lambda found: L.phrase_scores(found, table))
+    if found is None:
+        found = L.phrases_found(normalized, table)
+    scores = T.let(found, lambda each: L.phrase_scores(each, table))
     named = leading_categories(scores)
     if fallback is None:
         fallback = nearest_description(normalized, descriptions)

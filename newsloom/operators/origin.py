@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ def origin_of(source: Column, names: dict[str, str] | None = None) -> Column:
     """Look the origin key up in a small map; a miss keeps the key, null stays null."""
     names = fixed.ORIGIN_NAMES if names is None else names
     key = origin_key(source)
-    lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    lookup = F.from_json(F.lit(json.dumps(names)), "map<string, string>")
     return F.coalesce(F.try_element_at(lookup, key), key)
 
 

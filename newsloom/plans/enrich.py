@@ -14,6 +14,7 @@ from newsloom.functions import text as T
 from newsloom.functions.staging import with_once
 from newsloom.operators import categories as C
 from newsloom.operators import language as G
+from newsloom.operators import lexicon as L
 from newsloom.operators import sentiment as S
 from newsloom.operators.origin import origin_of
 from newsloom.operators.quality import passes_gate, quality_gate
@@ -60,7 +61,9 @@ def enrich_articles(
         french = F.col("model_score")
     malagasy_score = S.lexicon_score(word_list, positive, negative)
     score = S.score_by_language(F.col("langue"), french, malagasy_score)
-    worked = with_once(worked, {"sentiment_score": score, "categorie": C.categorize(norm, phrases)})
+    worked = worked.withColumn("_found", L.phrases_found(norm, L.phrase_table(phrases)))
+    named = C.categorize(norm, phrases, found=F.col("_found"))
+    worked = with_once(worked, {"sentiment_score": score, "categorie": named})
     worked = worked.withColumns(
         {
             "sentiment": S.sentiment_label(F.col("sentiment_score")),
