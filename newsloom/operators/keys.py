@@ -19,7 +19,15 @@ from newsloom.operators.quality import is_missing, passes_gate
 
 
 def _key_set(keys: DataFrame, key: str) -> DataFrame:
-    return keys.where(F.col(key).isNotNull()).select(key).distinct()
+    """The distinct keys, each once, however often a task sees one.
+
+    They are made distinct together with a hash of theirs.  The join then has
+    to shuffle them itself, and only in a join that shuffles both sides itself
+    does adaptive execution split a partition of the other side that one hot
+    key has filled.
+    """
+    known = keys.where(F.col(key).isNotNull()).select(key, F.xxhash64(key).alias("_hash"))
+    return known.distinct().select(key)
 
 
 def new_only(batch: DataFrame, known: DataFrame, key: str = "id_article") -> DataFrame:

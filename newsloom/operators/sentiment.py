@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import fixed_values as fixed
+from newsloom.functions import text as T
 from newsloom.operators import lexicon as L
 
 # Hash buckets of the classifier: the bound of its weight vector.
@@ -24,13 +25,18 @@ def lexicon_score(
     negative: Sequence[str] = tuple(fixed.NEGATIVE_WORDS),
 ) -> Column:
     """(praise - complaint) / (praise + complaint), 0 without either."""
+
+    def ratio(count: Column) -> Column:
+        praise, complaint = count["praise"], count["complaint"]
+        return F.try_divide((praise - complaint).cast("double"), praise + complaint)
+
+    def score(marked: Column) -> Column:
+        praise, complaint = L.lexicon_hits(marked, positive), L.lexicon_hits(marked, negative)
+        return T.let(F.struct(praise.alias("praise"), complaint.alias("complaint")), ratio)
+
     # One pass over the words; the few that are left are looked up again.
     marked = L.only_listed(word_list, [*positive, *negative])
-    praise = L.lexicon_hits(marked, positive)
-    complaint = L.lexicon_hits(marked, negative)
-    return F.coalesce(
-        F.try_divide((praise - complaint).cast("double"), praise + complaint), F.lit(0.0)
-    )
+    return F.coalesce(T.let(marked, score), F.lit(0.0))
 
 
 def sentiment_label(score: Column) -> Column:

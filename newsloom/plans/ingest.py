@@ -30,7 +30,8 @@ def new_articles(
     """
     valid = quality_gate(with_id(batch))
     if not keep_repeats:
-        valid = K.keep_first(valid, "id_article", *(order or ("url", "titre", "contenu")))
+        order = order or [c for c in ("url", "titre", "contenu") if c in batch.columns]
+        valid = K.keep_first(valid, "id_article", *order)
     return K.new_only(valid, known)
 
 

@@ -1,8 +1,8 @@
 """Tables on files: scans, appends, exports and loads with a budget of bad lines.
 
 A table is never changed in place.  Updates and deletes are DataFrames (see
-``operators.keys``) that are written to a new path; Spark refuses to overwrite
-a path that the same plan reads.
+``operators.keys``) and go to a new path: to overwrite the path a plan reads
+from would take its input away.
 """
 
 from __future__ import annotations
