@@ -33,6 +33,7 @@ def enrich_articles(
     phrases: Mapping[str, str | Sequence[str]] | None = None,
     min_ratio: float = fixed.MALAGASY_RATIO,
     origins: dict[str, str] | None = None,
+    other_label: str = "mg",
 ) -> DataFrame:
     """Gate, clean and enrich ``titre, contenu, source`` rows; other columns stay.
 
@@ -53,7 +54,8 @@ def enrich_articles(
     if detector is not None:
         answer = detector(F.when(F.col("_listed") == "?", norm))
     worked = worked.withColumn("_answer", answer)
-    worked = worked.withColumn("langue", G.settled_language(F.col("_listed"), F.col("_answer")))
+    settled = G.settled_language(F.col("_listed"), F.col("_answer"), other_label=other_label)
+    worked = worked.withColumn("langue", settled)
 
     french = F.lit(0.0)
     if sentiment_model is not None:

@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from newsloom.operators import keys as K
 
-BATCH = "batch_id"
+QUERY, BATCH = "query_id", "batch_id"
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The ingested table with its batch number."""
-    return spark.read.schema(StructType([*schema.fields]).add(BATCH, LongType())).parquet(path)
+    """The ingested table, with the query and the batch that brought each row."""
+    wide = StructType([*schema.fields]).add(QUERY, StringType()).add(BATCH, LongType())
+    return spark.read.schema(wide).parquet(path)
 
 
 def ingest_new(
@@ -30,22 +31,26 @@ def ingest_new(
 ) -> StreamingQuery:
     """Start a query that adds the stream's new keys to the table at ``path``.
 
-    Each micro-batch keeps the first row of every key, drops the keys earlier
-    batches brought, applies ``shape`` and replaces its own folder.  A batch
-    that is run again after a failure looks at the same earlier folders and
-    writes the same rows to the same place, so nothing is added twice.  Of the
-    table only the key column is read.
+    Each micro-batch keeps the first row of every key, drops the keys that are
+    in the table already, applies ``shape`` and writes a folder of its own,
+    named by the query and the batch.  The query's id lives in the checkpoint:
+    a batch that is run again after a failure leaves its own folder out of the
+    comparison and replaces it with the same rows, while a query with a new
+    checkpoint never touches the folders of an old one.  Of the table only the
+    key is read.  One query at a time may write to a table.
     """
     spark = stream.sparkSession
     schema = shape(stream).schema
-    empty = spark.createDataFrame([], schema)
     # The table exists before the first batch asks for it.
-    empty.write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").parquet(f"{path}/{QUERY}=none/{BATCH}=-1")
 
     def add(rows: DataFrame, number: int) -> None:
-        earlier = read_table(rows.sparkSession, path, schema).where(F.col(BATCH) < number)
-        fresh = K.new_only(K.keep_first(rows, key, *order), earlier, key)
-        shape(fresh).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = (F.col(QUERY) == query) & (F.col(BATCH) >= number)
+        others = read_table(rows.sparkSession, path, schema).where(~own)
+        fresh = K.new_only(K.keep_first(rows, key, *order), others, key)
+        shape(fresh).write.mode("overwrite").parquet(f"{path}/{QUERY}={query}/{BATCH}={number}")
 
     return (
         stream.writeStream.foreachBatch(add)

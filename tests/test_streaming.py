@@ -42,9 +42,33 @@ def test_every_key_once(spark, tmp_path):
     add(spark, folder, [("b", "2025-01-02", 0), ("c", "2025-01-02", 4)])
     run()
     assert rows_of(spark, table) == [("a", 1), ("b", 3), ("c", 4)]
-    # All input again from the start, as after a lost checkpoint: the same folders are written again.
-    I.ingest_new(source(spark, folder, 1), table, str(tmp_path / "new"), "k", "n").awaitTermination()
+    # A query with a new checkpoint sees all input again: nothing is added, nothing replaced.
+    I.ingest_new(source(spark, folder), table, str(tmp_path / "new"), "k", "n").awaitTermination()
     assert rows_of(spark, table) == [("a", 1), ("b", 3), ("c", 4)]
+    # Nor does one that only sees later input.
+    later = str(tmp_path / "later")
+    add(spark, later, [("d", "2025-01-03", 5), ("a", "2025-01-03", 6)])
+    I.ingest_new(source(spark, later), table, str(tmp_path / "newer"), "k", "n").awaitTermination()
+    assert rows_of(spark, table) == [("a", 1), ("b", 3), ("c", 4), ("d", 5)]
+    assert "none" not in {r.query_id for r in I.read_table(spark, table, SCHEMA).collect()}
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    folder, table, check = (str(tmp_path / x) for x in ("in", "table", "check"))
+
+    def run():
+        I.ingest_new(source(spark, folder, 1), table, check, "k", "n").awaitTermination()
+
+    add(spark, folder, [("a", "2025-01-01", 1)])
+    run()
+    add(spark, folder, [("a", "2025-01-02", 2), ("b", "2025-01-02", 3)])
+    run()
+    before = rows_of(spark, table)
+    # As if the last batch had written its rows but not been marked as done.
+    for mark in (tmp_path / "check" / "commits").glob("*1*"):
+        mark.unlink()
+    run()
+    assert rows_of(spark, table) == before == [("a", 1), ("b", 3)]
 
 
 def test_repeats_inside_the_watermark(spark, tmp_path):
