@@ -283,9 +283,8 @@ def model_sentiment(tables: Tables) -> DataFrame:
 )
 def nearest_category(tables: Tables) -> DataFrame:
     embeddings = tables.table("embeddings")
-    # One row per label: the model.
-    means = C.class_means(embeddings, "label", "embedding").orderBy("label").collect()
-    centroids = [(str(row["label"]), row["embedding"]) for row in means]
+    means = C.class_means(embeddings, "label", "embedding")
+    centroids = C.collect_centroids(means, "label", "embedding")
     nearest = C.nearest_category(embeddings.select("vec_id", "embedding"), "embedding", centroids)
     return nearest.select("vec_id", F.round("similarity", 6).alias("similarity"), "categorie")
 

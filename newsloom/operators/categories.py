@@ -17,6 +17,9 @@ from newsloom.functions import text as T
 from newsloom.operators import lexicon as L
 
 
+MAX_CENTROIDS = 1000
+
+
 def leading_categories(scores: Column) -> Column:
     """Names scoring close to the best one, in declared order, the first few."""
 
@@ -134,6 +137,14 @@ def class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
     return df.groupBy(label).agg(vector_to_array(mean).alias(vector))
 
 
+def collect_centroids(means: DataFrame, label: str, vector: str) -> list[tuple[str, list[float]]]:
+    """Class means as a model, in label order; refuses more than a model's worth."""
+    rows = means.orderBy(label).take(MAX_CENTROIDS + 1)
+    if len(rows) > MAX_CENTROIDS:
+        raise ValueError(f"more than {MAX_CENTROIDS} classes")
+    return [(str(row[label]), row[vector]) for row in rows]
+
+
 def nearest_category(
     df: DataFrame,
     vector: str,

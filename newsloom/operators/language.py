@@ -1,8 +1,8 @@
 """Language: word list first, then a character-trigram detector.
 
 The detector is multinomial naive Bayes over trigrams of blank-padded words in
-the letters a to z.  There are fewer than 27**3 = 19,683 of them, whatever the size of
-the corpus, so the trained table has a proven bound: that many rows per
+the letters a to z.  There are fewer than 27**3 = 19,683 of them, whatever the
+size of the corpus, so the trained table has a proven bound: that many rows per
 language.  Log probabilities are scaled to whole numbers; a sum of whole
 numbers does not depend on how Spark orders the rows.
 """
@@ -24,6 +24,7 @@ from newsloom.operators import lexicon as L
 LETTERS = " abcdefghijklmnopqrstuvwxyz"
 GRAMS = len(LETTERS) ** 3
 SCALE = 10_000
+MAX_LANGUAGES = 100
 
 
 def letters_only(normalized: Column) -> Column:
@@ -67,7 +68,10 @@ def _gram_index(gram: str) -> int:
 
 def language_weights(profiles: DataFrame) -> tuple[list[str], np.ndarray]:
     """The trained table as one small matrix: 19,683 rows, one column per language."""
-    table = profiles.select("lang", "gram", "weight", "unseen").toPandas()
+    bound = GRAMS * MAX_LANGUAGES
+    table = profiles.select("lang", "gram", "weight", "unseen").limit(bound + 1).toPandas()
+    if len(table) > bound:
+        raise ValueError(f"the labels name more than {MAX_LANGUAGES} languages")
     languages = sorted(table["lang"].unique())
     matrix = np.empty((GRAMS, len(languages)), dtype="int64")
     for column, language in enumerate(languages):
