@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 # White space as Python's str.split() sees it; the class reads the same in
 # java.util.regex and RE2.
-SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+_SPACES = r"\s\x0B\x1C-\x1F\x85\p{Z}"
+SPACE = f"[{_SPACES}]"
 NON_ASCII = r"[^\x00-\x7F]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -74,6 +75,15 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
 
 
+def has_length(text: Column, least: int) -> Column:
+    """Whether the stripped text has ``least`` (two or more) characters.
+
+    True as soon as a character that far from the first one is found, so a long
+    text is not read to its end.
+    """
+    return text.rlike(rf"(?s)[^{_SPACES}].{{{least - 2}}}.*?[^{_SPACES}]")
+
+
 def is_blank(text: Column) -> Column:
     """Null, empty, or nothing but white space."""
     return text.isNull() | text.rlike(rf"^{SPACE}*\z")

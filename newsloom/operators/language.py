@@ -132,8 +132,8 @@ def malagasy_ratio(word_list: Column, words: Sequence[str] = tuple(fixed.MALAGAS
 
 def is_undetectable(text: Column, word_list: Column) -> Column:
     """Blank or too short to tell a language by."""
-    short = F.coalesce(F.length(T.strip(text)) < fixed.MIN_DETECTABLE_LENGTH, F.lit(True))
-    return short | (F.size(word_list) == 0)
+    long_enough = F.coalesce(T.has_length(text, fixed.MIN_DETECTABLE_LENGTH), F.lit(False))
+    return ~long_enough | (F.size(word_list) == 0)
 
 
 def detect_language(

@@ -31,8 +31,8 @@ def passes_gate(
     min_content: int = fixed.MIN_CONTENT_LENGTH,
 ) -> Column:
     """Title and content long enough once stripped; a null fails, never nulls."""
-    return F.coalesce(F.length(T.strip(title)) >= min_title, F.lit(False)) & F.coalesce(
-        F.length(T.strip(content)) >= min_content, F.lit(False)
+    return F.coalesce(T.has_length(title, min_title), F.lit(False)) & F.coalesce(
+        T.has_length(content, min_content), F.lit(False)
     )
 
 

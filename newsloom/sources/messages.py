@@ -24,7 +24,7 @@ def message_articles(
     now = D.iso_text(run_time)
     stamp = F.coalesce(F.nullif(F.col(meta), F.lit("")), now) if meta else now
     full = messages.withColumn("_full", T.strip(F.col(text))).where(
-        F.length(T.strip(F.col(text))) >= fixed.MIN_MESSAGE_LENGTH
+        T.has_length(F.col(text), fixed.MIN_MESSAGE_LENGTH)
     )
     line = F.substring_index("_full", "\n", 1)
     rest = T.strip(F.substring(F.col("_full"), F.length(line) + 2, F.length("_full")))

@@ -41,6 +41,13 @@ def test_strip_and_blank(spark):
     assert values(spark, samples, T.is_blank) == [False, False, True, True, True]
 
 
+def test_has_length_equals_the_stripped_length(spark):
+    samples = ["", " ", "a", " a ", "ab", "a b", " a\n\nb ", "\n\nabc\u00a0", "a\U0001f600b", "\U0001f600\U0001f600", None]
+    for least in (2, 3, 5):
+        expected = [s if s is None else len(s.strip()) >= least for s in samples]
+        assert values(spark, samples, lambda c: T.has_length(c, least)) == expected
+
+
 def test_words_and_ngrams(spark):
     assert values(spark, ["a b c", "a", ""], T.words) == [["a", "b", "c"], ["a"], []]
     grams = values(spark, ["a b c", "a", ""], lambda c: T.word_ngrams(T.words(c), 2))
