@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import line_dedup, mixing, quality
+from newsloom.llm import decontaminate, line_dedup, mixing, near_dup, quality
 from newsloom.llm.shared import settle
 
 QUERIES = {}
@@ -28,12 +28,64 @@ def query(sql: str | None = None):
     return register
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Shingle sets of documents and of benchmark items.
+_SHINGLES = f"""
+    {{name}}_words AS (
+      SELECT {{id}}, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM {{table}}
+    ), {{name}} AS (
+      SELECT DISTINCT {{id}}, array_to_string(w[k:least(k + 4, len(w))], ' ') AS shingle
+      FROM (SELECT {{id}}, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS k FROM {{name}}_words WHERE len(w) > 0)
+    )"""
+_DOC_SHINGLES = _SHINGLES.format(name="shingles", id="doc_id", table="documents")
+_ITEM_SHINGLES = _SHINGLES.format(name="items", id="item_id", table="benchmark")
+
+
+@query(
+    f"""
+    WITH RECURSIVE {_DOC_SHINGLES}, sizes AS (
+      SELECT d.doc_id, count(s.shingle) AS n FROM documents d LEFT JOIN shingles s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+    ), linked AS (
+      SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+    ), reach AS (
+      SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN linked l ON l.a = r.b
+    ), lowest AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+    SELECT s.doc_id, n AS n_shingles, low AS component_id, s.doc_id = low AS kept
+    FROM sizes s JOIN lowest l ON l.a = s.doc_id
+    """
+)
+def op1_minhash_near_dedup(table) -> DataFrame:
+    """The component of near duplicates of every document."""
+    return near_dup.near_duplicates(table("documents"))
+
+
 @query()
 def op2_mix_sources(table) -> DataFrame:
     """Every document's cell, chance and draw, for tempered targets."""
     return mixing.mixed(table("documents"))
 
 
+@query(
+    f"""
+    WITH {_DOC_SHINGLES}, {_ITEM_SHINGLES}, sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+    hits AS (
+      SELECT s.doc_id, i.item_id FROM shingles s JOIN items i ON i.shingle = s.shingle JOIN sizes z ON z.item_id = i.item_id
+      GROUP BY s.doc_id, i.item_id, z.n HAVING 100 * count(*) >= 75 * z.n
+    )
+    SELECT d.doc_id, coalesce(string_agg(h.item_id::VARCHAR, ',' ORDER BY h.item_id), '') AS item_ids,
+           count(h.item_id)::BIGINT AS n_items, count(h.item_id) > 0 AS contaminated
+    FROM documents d LEFT JOIN hits h ON h.doc_id = d.doc_id GROUP BY d.doc_id
+    """
+)
+def op4_benchmark_decontamination(table) -> DataFrame:
+    """The benchmark items that every document holds."""
+    rows = decontaminate.contaminated(table("documents"), table("benchmark"))
+    return rows.withColumn("item_ids", F.array_join("item_ids", ","))
+
+
 @query()
 def op5_quality_rules(table) -> DataFrame:
     """Base counts, certified cutoffs of the document's language, and the verdict."""
