@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, line_dedup, mixing, near_dup, quality
+from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, quality, toxicity
 from newsloom.llm.shared import settle
 
 QUERIES = {}
@@ -134,3 +134,15 @@ def op7_line_dedup(table) -> DataFrame:
     return rows.select(
         "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op8_toxicity(table) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.judged(table("documents"), table("labels"))
+
+
+@query()
+def op9_language_id(table) -> DataFrame:
+    """The language of every document."""
+    return langid.identified(table("documents"))
