@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, quality, toxicity
+from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, quality, toxicity, url_rules
 from newsloom.llm.shared import settle
 
 QUERIES = {}
@@ -146,3 +146,9 @@ def op8_toxicity(table) -> DataFrame:
 def op9_language_id(table) -> DataFrame:
     """The language of every document."""
     return langid.identified(table("documents"))
+
+
+@query()
+def op10_url_filters(table) -> DataFrame:
+    """The verdict on every page's address."""
+    return url_rules.judged(table("pages"), table("labels"))
