@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, quality, toxicity, url_rules
+from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, pii, quality, toxicity, url_rules
 from newsloom.llm.shared import settle
 
 QUERIES = {}
@@ -93,6 +93,12 @@ def op5_quality_rules(table) -> DataFrame:
     return rows.select("doc_id", *quality.BASE, "base_failed", "kept", "lang", *quality.CUTOFFS, *[f"{r}_cut" for r in quality.CUTOFFS])
 
 
+@query()
+def op6_pii(table) -> DataFrame:
+    """Personal data in every document: base spans and those found by context."""
+    return pii.digest(pii.found(table("documents")))
+
+
 @query(
     r"""
     WITH texts AS (
