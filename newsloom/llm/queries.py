@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, pii, quality, toxicity, url_rules
+from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, pii, quality, substrings, toxicity, url_rules
 from newsloom.llm.shared import settle
 
 QUERIES = {}
@@ -68,6 +68,42 @@ def op2_mix_sources(table) -> DataFrame:
     return mixing.mixed(table("documents"))
 
 
+@query(
+    """
+    WITH raw AS (
+      SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+    ), starts AS (
+      SELECT doc_id, x, unnest(generate_series(0, len(x) // 2 - 50)) AS s FROM raw WHERE len(x) >= 100
+    ), strings AS (
+      SELECT doc_id, s, substr(x, 2 * s::BIGINT + 1, 100) AS str FROM starts
+    ), copies AS (
+      SELECT doc_id, s, doc_id > min(doc_id) OVER (PARTITION BY str) AS is_copy FROM strings
+    ), marked AS (
+      SELECT doc_id, s, s - 50 > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s), -100) AS opens
+      FROM copies WHERE is_copy
+    ), grouped AS (
+      SELECT doc_id, s, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM marked
+    ), spans AS (
+      SELECT doc_id, g, min(s) AS a, max(s) + 50 AS b FROM grouped GROUP BY doc_id, g
+    ), edges AS (
+      SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS prev,
+             row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) AS from_end FROM spans
+    ), pieces AS (
+      SELECT e.doc_id, sum(b - a) AS removed, count(*) AS n,
+             string_agg(substr(x, 2 * prev::BIGINT + 1, 2 * (a - prev)::BIGINT), '' ORDER BY a) ||
+             substr(any_value(x), 2 * max(b)::BIGINT + 1) AS kept
+      FROM edges e JOIN raw r ON r.doc_id = e.doc_id GROUP BY e.doc_id
+    )
+    SELECT r.doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+           coalesce(n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+    FROM raw r LEFT JOIN pieces p ON p.doc_id = r.doc_id
+    """
+)
+def op3_suffix_dedup(table) -> DataFrame:
+    """Bytes of every document that earlier documents hold, and a digest of the rest."""
+    return substrings.deduplicated(table("documents"))
+
+
 @query(
     f"""
     WITH {_DOC_SHINGLES}, {_ITEM_SHINGLES}, sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
