@@ -33,7 +33,7 @@ DICT_BYTES = 32 * 1024
 BLOCK_BYTES = 4096
 #: Lazy search for matches of four bytes or more: what tells languages apart is
 #: short, and the default levels look for longer matches only.
-SEARCH = zstandard.ZstdCompressionParameters(
+SEARCH = dict(
     strategy=zstandard.STRATEGY_LAZY2,
     window_log=18,
     chain_log=16,
@@ -67,10 +67,11 @@ class Packer:
     def __init__(self, dictionaries: dict[str, bytes]):
         self.languages = list(dictionaries)
         self.packers = []
+        search = zstandard.ZstdCompressionParameters(**SEARCH)
         for language in self.languages:
             known = zstandard.ZstdCompressionDict(dictionaries[language], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            known.precompute_compress(compression_params=SEARCH)
-            self.packers.append(zstandard.ZstdCompressor(dict_data=known, compression_params=SEARCH))
+            known.precompute_compress(compression_params=search)
+            self.packers.append(zstandard.ZstdCompressor(dict_data=known, compression_params=search))
 
     def sizes(self, raw: bytes) -> list[int]:
         blocks = [raw[k : k + BLOCK_BYTES] for k in range(0, len(raw), BLOCK_BYTES)]

@@ -39,7 +39,7 @@ RULES = (
 #: the pages with the combination that are bad, and that share over the share of
 #: bad pages at large.
 MIN_SUPPORT = 0.005
-MIN_CONFIDENCE = 0.5
+MIN_CONFIDENCE = 0.8
 MIN_LIFT = 2.0
 
 BAD = "label=bad"
