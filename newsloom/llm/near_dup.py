@@ -10,10 +10,13 @@ misses all bands with the chance 5e-6.
 
 A bucket of candidates is not expanded into pairs.  Its members are compared with
 one centre, the member that shares most buckets with others; verified links join
-components; buckets that lie in one component are closed.  The others go on with
-two, four, eight ... further centres, and only between different components, until
-every member has been compared or joined.  So a group of near copies costs about
-its size, and no link between different components is lost.
+components, and a bucket that lies in one component is closed.  After two such
+rounds the documents of the buckets still open, mostly ones that share a passage and
+little else, are put into new buckets by their rarest shingles, where few of them
+can still be linked (see ``_rare_shingles``).  More and more centres follow there, only
+between different components, until every member has been compared, joined or
+excluded.  So a group of near copies costs about its size, and no link between
+different components is lost.
 
 Sets are 64-bit shingle ids, so two different shingles of a compared pair count as
 equal with a chance near 1e-11.
@@ -31,7 +34,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.shared import components, cut, id_text, map_batches, settle, shingle_set
@@ -41,6 +44,8 @@ from newsloom.llm.sketch import band_keys, sketch
 PERCENT = 75
 PLACES = 128
 BAND_ROWS = 4
+#: Rounds of one centre for each bucket of a band.
+ROUNDS = 2
 #: The chance with which a linked pair may be dropped by its sketches.
 MISS = 1e-9
 
@@ -107,16 +112,21 @@ def _plausible(pairs: DataFrame, summary: DataFrame) -> DataFrame:
     return map_batches(joined, work, "a long, b long")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that the full sets link."""
-    ids = cut(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"), "dup-ids")
+def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, set) of the documents named; of the other texts only what a Bloom filter lets through is shuffled."""
+    # The condition on the id makes the side worth a filter to Spark.
     texts = id_text(docs).join(ids.where("doc_id >= -9223372036854775807"), "doc_id", "left_semi")
 
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_set(text).tobytes() for text in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "set"])
 
-    known = cut(map_batches(texts, sets, "doc_id long, set binary"), "dup-sets")
+    return cut(map_batches(texts, work, "doc_id long, set binary"), "dup-sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that the full sets link."""
+    known = sets.where("doc_id >= -9223372036854775807")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = []
@@ -133,50 +143,104 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _buckets(summary: DataFrame, classes: DataFrame) -> DataFrame:
-    """(bucket, doc, reach): classes in bands shared by two or more; reach counts those met in all bands."""
+    """(bucket, doc, share, n, size): classes in bands shared by two or more."""
     reps = summary.where("n_shingles > 0").join(
         classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi"
     )
-    bands = reps.dropDuplicates(["doc_id", "set_key"]).select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
+    bands = reps.dropDuplicates(["doc_id", "set_key"]).select(
+        F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("share")
+    )
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = cut(bands.join(shared, "bucket"), "dup-buckets")
-    reach = members.groupBy("doc").agg(F.sum("size").alias("reach"))
-    return cut(members.select("bucket", "doc").distinct().join(reach, "doc"), "dup-buckets")
+    return cut(bands.join(shared, "bucket").withColumn("n", F.col("share")), "dup-buckets")
+
+
+def _rare_shingles(sets: DataFrame, open_docs: DataFrame) -> DataFrame:
+    """(bucket, doc, share, n, size): the open documents under their rarest shingles.
+
+    Shingles are ordered from rare to frequent; one that a single open document
+    holds comes before all others and joins nothing.  ``share`` is the number of
+    shingles of the set from this one on.  The first shingle that two linked sets
+    have in common leaves each of them as many as they share, three quarters at
+    least; so a set needs no bucket for shingles with fewer from there on, and in a
+    bucket two sets that cannot share enough from there on are not compared.
+    """
+    known = sets.join(open_docs.where("doc_id >= -9223372036854775807"), "doc_id", "left_semi")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.list_(pa.int64()))], names=["doc", "shingles"])
+
+    listed = map_batches(known, work, "doc long, shingles array<long>")
+    rows = cut(listed.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("bucket")), "dup-shingles")
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    # What a set holds alone takes the first places of its order and needs no row.
+    shared = rows.join(counts, "bucket")
+    behind = F.row_number().over(Window.partitionBy("doc", "n").orderBy(F.desc("size"), F.desc("bucket")))
+    kept = shared.withColumn("share", behind).where(100 * F.col("share") >= PERCENT * F.col("n"))
+    return cut(kept.select("bucket", "doc", "share", F.col("n").cast("long").alias("n"), "size"), "dup-buckets")
+
+
+def _may_link(share: str, n: str, other_share: str, other_n: str) -> Column:
+    """Whether two sets can be linked by their sizes and the parts that they can share."""
+    return (100 + PERCENT) * F.least(share, other_share) >= PERCENT * (F.col(n) + F.col(other_n))
+
+
+class _Search:
+    """Rounds of comparing the members of buckets with centres; ``places`` is what they have joined."""
+
+    def __init__(self, summary: DataFrame, sets: DataFrame):
+        spark = summary.sparkSession
+        self.summary, self.sets = summary, sets
+        self.found = self.tested = spark.createDataFrame([], "a long, b long")
+        self.places = spark.createDataFrame([], "node long, component long")
+
+    def rounds(self, members: DataFrame, limit: int | None = None) -> DataFrame:
+        """Members of the buckets still open after ``limit`` rounds of one centre each.
+
+        Without a limit there are 16, 256 ... centres, until none is open.
+        """
+        reach = members.groupBy("doc").agg(F.sum("size").alias("reach"))
+        # A document that has several sets is in a bucket by the largest.
+        members = members.groupBy("bucket", "doc").agg(F.max("share").alias("share"), F.min("n").alias("n"))
+        members, done = members.join(reach, "doc"), 0
+        while True:
+            here = members.join(self.places, members.doc == self.places.node, "left").select(
+                "bucket", "doc", "share", "n", "reach", F.coalesce("component", "doc").alias("component")
+            )
+            split = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            here = cut(here.join(split.where("low < high").select("bucket"), "bucket", "left_semi"), "dup-members")
+            if done == limit or here.isEmpty():
+                return here
+            centres = 1 if limit else 16 ** (done + 1)
+            nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("reach"), "doc"))
+            chosen = here.withColumn("nth", nth).where(F.col("nth") <= centres)
+            names = {"doc": "centre", "share": "centre_share", "n": "centre_n", "component": "own"}
+            chosen = cut(chosen.select("bucket", *[F.col(c).alias(name) for c, name in names.items()]), "dup-centres")
+            met = here.join(chosen, "bucket").where("component != own").where(_may_link("share", "n", "centre_share", "centre_n"))
+            pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
+            self._compare(cut(pairs.join(self.tested, ["a", "b"], "left_anti"), "dup-pairs"))
+            members = here.join(chosen.select("bucket", F.col("centre").alias("doc")), ["bucket", "doc"], "left_anti")
+            members, done = members.select("bucket", "doc", "share", "n", "reach"), done + 1
+
+    def _compare(self, pairs: DataFrame) -> None:
+        self.tested = self.tested.union(pairs)
+        plausible = cut(_plausible(pairs, self.summary), "dup-plausible")
+        linked = cut(_linked(plausible, self.sets), "dup-links")
+        if not linked.isEmpty():
+            self.found = self.found.union(linked)
+            self.places = components(self.found)
 
 
 def links(docs: DataFrame, summary: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of the classes' representatives that have a link."""
-    spark = docs.sparkSession
     members = _buckets(summary, classes)
-    found = spark.createDataFrame([], "a long, b long")
-    tested = found
-    places = spark.createDataFrame([], "node long, component long")
-    centres = 1
-    while True:
-        here = members.join(places, members.doc == places.node, "left").select(
-            "bucket", "doc", "reach", F.coalesce("component", "doc").alias("component")
-        )
-        split = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        here = here.join(split.where("low < high").select("bucket"), "bucket", "left_semi")
-        nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("reach"), "doc"))
-        chosen = here.withColumn("nth", nth).where(F.col("nth") <= centres).select(
-            "bucket", F.col("doc").alias("centre"), F.col("component").alias("centre_component")
-        )
-        chosen = cut(chosen, "dup-centres")
-        if chosen.isEmpty():
-            return places
-        here = cut(here, "dup-members")
-        met = here.join(chosen, "bucket").where("component != centre_component")
-        pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"), "dup-pairs")
-        tested = tested.union(pairs)
-        plausible = cut(_plausible(pairs, summary), "dup-plausible")
-        found = found.union(cut(_linked(plausible, docs), "dup-links"))
-        places = components(found)
-        members = here.join(
-            chosen.select("bucket", F.col("centre").alias("doc")), ["bucket", "doc"], "left_anti"
-        ).select("bucket", "doc", "reach")
-        centres *= 2
+    sets = _sets(docs, cut(members.select(F.col("doc").alias("doc_id")).distinct(), "dup-ids"))
+    search = _Search(summary, sets)
+    still_open = search.rounds(members, ROUNDS)
+    if not still_open.isEmpty():
+        open_docs = cut(still_open.select(F.col("doc").alias("doc_id")).distinct(), "dup-ids")
+        search.rounds(_rare_shingles(sets, open_docs))
+    return search.places
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def id_text(docs: DataFrame) -> DataFrame:
 class WordIds(dict):
     """64-bit ids of words, remembered for the words met most recently."""
 
-    LIMIT = 1 << 20
+    LIMIT = 1 << 18
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
