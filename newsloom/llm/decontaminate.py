@@ -74,34 +74,34 @@ class Items:
         for k, found in enumerate(sets):
             self.classes[size_class(len(found))].append(k)
         self.sketches = [sketch(found, PLACES) for found in sets]
-        pairs = [(s, k) for k, found in enumerate(sets) for s in found.tolist()]
-        pairs.sort()
-        self.shingles = np.array([s for s, _ in pairs], np.uint64)
-        self.owners = np.array([k for _, k in pairs], np.int64)
         self.tables = {}
+        self.shapes = {}
 
-    def banded(self, item_class: int, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """The band keys of the items of a partition, sorted, with their items."""
+    def index(self, item_class: int, shape: tuple[int, int] | None) -> Index:
+        """The items of a partition by their band keys, or without a shape by all their shingles."""
         if (item_class, shape) not in self.tables:
             members = self.classes[item_class]
-            keys = np.concatenate([band_keys(self.sketches[k], *shape) for k in members])
-            owners = np.repeat(np.array(members), shape[1])
-            order = np.argsort(keys, kind="stable")
-            self.tables[item_class, shape] = keys[order], owners[order]
+            keys = [self.sets[k] if shape is None else band_keys(self.sketches[k], *shape) for k in members]
+            owners = np.repeat(np.array(members), [len(k) for k in keys])
+            self.tables[item_class, shape] = Index(np.concatenate(keys), owners)
         return self.tables[item_class, shape]
 
+    def shape(self, doc_class: int, item_class: int) -> tuple[int, int] | None:
+        if (doc_class, item_class) not in self.shapes:
+            self.shapes[doc_class, item_class] = banding(doc_class, item_class, self.percent)
+        return self.shapes[doc_class, item_class]
+
     def candidates(self, found: np.ndarray) -> set[int]:
         chosen, places = set(), None
         doc_class = size_class(len(found))
-        shapes = {c: banding(doc_class, c, self.percent) for c in self.classes if 2**c * self.percent <= 100 * len(found)}
-        for item_class, shape in shapes.items():
-            if shape is not None:
-                places = sketch(found, PLACES) if places is None else places
-                keys, owners = self.banded(item_class, shape)
-                chosen.update(_owners(keys, owners, band_keys(places, *shape)))
-        whole = {c for c, shape in shapes.items() if shape is None}
-        if whole:
-            chosen.update(k for k in _owners(self.shingles, self.owners, found) if size_class(len(self.sets[k])) in whole)
+        for item_class in self.classes:
+            if 2**item_class * self.percent > 100 * len(found):
+                continue  # too few shingles for the smallest of these items
+            shape = self.shape(doc_class, item_class)
+            if shape is not None and places is None:
+                places = sketch(found, PLACES)
+            wanted = found if shape is None else band_keys(places, *shape)
+            chosen.update(self.index(item_class, shape).owners_of(wanted))
         return chosen
 
     def hits(self, text: str | None) -> list[tuple[int, int]]:
@@ -119,11 +119,19 @@ class Items:
         return hits
 
 
-def _owners(keys: np.ndarray, owners: np.ndarray, wanted: np.ndarray) -> list[int]:
-    """The owners of the sorted keys that are wanted."""
-    present = wanted[np.isin(wanted, keys)]
-    low, high = np.searchsorted(keys, present, "left"), np.searchsorted(keys, present, "right")
-    return [k for a, b in zip(low, high, strict=True) for k in owners[a:b].tolist()]
+class Index:
+    """Sorted keys with their owners; a bitmap of the keys' leading bits answers most misses."""
+
+    def __init__(self, keys: np.ndarray, owners: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], owners[order]
+        self.marked = np.zeros(1 << 20, bool)
+        self.marked[self.keys >> np.uint64(44)] = True
+
+    def owners_of(self, wanted: np.ndarray) -> list[int]:
+        likely = wanted[self.marked[wanted >> np.uint64(44)]]
+        low, high = np.searchsorted(self.keys, likely, "left"), np.searchsorted(self.keys, likely, "right")
+        return [k for a, b in zip(low.tolist(), high.tolist(), strict=True) for k in self.owners[a:b].tolist()]
 
 
 def _blocks(benchmark: DataFrame):

@@ -54,20 +54,6 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-class WordIds(dict):
-    """64-bit ids of words, remembered for the words met most recently."""
-
-    LIMIT = 1 << 18
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-WORD_IDS = WordIds()
-
 _P1 = np.uint64(0x9E3779B97F4A7C15)
 _P2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _S32 = np.uint64(32)
@@ -82,7 +68,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def word_ids(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORD_IDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def window_ids(ids: np.ndarray, width: int) -> np.ndarray:
