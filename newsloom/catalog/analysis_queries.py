@@ -14,6 +14,7 @@ from newsloom.operators import categories as C
 from newsloom.operators import language as G
 from newsloom.operators import lexicon as L
 from newsloom.operators import sentiment as S
+from newsloom.plans import models as M
 from newsloom.plans.enrich import enrich_articles as enrich
 from newsloom.plans.enrich import reenrich as renew
 
@@ -23,9 +24,9 @@ FREQUENT = ["de", "la", "le", "les", "que", "the", "and", "of", "der", "die"]
 PRAISE = ["la", "the", "die", "en"]
 COMPLAINT = ["of", "les", "der", "que"]
 PHRASES = {
-    "politique": "tion, the th, of the",
+    "politique": ["tion", "the th", "of the"],
     "sport": ["and", "le "],
-    "santé": ["Ère", "er ver", "on"],
+    "santé": ["Ère", "ere", "er ver", "on"],  # two entries that are equal once normalised
     "culture": ["ment", "que"],
 }
 
@@ -55,7 +56,7 @@ _WORDS = f"""
 
 def normalized_of(tables: Tables) -> DataFrame:
     words = T.normalize_text(F.col("text"))
-    return with_once(tables.texts("documents").select("doc_id", "text"), {"words": words})
+    return with_once(tables.table("documents").select("doc_id", "text"), {"words": words})
 
 
 def words_of(tables: Tables) -> DataFrame:
@@ -122,7 +123,7 @@ def _ranked(phrases) -> str:
 
 
 def _described() -> str:
-    """The closest description by cosine of word counts in the first characters."""
+    """The closest description by cosine of word counts."""
     rows = [
         f"({place}, '{category}', '{word}')"
         for place, (category, text) in enumerate(fixed.CATEGORY_DESCRIPTIONS.items())
@@ -134,7 +135,7 @@ def _described() -> str:
             sum(t.n * d.n) / (sqrt(any_value(t.squares)) * sqrt(any_value(d.squares))) AS score
           FROM (SELECT doc_id, word, n, sum(n * n) OVER (PARTITION BY doc_id) AS squares FROM (
               SELECT doc_id, word, count(*) AS n FROM (
-                SELECT doc_id, unnest(split(trim(substr(words, 1, 800)), ' ')) AS word FROM normed)
+                SELECT doc_id, unnest(split(words, ' ')) AS word FROM normed)
               WHERE word <> '' GROUP BY doc_id, word)) t
           JOIN (SELECT place, categorie, word, n, sum(n * n) OVER (PARTITION BY place) AS squares FROM (
               SELECT place, categorie, word, count(*) AS n FROM (VALUES {', '.join(rows)}) AS v(place, categorie, word)
@@ -207,7 +208,7 @@ _PROFILES = f"""
 
 @query(_PROFILES)
 def train_language_profiles(tables: Tables) -> DataFrame:
-    return G.train_language_profiles(tables.texts("documents"), "text", "lang")
+    return G.train_language_profiles(tables.table("documents"), "text", "lang")
 
 
 _DETECTED = f"""
@@ -223,8 +224,8 @@ _DETECTED = f"""
 
 @query(f"SELECT d.doc_id, x.detected FROM documents d LEFT JOIN ({_DETECTED}) x ON d.doc_id = x.doc_id")
 def detect_language_ngram(tables: Tables) -> DataFrame:
-    documents = tables.texts("documents")
-    detect = G.ngram_detector(G.train_language_profiles(documents, "text", "lang"))
+    documents = tables.table("documents")
+    detect = G.ngram_detector(M.language_model(tables.spark, documents, "text", "lang"))
     return documents.select("doc_id", detect(T.normalize_text(F.col("text"))).alias("detected"))
 
 
@@ -261,12 +262,38 @@ def sentiment_label(tables: Tables) -> DataFrame:
     return words_of(tables).select("doc_id", S.sentiment_label(score).alias("sentiment"))
 
 
-@query()
+# The same trigrams and weights with the class of a labelled document as the label.
+_CLASS_PROFILES = f"""
+    SELECT class, gram, CAST(round(ln((n + 1) / mass) * 10000) AS BIGINT) AS weight,
+      CAST(round(ln(1 / mass) * 10000) AS BIGINT) AS unseen
+    FROM (SELECT *, sum(n) OVER (PARTITION BY class) + 19683 AS mass
+      FROM (SELECT quality AS class, gram, count(*) AS n FROM ({_GRAMS}) g JOIN labels l ON l.doc_id = g.doc_id
+            GROUP BY quality, gram))
+"""
+_CONFIDENCE = f"""
+    SELECT doc_id, CASE WHEN bad >= good THEN -1 ELSE 1 END / (1 + exp(-abs(good - bad) / 10000)) AS model_score FROM (
+      SELECT g.doc_id, sum(CASE WHEN c.class = 1 THEN coalesce(p.weight, c.unseen) * g.n ELSE 0 END) AS good,
+        sum(CASE WHEN c.class = 0 THEN coalesce(p.weight, c.unseen) * g.n ELSE 0 END) AS bad
+      FROM (SELECT doc_id, gram, count(*) AS n FROM ({_GRAMS}) GROUP BY doc_id, gram) g
+      CROSS JOIN (SELECT class, min(unseen) AS unseen FROM ({_CLASS_PROFILES}) GROUP BY class) c
+      LEFT JOIN ({_CLASS_PROFILES}) p ON p.class = c.class AND p.gram = g.gram
+      GROUP BY g.doc_id)
+"""
+
+
+def sentiment_weights(tables: Tables):
+    return M.sentiment_model(tables.spark, tables.table("documents"), tables.table("labels"), "doc_id", "text", "quality")
+
+
+@query(
+    f"""
+    SELECT d.doc_id, round(coalesce(x.model_score, 0.0), 6) AS model_score
+    FROM documents d LEFT JOIN ({_CONFIDENCE}) x ON d.doc_id = x.doc_id
+    """
+)
 def model_sentiment(tables: Tables) -> DataFrame:
-    documents = tables.texts("documents").select("doc_id", "text")
-    labelled = documents.join(tables.table("labels"), "doc_id")
-    model = S.train_sentiment_model(labelled, "text", "quality")
-    return S.model_sentiment(documents, model, "text").select("doc_id", "model_score")
+    score = S.model_sentiment(T.normalize_text(F.col("text")), sentiment_weights(tables))
+    return tables.table("documents").select("doc_id", F.round(score, 6).alias("model_score"))
 
 
 @query(
@@ -284,7 +311,7 @@ def model_sentiment(tables: Tables) -> DataFrame:
 def nearest_category(tables: Tables) -> DataFrame:
     embeddings = tables.table("embeddings")
     means = C.class_means(embeddings, "label", "embedding")
-    centroids = C.collect_centroids(means, "label", "embedding")
+    centroids = C.collect_centroids(means, "label", "embedding", max_classes=1000)
     nearest = C.nearest_category(embeddings.select("vec_id", "embedding"), "embedding", centroids)
     return nearest.select("vec_id", F.round("similarity", 6).alias("similarity"), "categorie")
 
@@ -306,13 +333,22 @@ def _enriched(rows: str) -> str:
             WHEN {_listed('ws', FREQUENT)} / len(ws) >= CAST(0.2 AS DOUBLE) THEN 'mg'
             WHEN coalesce(detected, 'fr') = 'fr' THEN 'fr' ELSE 'mg' END AS langue
           FROM normed n LEFT JOIN detected d ON n.doc_id = d.doc_id),
-        scored AS (SELECT *, CASE WHEN langue = 'mg' THEN {_score(PRAISE, COMPLAINT)} ELSE 0.0 END AS score FROM spoken)
+        scored AS (SELECT s.*, CASE WHEN langue = 'mg' THEN {_score(PRAISE, COMPLAINT)}
+            ELSE coalesce(f.model_score, 0.0) END AS score
+          FROM spoken s LEFT JOIN ({_CONFIDENCE}) f ON f.doc_id = s.doc_id)
         SELECT s.doc_id, titre, contenu, source, langue, round(score, 6) AS sentiment_score, {_LABEL} AS sentiment,
           c.categorie, CASE WHEN starts_with(source, 'http') THEN 'unused' ELSE source END AS origin
         FROM scored s JOIN ({_categories(PHRASES)}) c ON s.doc_id = c.doc_id
     """
 
 
+def _models(tables: Tables) -> dict:
+    return {
+        "language_model": M.language_model(tables.spark, tables.table("documents"), "text", "lang"),
+        "sentiment_model": sentiment_weights(tables),
+    }
+
+
 def _flat(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -324,9 +360,8 @@ def _flat(df: DataFrame) -> DataFrame:
 
 @query(_enriched("SELECT doc_id, titre, contenu, source FROM @articles"))
 def enrich_articles(tables: Tables) -> DataFrame:
-    profiles = G.train_language_profiles(tables.texts("documents"), "text", "lang")
-    rows = tables.view("articles", spread=True).select("doc_id", "titre", "contenu", "source")
-    return _flat(enrich(rows, detector=G.ngram_detector(profiles), **_ENRICHMENT))
+    rows = tables.view("articles").select("doc_id", "titre", "contenu", "source")
+    return _flat(enrich(rows, **_models(tables), **_ENRICHMENT))
 
 
 @query(
@@ -339,6 +374,5 @@ def enrich_articles(tables: Tables) -> DataFrame:
     """
 )
 def reenrich(tables: Tables) -> DataFrame:
-    profiles = G.train_language_profiles(tables.texts("documents"), "text", "lang")
-    rows = tables.view("articles", spread=True).select("doc_id", "titre", "contenu", "source", "langue")
-    return _flat(renew(rows, detector=G.ngram_detector(profiles), **_ENRICHMENT))
+    rows = tables.view("articles").select("doc_id", "titre", "contenu", "source", "langue")
+    return _flat(renew(rows, **_models(tables), **_ENRICHMENT))

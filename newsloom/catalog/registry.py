@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from newsloom.catalog import views
 from newsloom.session import apply_settings
-from newsloom.sources.tables import spread_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,12 +25,8 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def texts(self, name: str) -> DataFrame:
-        """A table about to be worked on text by text."""
-        return spread_scan(self.table(name))
-
-    def view(self, name: str, spread: bool = False) -> DataFrame:
-        return views.build(self, name, self.texts if spread else self.table)
+    def view(self, name: str) -> DataFrame:
+        return views.build(self, name, self.table)
 
 
 def query(sql: str | None = None) -> Callable:

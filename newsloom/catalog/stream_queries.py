@@ -34,14 +34,12 @@ def stream_ingest_dedup(tables: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events
-    WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2
     """
 )
 def stream_daily_counts(tables: Tables) -> DataFrame:
     path = scratch_path(tables.spark, "volume")
     counts = V.daily_counts(events_stream(tables), "ts", "event_type")
     V.write_daily_counts(counts, f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    return tables.spark.read.schema(counts.schema).parquet(f"{path}/table").withColumn(
-        "day", F.col("day").cast("string")
-    )
+    written = V.read_daily_counts(tables.spark, f"{path}/table", counts.schema, "event_type")
+    return written.withColumn("day", F.col("day").cast("string"))

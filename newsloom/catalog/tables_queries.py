@@ -86,11 +86,13 @@ def append_new(tables: Tables) -> DataFrame:
     """
 )
 def keyed_update(tables: Tables) -> DataFrame:
-    changes = tables.table("labels").select(
-        "doc_id", F.when(F.col("quality") == 1, "good").alias("source")
-    )
+    # Two updates of some keys; the second is the one that counts.
+    labels = tables.table("labels")
+    first = labels.where("doc_id % 3 = 0").select("doc_id", F.lit("first").alias("source"), F.lit(1).alias("step"))
+    last = labels.select("doc_id", F.when(F.col("quality") == 1, "good").alias("source"), F.lit(2).alias("step"))
+    changes = first.union(last)
     documents = tables.table("documents").select("doc_id", "text", "lang", "source")
-    return K.keyed_update(documents, changes, "doc_id", ["source"])
+    return K.keyed_update(documents, changes, "doc_id", ["source"], "step")
 
 
 @query(

@@ -83,7 +83,7 @@ VIEWS = {
     # Documents as articles.
     "articles": f"""
         SELECT doc_id, md5(text) AS id_article,
-               substr(split_part(text, chr(10), 1), 1, 200) AS titre, text AS contenu,
+               split_part(text, chr(10), 1) AS titre, text AS contenu,
                source, lang AS langue, {_MOMENT} AS date_publication
         FROM @documents
     """,
@@ -96,7 +96,7 @@ VIEWS = {
         SELECT doc_id,
           CASE doc_id % 29 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE md5(text) END AS id_article,
           CASE doc_id % 13 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '   ' WHEN 3 THEN 'VIDE'
-            WHEN 4 THEN ' Abcd ' ELSE substr(split_part(text, chr(10), 1), 1, 200) END AS titre,
+            WHEN 4 THEN ' Abcd ' ELSE split_part(text, chr(10), 1) END AS titre,
           CASE doc_id % 17 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN 'VIDE'
             ELSE text END AS contenu,
           CASE WHEN doc_id % 19 = 0 THEN NULL
@@ -138,9 +138,9 @@ VIEWS = {
     # Documents as blocks of list pages, ten to a page.
     "blocks": f"""
         SELECT doc_id, CAST(floor(doc_id / 10) AS INT) AS page_num, CAST(doc_id % 10 AS INT) AS block_pos,
-          trim(substr(split_part(text, chr(10), 1), 1, 200)) AS titre,
+          trim(split_part(text, chr(10), 1)) AS titre,
           CASE WHEN doc_id % 3 = 0 THEN NULL ELSE concat({_part('day')}, '/', {_part('month')}, '/2025') END AS date_text,
-          concat(trim(substr(split_part(text, chr(10), 1), 1, 200)), chr(10),
+          concat(trim(split_part(text, chr(10), 1)), chr(10),
                  CASE WHEN doc_id % 3 = 0 THEN '' ELSE concat({_part('day')}, '/', {_part('month')}, '/2025') END,
                  chr(10), text) AS raw_text
         FROM @documents

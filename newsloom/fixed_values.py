@@ -34,8 +34,6 @@ VECTOR_CHARS = 800
 SHORT_ID_CHARS = 16
 MAX_BAD_RECORDS = 10
 DEFAULT_CATEGORY = "autre"
-REPORT_START = "2025-10-01"
-SENTIMENTS = ["negatif", "neutre", "positif"]
 
 # --- fixed values: Malagasy words -------------------------------------------
 
@@ -81,89 +79,77 @@ kolikoly hosoka halatra fanararaotana
 """.split()
 
 # --- fixed values: category phrases, in category order ----------------------
-# One line of text per group; phrases are separated by commas.
-
 CATEGORY_PHRASES = {
-    "politique": """
-        président, premier ministre, gouvernement, député, sénat,
-        assemblée nationale, élection, campagne électorale, parti, opposition,
-        majorité, constitution, république, mandat, candidat, ministre,
-        manifestation, coup d etat, accord politique, transition,
-        concertation nationale, coalition, motion de censure,
-        révision constitutionnelle, remaniement, conseil des ministres,
-        scrutin, bureau de vote, liste électorale, autorité de transition,
-        haute cour constitutionnelle, hcc, chef de l etat,
-        collectivité territoriale, gouvernorat, commune, maire, préfet,
-        décentralisation, filoha, governemanta, ministera, depiote,
-        fifidianana, antoko politika, lalampanorenana, repoblika, fitondrana,
-        mpitondra, fanovana governemanta
-    """,
-    "justice": """
-        tribunal, juge, procureur, cour suprême, justice, avocat,
-        condamnation, détention, prison, garde a vue, incarcération, crime,
-        enquête, police, gendarmerie, plainte, audience, mandat d arrêt,
-        fraude, corruption, dossier judiciaire, escroquerie, trafic, violence,
-        fitsarana, mpisolovava, heloka, fanadihadiana, polisy, fonja
-    """,
-    "économie": """
-        économie, inflation, croissance, budget, loi de finances, finance,
-        banque, investissement, marché, entreprise, industrie, exportation,
-        importation, pib, développement économique, secteur privé,
-        microfinance, subvention, prix du carburant, pouvoir d achat,
-        coût de la vie, toekarena, varotra, orinasa, tsena, fampiasambola,
-        vidimpiainana, tetibola
-    """,
-    "société": """
-        population, citoyen, communauté, social, pauvreté, emploi, sécurité,
-        migration, inégalité, droits humains, protestation, grève,
-        violence urbaine, insécurité, mponina, fiarahamonina, tanora,
-        fianakaviana, vahoaka
-    """,
-    "santé": """
-        hôpital, centre de santé, médecin, maladie, vaccin, urgence,
-        épidémie, pandémie, santé publique, covid, paludisme, choléra,
-        campagne de vaccination, hopitaly, dokoterà, aretina, fahasalamana,
-        valanaretina
-    """,
-    "éducation": """
-        école, université, enseignement, étudiant, professeur, examen,
-        réforme scolaire, baccalauréat, rentrée scolaire,
-        formation professionnelle, sekoly, oniversite, fanabeazana, mpianatra,
-        mpampianatra
-    """,
-    "technologie": """
-        technologie, innovation, numérique, internet,
-        intelligence artificielle, cybersécurité, start up,
-        transformation digitale, réseau mobile, télécommunication, haitao,
-        rindranasa, aterineto, tambajotra
-    """,
-    "sport": """
-        football, rugby, basket, match, championnat, équipe, tournoi, ligue,
-        sélection nationale, qualification, stade, baolina kitra, lalao,
-        ekipa, fifaninanana, stadiona
-    """,
-    "culture": """
-        festival, concert, exposition, cinéma, théâtre, album, artiste,
-        patrimoine, tradition, danse, musique, littérature, mozika,
-        kolontsaina
-    """,
-    "environnement": """
-        climat, écologie, déforestation, pollution, biodiversité,
-        catastrophe naturelle, cyclone, sécheresse, changement climatique,
-        protection de l environnement, tontolo iainana, toetrandro,
-        fandotoana, rivodoza, hain tany
-    """,
-    "international": """
-        onu, union européenne, relations internationales,
-        conflit international, diplomatie, ambassade,
-        coopération bilatérale, sommet international,
-        sanctions internationales, iraisam pirenena, ady iraisam pirenena
-    """,
-    "transport": """
-        route, aéroport, transport public, trafic, infrastructure,
-        travaux publics, accident de la route, port maritime,
-        compagnie aérienne, fitaterana, seranam piaramanidina, taxibe
-    """,
+    "politique": [
+        "président", "premier ministre", "gouvernement", "député", "sénat", "assemblée nationale",
+        "élection", "campagne électorale", "parti", "opposition", "majorité", "constitution",
+        "république", "mandat", "candidat", "ministre", "manifestation", "coup d etat",
+        "accord politique", "transition", "concertation nationale", "coalition",
+        "motion de censure", "révision constitutionnelle", "remaniement", "conseil des ministres",
+        "scrutin", "bureau de vote", "liste électorale", "autorité de transition",
+        "haute cour constitutionnelle", "hcc", "chef de l etat", "collectivité territoriale",
+        "gouvernorat", "commune", "maire", "préfet", "décentralisation", "filoha", "governemanta",
+        "ministera", "depiote", "fifidianana", "antoko politika", "lalampanorenana", "repoblika",
+        "fitondrana", "mpitondra", "fanovana governemanta",
+    ],
+    "justice": [
+        "tribunal", "juge", "procureur", "cour suprême", "justice", "avocat", "condamnation",
+        "détention", "prison", "garde a vue", "incarcération", "crime", "enquête", "police",
+        "gendarmerie", "plainte", "audience", "mandat d arrêt", "fraude", "corruption",
+        "dossier judiciaire", "escroquerie", "trafic", "violence", "fitsarana", "mpisolovava",
+        "heloka", "fanadihadiana", "polisy", "fonja",
+    ],
+    "économie": [
+        "économie", "inflation", "croissance", "budget", "loi de finances", "finance", "banque",
+        "investissement", "marché", "entreprise", "industrie", "exportation", "importation", "pib",
+        "développement économique", "secteur privé", "microfinance", "subvention",
+        "prix du carburant", "pouvoir d achat", "coût de la vie", "toekarena", "varotra", "orinasa",
+        "tsena", "fampiasambola", "vidimpiainana", "tetibola",
+    ],
+    "société": [
+        "population", "citoyen", "communauté", "social", "pauvreté", "emploi", "sécurité",
+        "migration", "inégalité", "droits humains", "protestation", "grève", "violence urbaine",
+        "insécurité", "mponina", "fiarahamonina", "tanora", "fianakaviana", "vahoaka",
+    ],
+    "santé": [
+        "hôpital", "centre de santé", "médecin", "maladie", "vaccin", "urgence", "épidémie",
+        "pandémie", "santé publique", "covid", "paludisme", "choléra", "campagne de vaccination",
+        "hopitaly", "dokoterà", "aretina", "fahasalamana", "valanaretina",
+    ],
+    "éducation": [
+        "école", "université", "enseignement", "étudiant", "professeur", "examen",
+        "réforme scolaire", "baccalauréat", "rentrée scolaire", "formation professionnelle",
+        "sekoly", "oniversite", "fanabeazana", "mpianatra", "mpampianatra",
+    ],
+    "technologie": [
+        "technologie", "innovation", "numérique", "internet", "intelligence artificielle",
+        "cybersécurité", "start up", "transformation digitale", "réseau mobile",
+        "télécommunication", "haitao", "rindranasa", "aterineto", "tambajotra",
+    ],
+    "sport": [
+        "football", "rugby", "basket", "match", "championnat", "équipe", "tournoi", "ligue",
+        "sélection nationale", "qualification", "stade", "baolina kitra", "lalao", "ekipa",
+        "fifaninanana", "stadiona",
+    ],
+    "culture": [
+        "festival", "concert", "exposition", "cinéma", "théâtre", "album", "artiste", "patrimoine",
+        "tradition", "danse", "musique", "littérature", "mozika", "kolontsaina",
+    ],
+    "environnement": [
+        "climat", "écologie", "déforestation", "pollution", "biodiversité", "catastrophe naturelle",
+        "cyclone", "sécheresse", "changement climatique", "protection de l environnement",
+        "tontolo iainana", "toetrandro", "fandotoana", "rivodoza", "hain tany",
+    ],
+    "international": [
+        "onu", "union européenne", "relations internationales", "conflit international",
+        "diplomatie", "ambassade", "coopération bilatérale", "sommet international",
+        "sanctions internationales", "iraisam pirenena", "ady iraisam pirenena",
+    ],
+    "transport": [
+        "route", "aéroport", "transport public", "trafic", "infrastructure", "travaux publics",
+        "accident de la route", "port maritime", "compagnie aérienne", "fitaterana",
+        "seranam piaramanidina", "taxibe",
+    ],
 }
 
 # --- fixed values: one descriptive line per category ------------------------

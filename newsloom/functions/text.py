@@ -76,11 +76,15 @@ def strip(text: Column) -> Column:
 
 
 def has_length(text: Column, least: int) -> Column:
-    """Whether the stripped text has ``least`` (two or more) characters.
+    """Whether the stripped text has ``least`` characters; null stays null.
 
     True as soon as a character that far from the first one is found, so a long
     text is not read to its end.
     """
+    if least <= 0:
+        return F.when(text.isNotNull(), True)
+    if least == 1:
+        return text.rlike(f"[^{_SPACES}]")
     return text.rlike(rf"(?s)[^{_SPACES}].{{{least - 2}}}.*?[^{_SPACES}]")
 
 
@@ -118,7 +122,3 @@ def word_ngrams(word_list: Column, n: int) -> Column:
 
     return let(word_list, grams)
 
-
-def first_line(text: Column) -> Column:
-    """The first line, stripped."""
-    return strip(F.substring_index(text, "\n", 1))

@@ -17,9 +17,6 @@ from newsloom.functions import text as T
 from newsloom.operators import lexicon as L
 
 
-MAX_CENTROIDS = 1000
-
-
 def leading_categories(scores: Column) -> Column:
     """Names scoring close to the best one, in declared order, the first few."""
 
@@ -53,13 +50,17 @@ def description_similarities(word_list: Column, descriptions: Mapping[str, str])
     )
 
     def squared_length(listed: Column) -> Column:
-        # Ordered pairs of positions that hold the same word; the list is short.
-        return F.aggregate(
-            listed,
-            F.lit(0),
-            lambda total, w: total + F.size(F.filter(listed, lambda other: other == w)),
+        # Equal words are neighbours once sorted: one walk adds up n * n as 1 + 3 + 5 + ...
+        start = F.struct(
+            F.lit(None).cast("string").alias("word"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("total")
         )
 
+        def step(done: Column, word: Column) -> Column:
+            run = F.when(done["word"] == word, done["run"] + 1).otherwise(F.lit(1).cast("long"))
+            return F.struct(word.alias("word"), run.alias("run"), (done["total"] + 2 * run - 1).alias("total"))
+
+        return F.aggregate(F.array_sort(listed), start, step, lambda done: done["total"])
+
     def similarity(row: Column, shared: Column, squares: Column) -> Column:
         dot = F.aggregate(
             shared,
@@ -88,10 +89,15 @@ def nearest_description(
     normalized: Column,
     descriptions: Mapping[str, str] | None = None,
     threshold: float = fixed.SIMILARITY_THRESHOLD,
+    chars: int | None = None,
 ) -> Column:
-    """Closest description by the text's first characters, or the default category."""
+    """Closest description by the words of the text, or the default category.
+
+    ``chars`` takes the first characters only, as for a model of bounded input
+    (``fixed.VECTOR_CHARS``).
+    """
     descriptions = fixed.CATEGORY_DESCRIPTIONS if descriptions is None else descriptions
-    cut = T.words(F.trim(F.substring(normalized, 1, fixed.VECTOR_CHARS)))
+    cut = T.words(normalized if chars is None else F.trim(F.substring(normalized, 1, chars)))
 
     def closest(scores: Column) -> Column:
         best = F.array_max(F.transform(scores, lambda s: s["score"]))
@@ -106,7 +112,7 @@ def nearest_description(
 
 def categorize(
     normalized: Column,
-    phrases: Mapping[str, str | Sequence[str]] | None = None,
+    phrases: Mapping[str, Sequence[str]] | None = None,
     descriptions: Mapping[str, str] | None = None,
     fallback: Column | None = None,
     found: Column | None = None,
@@ -137,11 +143,13 @@ def class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
     return df.groupBy(label).agg(vector_to_array(mean).alias(vector))
 
 
-def collect_centroids(means: DataFrame, label: str, vector: str) -> list[tuple[str, list[float]]]:
-    """Class means as a model, in label order; refuses more than a model's worth."""
-    rows = means.orderBy(label).take(MAX_CENTROIDS + 1)
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} classes")
+def collect_centroids(
+    means: DataFrame, label: str, vector: str, max_classes: int
+) -> list[tuple[str, list[float]]]:
+    """Class means as a model, in label order; the caller says how many classes the driver can hold."""
+    rows = means.orderBy(label).take(max_classes + 1)
+    if len(rows) > max_classes:
+        raise ValueError(f"more than {max_classes} classes")
     return [(str(row[label]), row[vector]) for row in rows]
 
 

@@ -62,12 +62,24 @@ def most_recent(df: DataFrame, group: str, n: int, *order: str | Column) -> Data
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def keyed_update(df: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Set ``columns`` on the rows named by ``updates``, one update per key.
+def keyed_update(
+    df: DataFrame, updates: DataFrame, key: str, columns: Sequence[str], *order: str | Column
+) -> DataFrame:
+    """Set ``columns`` on the rows named by ``updates``; the last update of a key in ``order`` counts.
 
-    A null in an update is set like any other value.
+    Without an order a key must not be updated twice: the plan fails when one is.
+    A null in an update is set like any other value; an update without key names
+    no row.
     """
-    changes = updates.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    named = updates.where(F.col(key).isNotNull())
+    values = F.struct(*[F.col(c).alias(f"_new_{c}") for c in columns])
+    if order:
+        # max_by combines task by task, so a key with many updates costs one row per task.
+        last = F.max_by(values, F.struct(*[F.col(c).alias(f"_{k}") if isinstance(c, str) else c.alias(f"_{k}") for k, c in enumerate(order)]))
+    else:
+        twice = F.raise_error(F.concat(F.lit("more than one update of "), F.first(F.col(key).cast("string"))))
+        last = F.when(F.count("*") > 1, twice).otherwise(F.first(values))
+    changes = named.groupBy(key).agg(last.alias("_last")).select(key, F.lit(True).alias("_hit"), "_last.*")
     joined = df.join(changes, key, "left")
     return joined.select(
         *[

@@ -24,7 +24,8 @@ from newsloom.operators import lexicon as L
 LETTERS = " abcdefghijklmnopqrstuvwxyz"
 GRAMS = len(LETTERS) ** 3
 SCALE = 10_000
-MAX_LANGUAGES = 100
+
+Weights = tuple[list[str], np.ndarray]
 
 
 def letters_only(normalized: Column) -> Column:
@@ -66,12 +67,15 @@ def _gram_index(gram: str) -> int:
     return (a * len(LETTERS) + b) * len(LETTERS) + c
 
 
-def language_weights(profiles: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The trained table as one small matrix: 19,683 rows, one column per language."""
-    bound = GRAMS * MAX_LANGUAGES
+def language_weights(profiles: DataFrame, max_languages: int) -> Weights:
+    """The trained table as one small matrix: 19,683 rows, one column per language.
+
+    The caller says how many languages the driver and the tasks can hold.
+    """
+    bound = GRAMS * max_languages
     table = profiles.select("lang", "gram", "weight", "unseen").limit(bound + 1).toPandas()
     if len(table) > bound:
-        raise ValueError(f"the labels name more than {MAX_LANGUAGES} languages")
+        raise ValueError(f"the labels name more than {max_languages} languages")
     languages = sorted(table["lang"].unique())
     matrix = np.empty((GRAMS, len(languages)), dtype="int64")
     for column, language in enumerate(languages):
@@ -97,22 +101,33 @@ def _grams(text: bytes) -> np.ndarray:
     return grams[codes[1:-1] > 0]
 
 
-def ngram_detector(profiles: DataFrame) -> Callable[[Column], Column]:
-    """A function from a normalised text column to its most likely language.
+def text_grams(text: str) -> np.ndarray:
+    """Matrix rows of all trigrams of a normalised text."""
+    return _grams(text.encode("utf-8"))
+
+
+def language_of(model: Weights) -> Callable[[str | None], str | None]:
+    """A function from a normalised text to its most likely language.
 
-    Training runs when this is called; the matrix then travels with the
-    function.  Texts go through Arrow in batches and each is one vector lookup,
-    so detection needs no shuffle however long the texts are.  Null for a text
-    without a trigram; the alphabetically first language on a tie.
+    None for a text without a trigram; the alphabetically first language on a tie.
     """
-    languages, matrix = language_weights(profiles)
-    names = np.array(languages, dtype=object)
+    languages, matrix = model
 
     def best(text: str | None) -> str | None:
-        if text is None:
-            return None
-        grams = _grams(text.encode("utf-8"))
-        return names[matrix[grams].sum(axis=0).argmax()] if grams.size else None
+        grams = text_grams(text or "")
+        return languages[int(matrix[grams].sum(axis=0).argmax())] if grams.size else None
+
+    return best
+
+
+def ngram_detector(model: Weights) -> Callable[[Column], Column]:
+    """The same for a column.
+
+    The matrix travels with the function.  Texts go through Arrow in batches and
+    each is one vector lookup, so detection needs no shuffle however long the
+    texts are.
+    """
+    best = language_of(model)
 
     # An iterator function: Spark keeps it apart from the plain Pandas functions
     # below it.  Two of one kind it would merge into a single Python step, and

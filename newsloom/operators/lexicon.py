@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,25 +59,14 @@ def lexicon_hits(word_list: Column, words: Iterable[str]) -> Column:
     return F.size(only_listed(word_list, words))
 
 
-def phrase_table(phrases: Mapping[str, str | Sequence[str]] | None = None) -> list[tuple[str, list[str]]]:
-    """Category phrases, normalised and in category order.
-
-    A category's phrases may be given as a list or as one comma-separated text.
-    """
+def phrase_table(phrases: Mapping[str, Sequence[str]] | None = None) -> list[tuple[str, list[str]]]:
+    """Category phrases, normalised and in category order; entries that become equal both stay."""
     phrases = fixed.CATEGORY_PHRASES if phrases is None else phrases
-    table = []
-    for category, given in phrases.items():
-        parts = given.split(",") if isinstance(given, str) else given
-        table.append((category, [w for w in map(T.normalize_word, parts) if w]))
-    return table
+    return [(category, [w for w in map(T.normalize_word, given) if w]) for category, given in phrases.items()]
 
 
 def phrase_search(phrases: Sequence[str]) -> Callable[[str], list[str]]:
     """A function that lists the phrases occurring in a text, in their own order."""
-    try:
-        import ahocorasick
-    except ImportError:
-        return lambda text: [p for p in phrases if p in text]
     automaton = ahocorasick.Automaton()
     for place, phrase in enumerate(phrases):
         automaton.add_word(phrase, place)
@@ -104,14 +94,14 @@ def phrases_found(normalized: Column, table: Phrases) -> Column:
 
 
 def phrase_scores(found: Column, table: Phrases) -> Column:
-    """Per category, in order: how many of its phrases were found."""
+    """Per category, in order: how many entries of its list were found."""
     rows = [{"categorie": category, "phrases": list(phrases)} for category, phrases in table]
     constant = F.from_json(
         F.lit(json.dumps(rows)), "array<struct<categorie: string, phrases: array<string>>>"
     )
 
     def score(row: Column, each: Column) -> Column:
-        hits = F.size(F.filter(each, lambda p: F.array_contains(row["phrases"], p)))
+        hits = F.size(F.filter(row["phrases"], lambda p: F.array_contains(each, p)))
         return F.struct(row["categorie"].alias("categorie"), hits.alias("hits"))
 
     return T.let(found, lambda each: F.transform(constant, lambda row: score(row, each)))

@@ -20,10 +20,11 @@ def origin_of(source: Column, names: dict[str, str] | None = None) -> Column:
 
 
 def with_origin(df: DataFrame, names: DataFrame, source: str = "source") -> DataFrame:
-    """The same against a table ``(domain, origin)`` of any size, one row per domain.
+    """The same against a table ``(domain, origin)`` of any size; of several names the first by alphabet.
 
     Spark broadcasts the table only when it is small enough.
     """
     keyed = df.withColumn("domain", origin_key(F.col(source)))
-    joined = keyed.join(names.withColumnRenamed("origin", "_name"), "domain", "left")
+    named = names.groupBy("domain").agg(F.min("origin").alias("_name"))
+    joined = keyed.join(named, "domain", "left")
     return joined.withColumn("origin", F.coalesce("_name", "domain")).drop("domain", "_name")

@@ -141,30 +141,22 @@ def type_census(df: DataFrame, json_column: str, field: str) -> DataFrame:
 def length_summary(df: DataFrame, column: str = "contenu") -> DataFrame:
     """Count, mean, sample deviation, quartiles and extremes of a text length.
 
-    The lengths are first counted per value, so what meets in one task is one
-    row per distinct length and not one per article.  Quartiles are exact and
-    interpolated.
+    Every task sums up its own rows: the deviation by the moments about its own
+    mean, which merge without losing digits, the exact quartiles by one counted
+    map of lengths.  What meets in the end is a row for each task.
     """
-    length = F.length(column).alias("chars")
-    histogram = df.where(F.col(column).isNotNull()).groupBy(length).agg(F.count("*").alias("n"))
-    n, chars = F.col("n"), F.col("chars").cast("double")
-    total = F.sum(n)
-    mean = F.sum(chars * n) / total
-    squares = F.sum(chars * chars * n)
-
-    def quartile(p: float) -> Column:
-        return F.percentile(F.col("chars"), p, n)
-
-    return histogram.agg(
-        total.alias("n"),
-        mean.alias("mean"),
-        F.sqrt((squares - F.sum(chars * n) * mean) / F.nullif(total - 1, F.lit(0))).alias("std"),
-        F.min("chars").alias("min"),
-        quartile(0.25).alias("q25"),
-        quartile(0.5).alias("q50"),
-        quartile(0.75).alias("q75"),
-        F.max("chars").alias("max"),
+    chars = F.length(column)
+    quartiles = F.percentile(chars, [0.25, 0.5, 0.75])
+    summary = df.where(F.col(column).isNotNull()).agg(
+        F.count("*").alias("n"),
+        F.avg(chars).alias("mean"),
+        F.stddev_samp(chars).alias("std"),
+        F.min(chars).alias("min"),
+        quartiles.alias("q"),
+        F.max(chars).alias("max"),
     )
+    named = [F.get("q", F.lit(k)).alias(name) for k, name in enumerate(("q25", "q50", "q75"))]
+    return summary.select("n", "mean", "std", "min", *named, "max")
 
 
 def count_all(df: DataFrame) -> DataFrame:

@@ -1,23 +1,23 @@
-"""Sentiment: word lists for Malagasy, a trained classifier for French."""
+"""Sentiment: word lists for Malagasy, a trained classifier for French.
+
+The classifier is the trigram model of the language detector with sentiment
+classes as labels: counted, scaled to whole numbers, of bounded size.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newsloom import fixed_values as fixed
 from newsloom.functions import text as T
+from newsloom.operators import language as G
 from newsloom.operators import lexicon as L
 
-# Hash buckets of the classifier: the bound of its weight vector.
-FEATURES = 1 << 14
-
 
 def lexicon_score(
     word_list: Column,
@@ -57,37 +57,41 @@ def score_by_language(language: Column, french: Column, malagasy: Column) -> Col
     )
 
 
-def train_sentiment_model(df: DataFrame, text: str, label: str) -> PipelineModel:
-    """A bag-of-words classifier for texts labelled 0 (negative) or 1.
+def sentiment_of(
+    model: G.Weights, negative: str = "0", neutral: str | None = None, chars: int | None = None
+) -> Callable[[str | None], float]:
+    """A function from a normalised text to its signed confidence.
 
-    Like the scorer it reads the first characters of a text only.
+    ``model`` are trigram profiles of the classes (``G.train_language_profiles``
+    with the class as the label).  The confidence is the share of the best class
+    in the likelihood; it has a minus sign for the negative class.  Every other
+    class counts as positive, a neutral one too unless it is named; then it
+    scores 0.  A text without a trigram scores 0.  ``chars`` reads the first
+    characters only, as a model of bounded input would (``fixed.MODEL_CHARS``).
     """
-    cut = df.select(
-        F.coalesce(F.substring(text, 1, fixed.MODEL_CHARS), F.lit("")).alias("_cut"),
-        F.col(label).cast("double").alias("_label"),
-    )
-    stages = [
-        RegexTokenizer(inputCol="_cut", outputCol="_terms", pattern=r"\P{L}+"),
-        HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=FEATURES),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        LogisticRegression(featuresCol="_tfidf", labelCol="_label", regParam=0.01, maxIter=20),
-    ]
-    return Pipeline(stages=stages).fit(cut)
-
-
-def model_sentiment(
-    df: DataFrame, model: PipelineModel, text: str, neutral_class: float | None = None
-) -> DataFrame:
-    """Add ``model_score``: the confidence, with a minus sign for the negative class.
-
-    Every other class counts as positive, a neutral one too unless it is named;
-    then it scores 0.  Blank text scores 0.
-    """
-    cut = df.withColumn("_cut", F.coalesce(F.substring(text, 1, fixed.MODEL_CHARS), F.lit("")))
-    scored = model.transform(cut)
-    confidence = F.array_max(vector_to_array("probability"))
-    score = F.when(F.col("prediction") == 0.0, -confidence).otherwise(confidence)
-    if neutral_class is not None:
-        score = F.when(F.col("prediction") == neutral_class, F.lit(0.0)).otherwise(score)
-    score = F.when(F.trim("_cut") == "", F.lit(0.0)).otherwise(score)
-    return scored.select(*df.columns, score.alias("model_score"))
+    classes, matrix = model
+
+    def score(text: str | None) -> float:
+        grams = G.text_grams((text or "")[:chars])
+        if not grams.size:
+            return 0.0
+        sums = matrix[grams].sum(axis=0) / G.SCALE
+        best = int(sums.argmax())
+        confidence = float(1 / np.exp(sums - sums[best]).sum())
+        if classes[best] == neutral:
+            return 0.0
+        return -confidence if classes[best] == negative else confidence
+
+    return score
+
+
+def model_sentiment(normalized: Column, model: G.Weights, **settings) -> Column:
+    """The signed confidence of a normalised text."""
+    score = sentiment_of(model, **settings)
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(score).astype("float64")
+
+    return scored(normalized)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.ml import PipelineModel
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +23,52 @@ from newsloom.operators.quality import passes_gate, quality_gate
 ADDED = ("langue", "sentiment_score", "sentiment", "categorie", "origin")
 
 
+def _read_texts(
+    normalized: Column,
+    listed: Column,
+    phrases: L.Phrases,
+    language_model: G.Weights | None,
+    sentiment_model: G.Weights | None,
+) -> Column:
+    """Language, French sentiment and phrases of a text, which crosses to Python once.
+
+    The language is asked for where the word list left the mark '?', the sentiment
+    where the text is French by either.  A text that a model fails on keeps
+    nulls, as one without an answer.
+    """
+    every = L.unique(p for _, entries in phrases for p in entries)
+
+    @F.pandas_udf("detected string, french double, found array<string>")
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        search = L.phrase_search(every)
+        detect = G.language_of(language_model) if language_model else lambda text: None
+        score = S.sentiment_of(sentiment_model) if sentiment_model else lambda text: 0.0
+
+        def one(text: str | None, mark: str | None) -> tuple:
+            if text is None:
+                return None, None, []
+            try:
+                detected = detect(text) if mark == "?" else None
+                french = mark == "fr" or (mark == "?" and (detected or "fr") == "fr")
+                return detected, score(text) if french else None, search(text)
+            except (ValueError, ArithmeticError, LookupError):
+                return None, None, []
+
+        for texts, marks in batches:
+            rows = [one(text, mark) for text, mark in zip(texts, marks, strict=True)]
+            yield pd.DataFrame(rows, columns=["detected", "french", "found"])
+
+    return read(normalized, listed)
+
+
 def enrich_articles(
     df: DataFrame,
-    detector: Callable[[Column], Column] | None = None,
-    sentiment_model: PipelineModel | None = None,
+    language_model: G.Weights | None = None,
+    sentiment_model: G.Weights | None = None,
     malagasy: Sequence[str] = tuple(fixed.MALAGASY_WORDS),
     positive: Sequence[str] = tuple(fixed.POSITIVE_WORDS),
     negative: Sequence[str] = tuple(fixed.NEGATIVE_WORDS),
-    phrases: Mapping[str, str | Sequence[str]] | None = None,
+    phrases: Mapping[str, Sequence[str]] | None = None,
     min_ratio: float = fixed.MALAGASY_RATIO,
     origins: dict[str, str] | None = None,
     other_label: str = "mg",
@@ -39,47 +77,71 @@ def enrich_articles(
 
     A map over the rows: no shuffle and no join, so it runs at the speed of the
     scan and a lost task costs one partition.  The gate comes first and sees
-    the raw text.  Without a detector unlisted text is French; without a model
-    French text scores 0, which is also what a failing model gives.
+    the raw text.  The models are trained beforehand (``plans.models``).  Without
+    a language model unlisted text is French; without a sentiment model French
+    text scores 0, which is also what a failing model gives.
     """
-    cleaned = H.clean_html_text(quality_gate(df), "contenu", "contenu")
+    return _enriched(
+        quality_gate(df), language_model, sentiment_model, malagasy, positive, negative, phrases, min_ratio, origins, other_label
+    ).select(*[c for c in df.columns if c not in ADDED], *ADDED)
+
+
+def _enriched(
+    df: DataFrame, language_model, sentiment_model, malagasy, positive, negative, phrases, min_ratio, origins, other_label
+) -> DataFrame:
+    cleaned = H.clean_html_text(df, "contenu", "contenu")
     normal = with_once(cleaned, {"_norm": T.normalize_text(F.col("contenu"))})
     worked = with_once(normal, {"_words": T.words(F.col("_norm"))})
     text, norm, word_list = F.col("contenu"), F.col("_norm"), F.col("_words")
 
-    # Texts the word list leaves open are marked '?'; only they go to the detector.
+    # Texts the word list leaves open are marked '?'; only they are detected.
     listed = G.detect_language(text, word_list, words=malagasy, min_ratio=min_ratio, unlisted="?")
     worked = with_once(worked, {"_listed": listed})
-    answer = F.lit(None).cast("string")
-    if detector is not None:
-        answer = detector(F.when(F.col("_listed") == "?", norm))
-    worked = worked.withColumn("_answer", answer)
-    settled = G.settled_language(F.col("_listed"), F.col("_answer"), other_label=other_label)
+    table = L.phrase_table(phrases)
+    worked = worked.withColumn("_read", _read_texts(norm, F.col("_listed"), table, language_model, sentiment_model))
+    settled = G.settled_language(F.col("_listed"), F.col("_read.detected"), other_label=other_label)
     worked = worked.withColumn("langue", settled)
-
-    french = F.lit(0.0)
-    if sentiment_model is not None:
-        worked = S.model_sentiment(worked, sentiment_model, "contenu")
-        french = F.col("model_score")
     malagasy_score = S.lexicon_score(word_list, positive, negative)
-    score = S.score_by_language(F.col("langue"), french, malagasy_score)
-    worked = worked.withColumn("_found", L.phrases_found(norm, L.phrase_table(phrases)))
-    named = C.categorize(norm, phrases, found=F.col("_found"))
+    score = S.score_by_language(F.col("langue"), F.col("_read.french"), malagasy_score)
+    named = C.categorize(norm, phrases, found=F.col("_read.found"))
     worked = with_once(worked, {"sentiment_score": score, "categorie": named})
-    worked = worked.withColumns(
+    return worked.withColumns(
         {
             "sentiment": S.sentiment_label(F.col("sentiment_score")),
             "origin": origin_of(F.col("source"), origins),
         }
     )
-    return worked.select(*[c for c in df.columns if c not in ADDED], *ADDED)
 
 
-def reenrich(df: DataFrame, **enrichment) -> DataFrame:
-    """Recompute a whole table; rows that fail the gate stay as they are.
+def reenrich(
+    df: DataFrame,
+    language_model: G.Weights | None = None,
+    sentiment_model: G.Weights | None = None,
+    malagasy: Sequence[str] = tuple(fixed.MALAGASY_WORDS),
+    positive: Sequence[str] = tuple(fixed.POSITIVE_WORDS),
+    negative: Sequence[str] = tuple(fixed.NEGATIVE_WORDS),
+    phrases: Mapping[str, Sequence[str]] | None = None,
+    min_ratio: float = fixed.MALAGASY_RATIO,
+    origins: dict[str, str] | None = None,
+    other_label: str = "mg",
+) -> DataFrame:
+    """Recompute a whole table in one pass; rows that fail the gate stay as they are.
 
-    Both parts are row by row; the table is scanned once for each.
+    Their text is null to the enrichment, which costs it nothing.  Columns that
+    the enrichment adds and the table lacks are null in them.
     """
-    valid = passes_gate(F.col("titre"), F.col("contenu"))
-    done = enrich_articles(df.where(valid), **enrichment)
-    return done.unionByName(df.where(~valid), allowMissingColumns=True)
+    valid = F.coalesce(passes_gate(F.col("titre"), F.col("contenu")), F.lit(False))
+    flagged = with_once(df, {"_valid": valid}).withColumn("_old", F.struct(*df.columns))
+    asked = flagged.withColumn("contenu", F.when(F.col("_valid"), F.col("contenu")))
+    done = _enriched(
+        asked, language_model, sentiment_model, malagasy, positive, negative, phrases, min_ratio, origins, other_label
+    )
+
+    def either(name: str) -> Column:
+        old = F.col("_old")[name] if name in df.columns else F.lit(None)
+        return F.when(F.col("_valid"), F.col(name)).otherwise(old).alias(name)
+
+    changed = {"contenu", *ADDED}
+    return done.select(
+        *[either(c) if c in changed else F.col(c) for c in df.columns if c not in ADDED], *[either(c) for c in ADDED]
+    )

@@ -2,8 +2,8 @@
 
 Every report is a partial aggregation in each task followed by a small
 shuffle of the groups, so a key that holds a third of the rows costs one row
-per task.  Totals come from scalar subqueries, not from a window over all
-groups, so no task ever sees all of them.  Wide crosstabs take their column
+per task.  Totals come from scalar subqueries over the counts, not from a window
+over all groups, so no task ever sees all of them and the table is read once.  Wide crosstabs take their column
 values as a list; without one they come in long form.
 
 Null keys are dropped from the reports unless the name says otherwise.
@@ -38,7 +38,7 @@ def value_counts(df: DataFrame, key: str) -> DataFrame:
 def value_shares(df: DataFrame, key: str, scale: float = 1.0) -> DataFrame:
     """As above with each key's share of all rows that have one, times ``scale``."""
     counted = count_by(df.where(F.col(key).isNotNull()), key)
-    total = df.agg(F.count(key)).scalar()
+    total = counted.agg(F.sum("n")).scalar()
     share = F.col("n") / total * F.lit(scale)
     return counted.withColumn("share", share).orderBy(F.desc("n"), key)
 
@@ -54,24 +54,30 @@ def calendar(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.sparkSession.range(1).select(F.explode(days).alias("day"))
 
 
-def daily_volume(df: DataFrame, moment: str, start: str, end: str) -> DataFrame:
-    """Rows per day over a calendar without gaps; rows after its end are left out."""
-    counted = (
-        date_range_filter(df, moment, start).groupBy(day_of(moment).alias("day")).agg(_rows())
-    )
+def _since(df: DataFrame, moment: str, start: str) -> DataFrame:
+    """Rows per day from ``start`` on."""
+    return date_range_filter(df, moment, start).groupBy(day_of(moment).alias("day")).agg(_rows())
+
+
+def _on_calendar(counted: DataFrame, start: str, end: str) -> DataFrame:
     return (
-        calendar(df, start, end)
+        calendar(counted, start, end)
         .join(counted, "day", "left")
         .select("day", F.coalesce("n", F.lit(0)).alias("n"))
         .orderBy("day")
     )
 
 
+def daily_volume(df: DataFrame, moment: str, start: str, end: str) -> DataFrame:
+    """Rows per day over a calendar without gaps; rows after its end are left out."""
+    return _on_calendar(_since(df, moment, start), start, end)
+
+
 def daily_share(df: DataFrame, moment: str, start: str, end: str) -> DataFrame:
     """Each day's part of all rows since ``start``, those after the calendar's end included."""
-    since = date_range_filter(df, moment, start)
-    total = since.agg(F.count("*")).scalar()
-    return daily_volume(df, moment, start, end).select("day", (F.col("n") / total).alias("share"))
+    counted = _since(df, moment, start)
+    total = counted.agg(F.sum("n")).scalar()
+    return _on_calendar(counted, start, end).select("day", (F.col("n") / total).alias("share"))
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str] | None = None) -> DataFrame:

@@ -30,20 +30,6 @@ def scan_articles(
     return table.select(*columns) if columns else table
 
 
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """A scan that keeps all cores busy.
-
-    A table of a few files or row groups is read by a few tasks, however long
-    each row takes to work on; it is dealt out first.  A scan with a task for
-    every core, as of any large table, stays as it is and moves nothing.
-    ``scan`` must be a bare scan: its number of tasks is asked for.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores * 4)
-
-
 def write_table(
     df: DataFrame, path: str, mode: str = "errorifexists", by: str | None = None, fmt: str = "parquet"
 ) -> None:

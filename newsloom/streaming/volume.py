@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+BATCH = "batch_id"
 
 
 def daily_counts(stream: DataFrame, moment: str, key: str, lateness: str = "1 day") -> DataFrame:
-    """Rows per UTC day and key; a day closes when the watermark has passed it."""
+    """Rows per UTC day and key; rows later than the watermark are dropped."""
     timed = stream.withColumn(moment, F.col(moment).cast("timestamp"))
     return (
         timed.withWatermark(moment, lateness)
@@ -21,12 +24,27 @@ def daily_counts(stream: DataFrame, moment: str, key: str, lateness: str = "1 da
 def write_daily_counts(
     counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append closed days to a Parquet table, each exactly once."""
+    """Write the counts that a micro-batch has changed, open days included.
+
+    Each batch replaces a folder of its own, so one that runs again after a
+    failure leaves the same rows.
+    """
+    # The table exists before the first batch.
+    counts.sparkSession.createDataFrame([], counts.schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+
+    def replace(changed: DataFrame, number: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+
     return (
-        counts.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        counts.writeStream.outputMode("update")
+        .foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def read_daily_counts(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
+    """The counts as they stand: of each day and key the one written last."""
+    written = spark.read.schema(StructType([*schema.fields]).add(BATCH, "long")).parquet(path)
+    return written.groupBy("day", key).agg(F.max_by("n", BATCH).alias("n"))

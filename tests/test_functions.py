@@ -43,7 +43,7 @@ def test_strip_and_blank(spark):
 
 def test_has_length_equals_the_stripped_length(spark):
     samples = ["", " ", "a", " a ", "ab", "a b", " a\n\nb ", "\n\nabc\u00a0", "a\U0001f600b", "\U0001f600\U0001f600", None]
-    for least in (2, 3, 5):
+    for least in (0, 1, 2, 3, 5):
         expected = [s if s is None else len(s.strip()) >= least for s in samples]
         assert values(spark, samples, lambda c: T.has_length(c, least)) == expected
 

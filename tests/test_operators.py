@@ -95,6 +95,11 @@ def test_keys(spark):
     updates = spark.createDataFrame([("a", None)], "id_article string, n int")
     updated = K.keyed_update(batch, updates, "id_article", ["n"])
     assert sorted((r.n for r in updated.collect()), key=str) == [3, 4, None, None]
+    twice = spark.createDataFrame([("a", 7, 1), ("a", 9, 3), ("a", 8, 2), ("b", None, 1), (None, 0, 1)], "id_article string, n int, at int")
+    updated = K.keyed_update(batch, twice, "id_article", ["n"], "at")
+    assert sorted((r.n for r in updated.collect()), key=str) == [4, 9, 9, None]
+    with pytest.raises(Exception, match="more than one update of a"):
+        K.keyed_update(batch, twice, "id_article", ["n"]).collect()
     assert K.delete_where(batch, F.col("id_article") == "a").count() == 2
 
 
@@ -117,6 +122,7 @@ def test_origin(spark):
     names = spark.createDataFrame(list(fixed.ORIGIN_NAMES.items()), "domain string, origin string")
     joined = {r.source: r.origin for r in O.with_origin(df, names).collect()}
     assert joined == dict(zip((s[0] for s in samples), expected))
+    assert O.with_origin(df, names.union(names.limit(1))).count() == len(samples)
 
 
 def category(spark, text, **options):
@@ -175,7 +181,9 @@ def test_detector_and_profiles(spark):
     rows = [("le chat est sur la table et il dort", "fr"), ("the cat is on the table and it sleeps", "en")]
     profiles = G.train_language_profiles(spark.createDataFrame(rows, "t string, l string"), "t", "l")
     assert profiles.where("gram = ' th' and lang = 'en'").first().n == 2
-    detect = G.ngram_detector(profiles)
+    detect = G.ngram_detector(G.language_weights(profiles, 2))
+    with pytest.raises(ValueError):
+        G.language_weights(spark.createDataFrame([(str(k), "abc", 1, 1) for k in range(19_684)], profiles.select("lang", "gram", "weight", "unseen").schema), 1)
     texts = spark.createDataFrame([("la table et le chat",), ("the table and the cat",), ("123 ??",), (None,)], "t string")
     got = [r[0] for r in texts.select(detect(F.col("t"))).collect()]
     assert got == ["fr", "en", None, None]
@@ -195,12 +203,15 @@ def test_sentiment_model_beats_the_majority(spark):
     good, bad = "bravo magnifique succès", "triste échec colère"
     rows = [(f"{good} numéro {i}", 1) for i in range(30)] + [(f"{bad} numéro {i}", 0) for i in range(20)]
     df = spark.createDataFrame(rows, "t string, y int")
-    scored = S.model_sentiment(df, S.train_sentiment_model(df, "t", "y"), "t")
-    right = scored.where((F.col("model_score") > 0) == (F.col("y") == 1)).count()
-    assert right == 50
-    blank = spark.createDataFrame([("  ", 0), (None, 0)], "t string, y int")
-    model = S.train_sentiment_model(df, "t", "y")
-    assert [r.model_score for r in S.model_sentiment(blank, model, "t").collect()] == [0.0, 0.0]
+    model = G.language_weights(G.train_language_profiles(df.withColumn("y", F.col("y").cast("string")), "t", "y"), 2)
+    scored = df.withColumn("score", S.model_sentiment(T.normalize_text(F.col("t")), model))
+    assert scored.where((F.col("score") > 0) == (F.col("y") == 1)).count() == 50
+    assert scored.where(F.abs("score") > 0.5).count() == 50
+    score = S.sentiment_of(model)
+    assert [score(" "), score(None), score("12")] == [0.0, 0.0, 0.0]
+    # The whole text counts unless told otherwise.
+    assert score("triste echec " + "bravo magnifique " * 50) > 0 > S.sentiment_of(model, chars=12)("triste echec " + "bravo magnifique " * 50)
+    assert S.sentiment_of(model, neutral="1")("bravo magnifique") == 0.0
 
 
 def test_nearest_category(spark):
@@ -216,16 +227,20 @@ def test_enrichment_with_everything(spark):
     rows = [("a", "Titre un", french, "Orange Actu"), ("b", "Titre deux", malagasy, "https://www.newsmada.com/x"), ("c", "bad", french, None)]
     df = spark.createDataFrame(rows, "id string, titre string, contenu string, source string")
     training = spark.createDataFrame([(french, "fr"), ("the cat is on the table", "en")], "t string, l string")
-    detect = G.ngram_detector(G.train_language_profiles(training, "t", "l"))
-    labelled = spark.createDataFrame([(french, 1), ("autre texte de colère", 0)] * 5, "t string, y int")
-    model = S.train_sentiment_model(labelled, "t", "y")
-    got = {r.id: r for r in E.enrich_articles(df, detector=detect, sentiment_model=model).collect()}
+    labelled = spark.createDataFrame([(french, "1"), ("autre texte de colère", "0")] * 5, "t string, y string")
+    languages = G.language_weights(G.train_language_profiles(training, "t", "l"), 2)
+    classes = G.language_weights(G.train_language_profiles(labelled, "t", "y"), 2)
+    got = {r.id: r for r in E.enrich_articles(df, languages, classes).collect()}
     assert set(got) == {"a", "b"}
     assert (got["a"].langue, got["a"].categorie, got["a"].origin) == ("fr", ["politique"], "Orange Actu")
     assert got["a"].sentiment_score > 0.2 and got["a"].sentiment == "positif"
     assert (got["b"].langue, got["b"].sentiment_score, got["b"].origin) == ("mg", 1.0, "News Mada")
-    renewed = E.reenrich(df, detector=detect)
-    assert renewed.count() == 3 and renewed.where("id = 'c' and langue is null").count() == 1
+    renewed = E.reenrich(df, languages, classes)
+    assert renewed.count() == 3 and renewed.where("id = 'c' and langue is null and contenu is not null").count() == 1
+    assert renewed.where("id = 'a'").first().sentiment_score == got["a"].sentiment_score
+    old = df.withColumns({"langue": F.lit("xx"), "categorie": F.array(F.lit("old"))})
+    kept = E.reenrich(old, languages, classes).where("id = 'c'").first()
+    assert (kept.langue, kept.categorie, kept.sentiment) == ("xx", ["old"], None)
 
 
 def test_new_articles_and_second_run(spark, tmp_path):

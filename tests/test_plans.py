@@ -41,9 +41,9 @@ def test_filters_reach_the_scan_through_the_enrichment(spark, small):
 
 def test_each_text_pass_is_planned_once(spark, small):
     documents = spark.read.parquet(f"{small}/documents.parquet")
-    detect = G.ngram_detector(G.train_language_profiles(documents, "text", "lang"))
+    model = G.language_weights(G.train_language_profiles(documents, "text", "lang"), 4)
     rows = documents.select("doc_id", "source", F.col("text").alias("contenu"), F.col("text").alias("titre"))
-    text = plan(E.enrich_articles(rows, detector=detect))
+    text = plan(E.enrich_articles(rows, model, model))
     assert text.count("translate(") <= 2  # the plain and the Hangul branch
     assert text.count("array_intersect") <= 5
 
@@ -94,6 +94,20 @@ def test_counts_combine_before_the_shuffle(spark):
     assert "partial_count" in text
 
 
+def test_tables_are_scanned_once(spark, small):
+    for name in ("origin_share", "category_share", "daily_share", "reenrich"):
+        text = final_plan(entry.queries()[name](spark, small))
+        final = text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+        assert final.count("FileScan") <= 1 + final.count("ReusedSubquery") + final.count("Subquery"), name
+    text = plan(entry.queries()["reenrich"](spark, small))
+    assert text.count("FileScan") == 1 and "Exchange" not in text
+
+
+@pytest.mark.parametrize("name", ["keyword_hits", "clean_html_text", "enrich_articles", "word_ngrams"])
+def test_texts_are_worked_on_where_they_are_scanned(spark, small, name):
+    assert "RoundRobinPartitioning" not in plan(entry.queries()[name](spark, small))
+
+
 def test_shares_need_no_window_over_all_groups(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("k"))
     text = plan(R.value_shares(df, "k"))

@@ -79,7 +79,7 @@ def test_repeats_inside_the_watermark(spark, tmp_path):
     assert spark.table("firsts").count() == 2
 
 
-def test_daily_counts_close_days_and_drop_late_rows(spark, tmp_path):
+def test_daily_counts_are_complete_and_drop_late_rows(spark, tmp_path):
     folder, table, check = (str(tmp_path / x) for x in ("in", "table", "check"))
 
     def run():
@@ -87,12 +87,14 @@ def test_daily_counts_close_days_and_drop_late_rows(spark, tmp_path):
         V.write_daily_counts(counts, table, check).awaitTermination()
 
     def days():
-        rows = spark.read.schema("day date, k string, n long").parquet(table).collect()
+        schema = t.StructType().add("day", "date").add("k", "string").add("n", "long")
+        rows = V.read_daily_counts(spark, table, schema, "k").collect()
         return sorted((str(r.day), r.k, r.n) for r in rows)
 
     add(spark, folder, [("a", "2025-01-01 10:00:00", 0), ("a", "2025-01-01 11:00:00", 0), ("a", "2025-01-04 00:00:00", 0)])
     run()
-    assert days() == [("2025-01-01", "a", 2)]
-    add(spark, folder, [("a", "2025-01-01 12:00:00", 0), ("b", "2025-01-08 00:00:00", 0)])
-    run()
     assert days() == [("2025-01-01", "a", 2), ("2025-01-04", "a", 1)]
+    # One row is later than the watermark, one is not and changes an open day.
+    add(spark, folder, [("a", "2025-01-01 12:00:00", 0), ("a", "2025-01-04 09:00:00", 0), ("b", "2025-01-08 00:00:00", 0)])
+    run()
+    assert days() == [("2025-01-01", "a", 2), ("2025-01-04", "a", 2), ("2025-01-08", "b", 1)]
