@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, functions as F
 from newsloom import fixed_values as fixed
 from newsloom.catalog.registry import Tables, query
 from newsloom.catalog.quality_queries import VALID, stripped
-from newsloom.catalog.text_queries import collapsed, normal, plain
+from newsloom.catalog.text_queries import DOMAIN, NAMES, PRODUCED, collapsed, normal, plain, produced
 from newsloom.functions import text as T
 from newsloom.functions.staging import with_once
 from newsloom.operators import categories as C
+from newsloom.operators import keys as K
 from newsloom.operators import language as G
 from newsloom.operators import lexicon as L
 from newsloom.operators import sentiment as S
+from newsloom.plans import ingest as N
 from newsloom.plans import models as M
 from newsloom.plans.enrich import enrich_articles as enrich
 from newsloom.plans.enrich import reenrich as renew
+from newsloom.session import scratch_path
 
 # The documents are invented prose that hardly uses the default words, so every
 # lookup also runs with lists of words that are frequent in it.
@@ -321,24 +324,28 @@ def nearest_category(tables: Tables) -> DataFrame:
 _ENRICHMENT = dict(malagasy=FREQUENT, positive=PRAISE, negative=COMPLAINT, phrases=PHRASES, min_ratio=0.2)
 
 
-def _enriched(rows: str) -> str:
+_NO_ANSWER = "SELECT CAST(NULL AS VARCHAR) AS doc_id, CAST(NULL AS VARCHAR) AS detected, 0.0 AS model_score WHERE false"
+
+
+def _enriched(rows: str, detected: str = _DETECTED, french: str = _CONFIDENCE) -> str:
     """Enrichment of ``doc_id, titre, contenu, source`` rows, with the corpus lists."""
     return f"""
         WITH valid AS (SELECT * FROM ({rows}) WHERE {VALID}),
         cleaned AS (SELECT doc_id, titre, source, {collapsed(plain('contenu', ' '))} AS contenu FROM valid),
         normed AS (SELECT *, CASE WHEN words = '' THEN [] ELSE split(words, ' ') END AS ws
           FROM (SELECT *, {normal('contenu')} AS words FROM cleaned)),
-        detected AS ({_DETECTED}),
+        detected AS ({detected}),
         spoken AS (SELECT n.*, CASE WHEN length(contenu) < 5 OR len(ws) = 0 THEN 'fr'
             WHEN {_listed('ws', FREQUENT)} / len(ws) >= CAST(0.2 AS DOUBLE) THEN 'mg'
             WHEN coalesce(detected, 'fr') = 'fr' THEN 'fr' ELSE 'mg' END AS langue
           FROM normed n LEFT JOIN detected d ON n.doc_id = d.doc_id),
         scored AS (SELECT s.*, CASE WHEN langue = 'mg' THEN {_score(PRAISE, COMPLAINT)}
             ELSE coalesce(f.model_score, 0.0) END AS score
-          FROM spoken s LEFT JOIN ({_CONFIDENCE}) f ON f.doc_id = s.doc_id)
+          FROM spoken s LEFT JOIN ({french}) f ON f.doc_id = s.doc_id)
         SELECT s.doc_id, titre, contenu, source, langue, round(score, 6) AS sentiment_score, {_LABEL} AS sentiment,
-          c.categorie, CASE WHEN starts_with(source, 'http') THEN 'unused' ELSE source END AS origin
+          c.categorie, coalesce(o.origin, {DOMAIN}) AS origin
         FROM scored s JOIN ({_categories(PHRASES)}) c ON s.doc_id = c.doc_id
+        LEFT JOIN (VALUES {NAMES}) AS o(domain, origin) ON o.domain = {DOMAIN}
     """
 
 
@@ -376,3 +383,49 @@ def enrich_articles(tables: Tables) -> DataFrame:
 def reenrich(tables: Tables) -> DataFrame:
     rows = tables.view("articles").select("doc_id", "titre", "contenu", "source", "langue")
     return _flat(renew(rows, **_models(tables), **_ENRICHMENT))
+
+
+# --- ingest: all producers, known ids, gate, enrichment, append ---------------------------
+
+_KNOWN = "substr(id_article, 1, 1) < '4'"
+_FIRST = f"""
+    SELECT id_article AS doc_id, titre, contenu, source FROM (
+      SELECT *, row_number() OVER (PARTITION BY id_article ORDER BY url NULLS FIRST, titre, contenu) AS place
+      FROM ({PRODUCED}) WHERE {VALID} AND id_article <> '')
+    WHERE place = 1 AND NOT {_KNOWN}
+"""
+
+
+def _known_table(tables: Tables) -> str:
+    """A table that holds some of the produced articles already, at a new path."""
+    path = scratch_path(tables.spark, "ingested")
+    known = produced(tables).where(_KNOWN).dropDuplicates(["id_article"])
+    N.enrich_articles(known.withColumns({c: F.lit("known article " * 3) for c in ("titre", "contenu")})).write.parquet(path)
+    return path
+
+
+@query(
+    f"""
+    SELECT doc_id AS id_article, titre, contenu, langue, sentiment_score, sentiment, categorie, origin
+    FROM ({_enriched(_FIRST, _NO_ANSWER, _NO_ANSWER)})
+    """
+)
+def ingest_pipeline(tables: Tables) -> DataFrame:
+    """The rows that two runs over the same batch add to a table: the second adds none."""
+    path = _known_table(tables)
+    known = tables.spark.read.parquet(path)
+    columns = ["id_article", "titre", "contenu", "langue", "sentiment_score", "sentiment", "categorie", "origin"]
+    for _ in range(2):
+        N.ingest(produced(tables), tables.spark.read.schema(known.schema).parquet(path), path, **_ENRICHMENT)
+    return _flat(tables.spark.read.schema(known.schema).parquet(path).where(f"NOT ({_KNOWN})").select(*columns))
+
+
+@query(
+    f"""
+    SELECT CASE WHEN id_article IS NULL OR id_article = '' THEN 'skipped' WHEN {_KNOWN} THEN 'existing'
+      WHEN {VALID} THEN 'added' ELSE 'skipped' END AS status, count(*) AS n
+    FROM ({PRODUCED}) GROUP BY 1
+    """
+)
+def ingest_counters(tables: Tables) -> DataFrame:
+    return K.run_counters(produced(tables), tables.spark.read.parquet(_known_table(tables)).select("id_article"))

@@ -119,6 +119,21 @@ def blank_counts(tables: Tables) -> DataFrame:
     return Q.blank_counts(tables.view("raw_articles").select(*_RAW_COLUMNS))
 
 
+def dynamic_articles(tables: Tables) -> DataFrame:
+    """Articles as dynamic documents: a wrapped date is an object in them."""
+    dates = F.col("date_publication")
+    plain = F.to_json(F.struct("doc_id", "date_publication"))
+    wrapped = F.concat(
+        F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(', "date_publication": '), dates, F.lit("}")
+    )
+    return tables.view("raw_articles").select("doc_id", F.when(dates.startswith("{"), wrapped).otherwise(plain).alias("body"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 12 = 8 OR doc_id % 12 = 11")
+def rows_of_type(tables: Tables) -> DataFrame:
+    return Q.rows_of_type(dynamic_articles(tables), "body", "date_publication", "OBJECT", "MISSING").select("doc_id")
+
+
 @query(
     """
     SELECT 'props' AS field, 'OBJECT' AS json_type, count(*) AS n FROM events
@@ -130,14 +145,7 @@ def blank_counts(tables: Tables) -> DataFrame:
     """
 )
 def type_census(tables: Tables) -> DataFrame:
-    raw = tables.view("raw_articles")
-    # The dynamic document of an article: a wrapped date is an object in it.
-    dates = F.col("date_publication")
-    plain = F.to_json(F.struct("doc_id", "date_publication"))
-    wrapped = F.concat(
-        F.lit('{"doc_id": '), F.col("doc_id").cast("string"), F.lit(', "date_publication": '), dates, F.lit("}")
-    )
-    documents = raw.select(F.when(dates.startswith("{"), wrapped).otherwise(plain).alias("body"))
+    documents = dynamic_articles(tables)
     events = tables.table("events").select(
         F.concat(F.lit('{"props": '), "props", F.lit("}")).alias("body")
     )

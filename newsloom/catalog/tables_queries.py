@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as t
 
 from newsloom.catalog.registry import Tables, query
+from newsloom.functions import dates as D
 from newsloom.operators import keys as K
 from newsloom.operators import quality as Q
 from newsloom.operators import repair as R
@@ -115,8 +116,7 @@ def delete_ids(tables: Tables) -> DataFrame:
     )
 
 
-@query(
-    """
+_PUBLISHED = """
     SELECT coalesce(id_article, '') AS id_article, coalesce(titre, '') AS titre,
       coalesce(url, '') AS url, coalesce(contenu, '') AS contenu, coalesce(source, '') AS source,
       coalesce(source_type, '') AS source_type,
@@ -131,12 +131,10 @@ def delete_ids(tables: Tables) -> DataFrame:
       strftime(iso_meaning, '%Y-%m-%d %H:%M:%S') AS date_publication,
       '2026-01-01 00:00:00' AS sync_timestamp
     FROM @raw_articles
-    """
-)
-def publish_clean(tables: Tables) -> DataFrame:
-    path = scratch_path(tables.spark, "published")
-    P.publish(tables.view("raw_articles"), run_time(), path)
-    stored = S.scan_articles(tables.spark, path, PUBLISHED_SCHEMA)
+"""
+
+
+def _readable(stored: DataFrame) -> DataFrame:
     return stored.select(*PUBLISHED_SCHEMA.fieldNames()).withColumns(
         {
             "categorie": F.array_join("categorie", "|"),
@@ -146,6 +144,52 @@ def publish_clean(tables: Tables) -> DataFrame:
     )
 
 
+@query(_PUBLISHED)
+def publish_clean(tables: Tables) -> DataFrame:
+    path = scratch_path(tables.spark, "published")
+    P.publish(tables.view("raw_articles"), run_time(), path)
+    return _readable(S.scan_articles(tables.spark, path, PUBLISHED_SCHEMA))
+
+
+@query(_PUBLISHED)
+def publish_json(tables: Tables) -> DataFrame:
+    path = scratch_path(tables.spark, "published")
+    P.publish_json(tables.view("raw_articles"), run_time(), path)
+    return _readable(tables.spark.read.schema(PUBLISHED_SCHEMA).json(path))
+
+
+@query(_PUBLISHED)
+def publish_table(tables: Tables) -> DataFrame:
+    path = scratch_path(tables.spark, "published")
+    name = "published_" + path.rsplit("-", 1)[1]
+    raw = tables.view("raw_articles")
+    # A first load makes the table, the second one replaces its rows.
+    P.publish_table(raw.limit(1), run_time(), name, path)
+    P.publish_table(raw, run_time(), name, path)
+    return _readable(tables.spark.table(name))
+
+
+@query(
+    """
+    SELECT doc_id, row_number() OVER (ORDER BY created DESC NULLS LAST, doc_id) - 1 AS position FROM (
+      SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN make_timestamp(2025, 10 + CAST(floor((doc_id % 60) / 30) AS INT),
+        CAST(1 + doc_id % 30 AS INT), CAST(doc_id % 24 AS INT), CAST(doc_id % 60 AS INT), 0) END AS created FROM documents)
+    """
+)
+def newest_first(tables: Tables) -> DataFrame:
+    raw = tables.view("raw_articles").select("doc_id", D.iso_timestamp(F.col("created_at")).alias("created_at"))
+    keyed = raw.withColumn("id_article", F.lpad(F.col("doc_id").cast("string"), 20, "0"))
+    return P.numbered(keyed, *P.newest_order()).select("doc_id", "position")
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def export_json(tables: Tables) -> DataFrame:
+    path = scratch_path(tables.spark, "export")
+    messages = tables.table("conversations").select("conv_id", "turn", "role", "text")
+    S.export_json(messages, path)
+    return tables.spark.read.schema(messages.schema).json(path)
+
+
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def bad_record_budget(tables: Tables) -> DataFrame:
     path = scratch_path(tables.spark, "lines")

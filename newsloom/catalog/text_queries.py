@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from newsloom import fixed_values as fixed
 from newsloom.catalog.quality_queries import stripped
-from newsloom.catalog.registry import Tables, query
+from newsloom.catalog.registry import ORACLES, Tables, query
 from newsloom.catalog.tables_queries import RUN_TIME, moment_text, run_time
 from newsloom.functions import html as H
 from newsloom.functions import ids as I
@@ -181,7 +181,10 @@ def resolve_url(tables: Tables) -> DataFrame:
     return P.page_links(pages).select("page_id", "href", "titre", "link")
 
 
-_NAMES = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in fixed.ORIGIN_NAMES.items())
+NAMES = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in fixed.ORIGIN_NAMES.items())
+DOMAIN = r"""CASE WHEN starts_with(source, 'http')
+        THEN regexp_replace(regexp_extract(source, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1), '^www\.', '')
+        ELSE source END"""
 _SOURCES = """
     SELECT 'page' AS kind, page_id AS id, url AS source FROM pages
     UNION ALL SELECT 'article', doc_id, source FROM @raw_articles
@@ -190,11 +193,9 @@ _SOURCES = """
 
 @query(
     rf"""
-    WITH keyed AS (SELECT kind, id, source, CASE WHEN starts_with(source, 'http')
-        THEN regexp_replace(regexp_extract(source, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)', 1), '^www\.', '')
-        ELSE source END AS domain FROM ({_SOURCES}))
+    WITH keyed AS (SELECT kind, id, source, {DOMAIN} AS domain FROM ({_SOURCES}))
     SELECT kind, id, source, coalesce(names.origin, keyed.domain) AS origin
-    FROM keyed LEFT JOIN (VALUES {_NAMES}) AS names(domain, origin) ON keyed.domain = names.domain
+    FROM keyed LEFT JOIN (VALUES {NAMES}) AS names(domain, origin) ON keyed.domain = names.domain
     """
 )
 def origin_lookup(tables: Tables) -> DataFrame:
@@ -357,24 +358,91 @@ def message_articles(tables: Tables) -> DataFrame:
     return M.message_articles(tables.table("conversations").select("conv_id", "turn", "text"), run_time())
 
 
-@query(
-    """
-    SELECT 'page' AS producer, url AS titre, sha256(url) AS id_article, url, CAST(NULL AS VARCHAR) AS role FROM pages
-    UNION ALL
-    SELECT 'message', text, md5(text), NULL, role FROM conversations
-    """
-)
-def union_sources(tables: Tables) -> DataFrame:
-    pages = tables.table("pages").select(
-        F.lit("page").alias("producer"),
-        F.col("url").alias("titre"),
-        I.sha256_id(F.col("url")).alias("id_article"),
-        "url",
+# --- sites by configuration, and all producers together ---------------------------------
+
+# Pages as those of three sites, two of which are configured, with a date in front of the article.
+SITES = [
+    ("Zero", "https://site0.example.org/list/", "h2.post-title a", "article", "span.date"),
+    ("One", "https://site1.example.org/list/", "h2.post-title a", "article", "time.stamp"),
+]
+
+
+def dated_pages(tables: Tables) -> DataFrame:
+    number = F.col("page_id").cast("string")
+    site = (F.col("page_id") % 3).cast("string")
+    day = F.concat((F.col("page_id") % 28 + 1).cast("string"), F.lit(" octobre 2025"))
+    shown = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<span class="date">'), day, F.lit("</span>"))).otherwise(
+        F.concat(F.lit("<time class='stamp'>Le "), day, F.lit("</time>"))
+    )
+    return tables.table("pages").select(
+        "page_id",
+        F.concat(F.lit("https://site"), site, F.lit(".example.org/a/"), number).alias("url"),
+        F.replace(F.col("html"), F.lit("<article>"), F.concat(shown, F.lit("<article>"))).alias("html"),
     )
-    messages = tables.table("conversations").select(
-        F.lit("message").alias("producer"),
-        F.col("text").alias("titre"),
-        I.md5_id(F.col("text")).alias("id_article"),
-        "role",
+
+
+def listings(tables: Tables) -> DataFrame:
+    """List pages of up to twenty links each; a link outside the headings does not count."""
+    site, part = F.col("page_id") % 3, F.floor(F.col("page_id") / 60)
+    link = F.concat(
+        F.lit('<h2 class="post-title"><a href="/a/'), F.col("page_id").cast("string"), F.lit('">Titre <b>'),
+        F.col("page_id").cast("string"), F.lit("</b></a></h2>"),
     )
-    return unite(pages, messages)
+    rows = tables.table("pages").select(site.alias("site"), part.alias("part"), "page_id", link.alias("link"))
+    lists = rows.groupBy("site", "part").agg(F.array_sort(F.collect_list(F.struct("page_id", "link"))).alias("links"))
+    return lists.select(
+        F.concat(F.lit("https://site"), F.col("site").cast("string"), F.lit(".example.org/list/"), F.col("part").cast("string")).alias("url"),
+        F.concat(F.lit('<a href="/a/0">no</a>'), F.array_join(F.transform("links", lambda x: x["link"]), "")).alias("html"),
+    )
+
+
+def _by_site(title: str) -> str:
+    return f"""
+        SELECT sha256(url) AS id_article, CASE WHEN page_id % 3 = 0 THEN 'Zero' ELSE 'One' END AS source, 'scrap_html' AS source_type,
+          titre, contenu, url, strftime(make_timestamp(2025, 10, CAST(page_id % 28 + 1 AS INT), 0, 0, 0), '%Y-%m-%d %H:%M:%S') AS date_publication,
+          '{RUN_TIME}' AS created_at
+        FROM (SELECT page_id, 'https://site' || CAST(page_id % 3 AS VARCHAR) || '.example.org/a/' || CAST(page_id AS VARCHAR) AS url,
+            {title} AS titre, {collapsed(plain(collapsed(plain(inner('html', 'article'), ' ')), ' '))} AS contenu FROM pages)
+        WHERE contenu <> '' AND page_id % 3 < 2
+    """
+
+
+def _timed(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: moment_text(c) for c in ("date_publication", "created_at")})
+
+
+@query(_by_site(collapsed(plain(inner("html", "h1"), " "))))
+def site_pages(tables: Tables) -> DataFrame:
+    return _timed(P.page_articles(dated_pages(tables).select("url", "html"), run_time(), SITES))
+
+
+@query(_by_site("'Titre ' || CAST(page_id AS VARCHAR)"))
+def site_listings(tables: Tables) -> DataFrame:
+    return _timed(P.listed_articles(listings(tables), dated_pages(tables).select("url", "html"), run_time(), SITES))
+
+
+COMMON = ("id_article", "source", "source_type", "titre", "contenu", "url")
+
+
+def produced(tables: Tables) -> DataFrame:
+    """Feed, page, block and message articles as one table."""
+    return unite(
+        E.feed_entries(feeds_of(tables), run_time()).select(*COMMON),
+        P.site_articles(tables.table("pages").select("url", "html"), run_time(), "Example", "article").select(*COMMON),
+        B.block_articles(tables.view("blocks"), run_time()).select(*COMMON),
+        M.message_articles(tables.table("conversations").select("text"), run_time()).select(*COMMON[:-1]),
+    )
+
+
+_BLOCK_SOURCE = "'" + "', '".join(fixed.BLOCK_SOURCE[:2]) + "'"
+PRODUCED = f"""
+    SELECT {', '.join(COMMON)} FROM ({ORACLES['feed_entries']})
+    UNION ALL SELECT {', '.join(COMMON)} FROM ({ORACLES['page_articles']})
+    UNION ALL SELECT id_article, {_BLOCK_SOURCE}, titre, contenu, url FROM ({ORACLES['block_articles']})
+    UNION ALL SELECT id_article, source, source_type, titre, contenu, NULL FROM ({ORACLES['message_articles']})
+"""
+
+
+@query(PRODUCED)
+def union_sources(tables: Tables) -> DataFrame:
+    return produced(tables)

@@ -129,13 +129,21 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select("column_name", kinds[F.col("column_name")].alias("data_type"), "present")
 
 
-def type_census(df: DataFrame, json_column: str, field: str) -> DataFrame:
-    """How often each JSON type occurs in a field of a dynamic document."""
+def stored_type(json_column: str, field: str) -> Column:
+    """The JSON type of a field of a dynamic document; MISSING where there is none."""
     value = F.try_variant_get(F.try_parse_json(json_column), f"$.{field}", "variant")
     kind = F.regexp_extract(F.schema_of_variant(value), r"^(\w+)", 1)
-    return df.groupBy(F.coalesce(kind, F.lit("MISSING")).alias("json_type")).agg(
-        F.count("*").alias("n")
-    )
+    return F.coalesce(kind, F.lit("MISSING"))
+
+
+def type_census(df: DataFrame, json_column: str, field: str) -> DataFrame:
+    """How often each JSON type occurs in a field of a dynamic document."""
+    return df.groupBy(stored_type(json_column, field).alias("json_type")).agg(F.count("*").alias("n"))
+
+
+def rows_of_type(df: DataFrame, json_column: str, field: str, *types: str) -> DataFrame:
+    """The rows whose field is stored as one of the types."""
+    return df.where(stored_type(json_column, field).isin(*types))
 
 
 def length_summary(df: DataFrame, column: str = "contenu") -> DataFrame:

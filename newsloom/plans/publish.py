@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import dates as D
 from newsloom.functions import numbers as N
 from newsloom.operators.repair import categories_as_list
 from newsloom.schemas import PUBLISHED_SCHEMA
-from newsloom.sources.tables import write_table
+from newsloom.session import scratch_path
+from newsloom.sources.tables import create_table_if_missing, write_table
 
 _DATES = ("created_at", "date_publication")
 
@@ -39,13 +40,17 @@ def published_rows(df: DataFrame, run_time: Column, null_text: str = "") -> Data
     )
 
 
-def newest_first(df: DataFrame) -> DataFrame:
+def newest_order() -> list[Column]:
     """Latest creation date first, nulls last.
 
     The id breaks ties, so that a batch written at one moment does not end up
     in a single range of the sort.
     """
-    return df.orderBy(F.desc_nulls_last("created_at"), "id_article")
+    return [F.desc_nulls_last("created_at"), F.asc("id_article")]
+
+
+def newest_first(df: DataFrame) -> DataFrame:
+    return df.orderBy(*newest_order())
 
 
 def publish(df: DataFrame, run_time: Column, path: str, by_day: bool = True) -> None:
@@ -58,6 +63,32 @@ def publish(df: DataFrame, run_time: Column, path: str, by_day: bool = True) ->
     write_table(rows.withColumn("publication_day", day), path, "overwrite", by="publication_day")
 
 
+def publish_table(df: DataFrame, run_time: Column, name: str, location: str | None = None) -> None:
+    """Replace the rows of a typed table of the catalog, newest first; make the table if it is missing."""
+    create_table_if_missing(df.sparkSession, name, PUBLISHED_SCHEMA, location)
+    newest_first(published_rows(df, run_time)).write.insertInto(name, overwrite=True)
+
+
+def numbered(df: DataFrame, *order: str | Column) -> DataFrame:
+    """The rows with ``position``, from 0, in a total order.
+
+    The sorted ranges are numbered each by itself and written; the counts of the
+    ranges, one row each, say where each begins.  No task sees all rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    place = F.monotonically_increasing_id()
+    marked = df.orderBy(*order).select("*", place.alias("_place"))
+    marked.write.parquet(path)
+    rows = spark.read.schema(marked.schema).parquet(path)
+    rows = rows.withColumn("_range", F.shiftright("_place", 33))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_range", before.alias("_before"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(starts, "_range").withColumn("position", F.col("_before") + within).drop("_range", "_place", "_before")
+
+
 def publish_json(df: DataFrame, run_time: Column, path: str) -> None:
     """The same rows as JSON lines with ISO dates, newest first."""
     rows = newest_first(published_rows(df, run_time))

@@ -86,10 +86,12 @@ def feed_entries(
         F.col(address).alias("source"),
         repair_feed_body(F.col(address), F.col(body)).alias("_body"),
     )
+    # The root element says which dialect it is, so each body is parsed once.
+    is_atom = F.regexp_extract("_body", r"(?s)<([A-Za-z][\w:.-]*)", 1) == "feed"
     parsed = repaired.select(
         "source",
-        F.from_xml("_body", RSS_SCHEMA).alias("_rss"),
-        F.from_xml("_body", ATOM_SCHEMA).alias("_atom"),
+        F.from_xml(F.when(~is_atom, F.col("_body")), RSS_SCHEMA).alias("_rss"),
+        F.from_xml(F.when(is_atom, F.col("_body")), ATOM_SCHEMA).alias("_atom"),
     )
     # Cleaned and judged inside the array, so a summary is cleaned once.
     shaped = F.transform(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,20 +18,25 @@ from newsloom.functions.staging import with_once
 _ANCHOR = r"(?is)<a(?=[\s>])[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)</a\s*>"
 
 
-def page_links(pages: DataFrame, html: str = "html", url: str = "url", within: str | None = None) -> DataFrame:
+def _blocks_within(markup: Column, selector: str) -> Column:
+    """The elements that fit ``tag`` or ``tag.class``, joined; they must not nest in one another."""
+    tag, _, css_class = selector.partition(".")
+    attributes = rf"[^>]*\bclass\s*=\s*[\"'][^\"'>]*\b{css_class}\b[^>]*" if css_class else "[^>]*"
+    blocks = F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}(?=[\s>]){attributes}>.*?</{tag}\s*>"), F.lit(0))
+    return F.array_join(blocks, "\n")
+
+
+def page_links(
+    pages: DataFrame, html: str = "html", url: str = "url", within: str | Column | None = None
+) -> DataFrame:
     """One row per link of a page: position, title and absolute address.
 
-    With ``within``, a selector such as ``h2.post-title``, only the links inside
-    such elements count; these must not nest in one another.
+    With ``within``, a selector such as ``h2.post-title`` or the markup itself,
+    only the links inside it count.
     """
     markup = F.col(html)
     if within is not None:
-        tag, _, css_class = within.partition(".")
-        attributes = rf"[^>]*\bclass\s*=\s*[\"'][^\"'>]*\b{css_class}\b[^>]*" if css_class else "[^>]*"
-        blocks = F.regexp_extract_all(
-            markup, F.lit(rf"(?is)<{tag}(?=[\s>]){attributes}>.*?</{tag}\s*>"), F.lit(0)
-        )
-        markup = F.array_join(blocks, "\n")
+        markup = _blocks_within(markup, within) if isinstance(within, str) else within
     anchors = F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(0))
     rows = pages.select(*pages.columns, F.posexplode(anchors).alias("link_pos", "_anchor"))
     href = F.concat(*[F.regexp_extract("_anchor", _ANCHOR, g) for g in (1, 2, 3)])
@@ -44,30 +49,21 @@ def page_links(pages: DataFrame, html: str = "html", url: str = "url", within: s
     )
 
 
-def site_articles(
-    pages: DataFrame,
-    run_time: Column,
-    site: str,
-    content: str,
-    date: str | None = None,
-    title: str | None = "h1",
+def _articles(
+    pages: DataFrame, run_time: Column, site: Column, content: Column, date: Column | None, title: Column | None
 ) -> DataFrame:
-    """Articles of one site's pages ``(url, html)`` by its selectors.
-
-    Pages without content are left out; a missing or unreadable date becomes
-    the time of the run.  Without a title selector ``titre`` is taken as given.
-    """
-    blocks = {"contenu": H.block_text(F.col("html"), content)}
+    """Articles of ``(url, html)`` by columns that read their parts; each is worked out once."""
+    blocks = {"contenu": content, "_site": site}
     if title is not None:
-        blocks["titre"] = H.block_text(F.col("html"), title)
+        blocks["titre"] = title
     if date is not None:
-        blocks["_date"] = H.block_text(F.col("html"), date)
+        blocks["_date"] = date
     found = with_once(pages, blocks).where(F.col("contenu") != "")
     published = run_time if date is None else D.parse_date_or(F.col("_date"), run_time)
     cleaned = H.clean_html_text(found, "contenu", "contenu")
     return cleaned.select(
         I.sha256_id(F.col("url")).alias("id_article"),
-        F.lit(site).alias("source"),
+        F.col("_site").alias("source"),
         F.lit(fixed.PAGE_SOURCE_TYPE).alias("source_type"),
         F.coalesce("titre", F.lit("")).alias("titre"),
         "contenu",
@@ -77,26 +73,56 @@ def site_articles(
     )
 
 
-def _on_site(pages: DataFrame, listing: str) -> DataFrame:
-    return pages.where(U.netloc(F.col("url")) == U.netloc(F.lit(listing)))
-
+def site_articles(
+    pages: DataFrame,
+    run_time: Column,
+    site: str,
+    content: str,
+    date: str | None = None,
+    title: str | None = "h1",
+) -> DataFrame:
+    """Articles of one site's pages ``(url, html)`` by its selectors.
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    Pages without content are left out; a missing or unreadable date becomes
+    the time of the run.  Without a title selector ``titre`` is taken as given.
+    """
+    html = F.col("html")
+    parts = [None if selector is None else H.block_text(html, selector) for selector in (content, date, title)]
+    return _articles(pages, run_time, F.lit(site), *parts)
 
 
-def page_articles(pages: DataFrame, run_time: Column, sites: list[tuple] = fixed.SITES) -> DataFrame:
-    """Articles of all configured sites; a page belongs to the site on its host.
+class Sites:
+    """Configured sites as columns: each page is read by the selectors of the site on its host.
 
-    ``sites`` holds name, list address, link selector, content selector and
-    date selector.  Every page is worked on by its own site's selectors only.
+    ``sites`` holds name, list address, link selector, content selector and date
+    selector.  The columns are one case each, so a table is scanned once for all
+    sites and a page costs the work of its own site only.
     """
-    return _union(
-        [
-            site_articles(_on_site(pages, listing), run_time, name, content, date)
-            for name, listing, _, content, date in sites
-        ]
-    )
+
+    def __init__(self, sites: list[tuple] = fixed.SITES):
+        self.sites = sites
+
+    def _case(self, make: Callable[[tuple], Column]) -> Column:
+        host, case = U.netloc(F.col("url")), F.lit(None).cast("string")
+        for site in reversed(self.sites):
+            case = F.when(host == U.netloc(F.lit(site[1])), make(site)).otherwise(case)
+        return case
+
+    def name(self) -> Column:
+        return self._case(lambda site: F.lit(site[0]))
+
+    def block(self, place: int) -> Column:
+        return self._case(lambda site: H.block_text(F.col("html"), site[place]))
+
+    def listed(self) -> Column:
+        return self._case(lambda site: _blocks_within(F.col("html"), site[2].split()[0]))
+
+
+def page_articles(pages: DataFrame, run_time: Column, sites: list[tuple] = fixed.SITES) -> DataFrame:
+    """Articles of all configured sites; a page belongs to the site on its host, others are left out."""
+    by = Sites(sites)
+    own = pages.where(by.name().isNotNull())
+    return _articles(own, run_time, by.name(), by.block(3), by.block(4), H.block_text(F.col("html"), "h1"))
 
 
 def listed_articles(
@@ -107,14 +133,8 @@ def listed_articles(
     ``listings`` and ``pages`` are ``(url, html)`` and meet by address.  An
     article listed twice comes out twice, with the same id.
     """
-
-    def linked(listing: str, selector: str) -> DataFrame:
-        links = page_links(_on_site(listings, listing), within=selector.split()[0])
-        return links.select("titre", F.col("link").alias("url")).join(pages.select("url", "html"), "url")
-
-    return _union(
-        [
-            site_articles(linked(listing, selector), run_time, name, content, date, title=None)
-            for name, listing, selector, content, date in sites
-        ]
-    )
+    by = Sites(sites)
+    links = page_links(listings.where(by.name().isNotNull()), within=by.listed())
+    found = links.select("titre", F.col("link").alias("url")).join(pages.select("url", "html"), "url")
+    own = found.where(by.name().isNotNull())
+    return _articles(own, run_time, by.name(), by.block(3), by.block(4), None)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsloom import fixed_values as fixed
-from newsloom.schemas import ARTICLE_SCHEMA
 from newsloom.operators import keys as K
+from newsloom.schemas import ARTICLE_SCHEMA
+from newsloom.session import scratch_path
 
 
 def scan_articles(
@@ -75,22 +76,26 @@ def load_json_lines(
 ) -> DataFrame:
     """JSON lines in a fixed schema, without the unreadable ones.
 
-    Fails when there are more of them than ``budget``.  The count stops as soon
-    as the budget is exceeded.
+    Fails when there are more of them than ``budget``.  Lines are parsed once,
+    into a table below the shared folder that the count and the result read.
     """
     corrupt = "_corrupt"
     wide = StructType([*schema.fields]).add(corrupt, "string")
     lines = spark.read.text(path).where(F.trim("value") != "")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     parsed = lines.select(F.from_json("value", wide, options).alias("row"))
-    is_bad: Column = F.col(f"row.{corrupt}").isNotNull()
-    bad = parsed.where(is_bad).limit(budget + 1).count()
-    if bad > budget:
+    store = scratch_path(spark, "parsed")
+    parsed.select(*[F.col(f"row.{f.name}") for f in schema.fields], F.col(f"row.{corrupt}").isNotNull().alias("_bad")).write.parquet(store)
+    rows = spark.read.schema(StructType([*schema.fields]).add("_bad", "boolean")).parquet(store)
+    if rows.where("_bad").limit(budget + 1).count() > budget:
         raise BadRecordsError(f"more than {budget} unreadable lines in {path}")
-    return parsed.where(~is_bad).select(*[F.col(f"row.{f.name}") for f in schema.fields])
+    return rows.where("NOT _bad").drop("_bad")
 
 
-def create_table_if_missing(spark: SparkSession, name: str, schema: StructType) -> None:
+def create_table_if_missing(
+    spark: SparkSession, name: str, schema: StructType, location: str | None = None
+) -> None:
     """An empty typed Parquet table in the session catalog, unless it is there."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")

@@ -7,19 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructType
 
 from newsloom.operators import keys as K
 
-QUERY, BATCH = "query_id", "batch_id"
+QUERY, BATCH, BUCKET = "query_id", "batch_id", "key_bucket"
+#: Folders that the keys are dealt into; a batch reads those of its own keys.
+BUCKETS = 64
+
+
+def key_bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The ingested table, with the query and the batch that brought each row."""
-    wide = StructType([*schema.fields]).add(QUERY, StringType()).add(BATCH, LongType())
+    """The ingested table, with the query and the batch that brought each row, and its key's bucket."""
+    wide = StructType([*schema.fields]).add(QUERY, StringType()).add(BATCH, LongType()).add(BUCKET, IntegerType())
     return spark.read.schema(wide).parquet(path)
 
 
+def in_buckets_of(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """The part of the table in the buckets that the rows have keys in; other folders are not read."""
+    buckets = [row[0] for row in rows.select(key_bucket(key)).distinct().collect()]  # BUCKETS at most
+    return table.where(F.col(BUCKET).isin(buckets))
+
+
 def ingest_new(
     stream: DataFrame,
     path: str,
@@ -37,20 +49,23 @@ def ingest_new(
     a batch that is run again after a failure leaves its own folder out of the
     comparison and replaces it with the same rows, while a query with a new
     checkpoint never touches the folders of an old one.  Of the table only the
-    key is read.  One query at a time may write to a table.
+    key is read, and only in the buckets that the batch has keys in: a batch of a
+    few keys costs a few folders, however large the table has grown.  One query at
+    a time may write to a table.
     """
     spark = stream.sparkSession
     schema = shape(stream).schema
     # The table exists before the first batch asks for it.
     empty = spark.createDataFrame([], schema)
-    empty.write.mode("ignore").parquet(f"{path}/{QUERY}=none/{BATCH}=-1")
+    empty.write.mode("ignore").parquet(f"{path}/{QUERY}=none/{BATCH}=-1/{BUCKET}=0")
 
     def add(rows: DataFrame, number: int) -> None:
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = (F.col(QUERY) == query) & (F.col(BATCH) >= number)
-        others = read_table(rows.sparkSession, path, schema).where(~own)
-        fresh = K.new_only(K.keep_first(rows, key, *order), others, key)
-        shape(fresh).write.mode("overwrite").parquet(f"{path}/{QUERY}={query}/{BATCH}={number}")
+        others = in_buckets_of(rows, read_table(rows.sparkSession, path, schema), key).where(~own)
+        fresh = shape(K.new_only(K.keep_first(rows, key, *order), others, key))
+        folder = f"{path}/{QUERY}={query}/{BATCH}={number}"
+        fresh.withColumn(BUCKET, key_bucket(key)).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
 
     return (
         stream.writeStream.foreachBatch(add)

@@ -98,3 +98,14 @@ def test_daily_counts_are_complete_and_drop_late_rows(spark, tmp_path):
     add(spark, folder, [("a", "2025-01-01 12:00:00", 0), ("a", "2025-01-04 09:00:00", 0), ("b", "2025-01-08 00:00:00", 0)])
     run()
     assert days() == [("2025-01-01", "a", 2), ("2025-01-04", "a", 2), ("2025-01-08", "b", 1)]
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    folder, table, check = (str(tmp_path / x) for x in ("in", "table", "check"))
+    add(spark, folder, [(f"k{n}", "2025-01-01 10:00:00", n) for n in range(200)])
+    I.ingest_new(source(spark, folder), table, check, "k", "n").awaitTermination()
+    rows = spark.createDataFrame([("k1",), ("k1",), ("new",)], "k string")
+    known = I.in_buckets_of(rows, I.read_table(spark, table, SCHEMA), "k")
+    text = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_bucket" in text or "PartitionFilters: [key_bucket" in text
+    assert "k1" in {r.k for r in known.collect()} and known.count() < 40
