@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+SHARED = "spark.checkpoint.dir"
+
 # Correctness: dates are UTC days.  Scale: adaptive execution coalesces small
 # shuffle partitions and splits skewed ones in joins.
 SQL_SETTINGS = {
@@ -26,7 +28,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = 8, name: str = "newsloom", **settings: str) -> SparkSession:
-    """A single-machine session, for tests and the bench only."""
+    """A single-machine session, for tests and the bench only.
+
+    Where no shared folder is set it gets a temporary one: there is a single
+    machine to see it.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
@@ -39,23 +45,17 @@ def local_session(cores: int | str = 8, name: str = "newsloom", **settings: str)
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get(SHARED, None):
+        spark.conf.set(SHARED, tempfile.mkdtemp(prefix=f"{name}-"))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session may do without the setting; it then gets a fresh
-    temporary folder, because there is a single machine to see it.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="newsloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder every executor can reach, named by ``spark.checkpoint.dir``."""
+    configured = spark.conf.get(SHARED, None)
+    if not configured:
+        raise ValueError(f"set {SHARED} to a folder all executors share")
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
