@@ -179,7 +179,7 @@ def publish_table(tables: Tables) -> DataFrame:
 def newest_first(tables: Tables) -> DataFrame:
     raw = tables.view("raw_articles").select("doc_id", D.iso_timestamp(F.col("created_at")).alias("created_at"))
     keyed = raw.withColumn("id_article", F.lpad(F.col("doc_id").cast("string"), 20, "0"))
-    return P.numbered(keyed, *P.newest_order()).select("doc_id", "position")
+    return Q.numbered(keyed, *P.newest_order()).select("doc_id", "position")
 
 
 @query("SELECT conv_id, turn, role, text FROM conversations")

@@ -25,8 +25,10 @@ from newsloom.functions.staging import with_once
 HIDDEN = (
     r"(?is)<!--.*?(?:-->|\z)"
     r"|<(script|style|template|rt|rp)\b[^>]*>.*?(?:</\1\s*>|\z)"
-    r"|<[!?][^>]*>"
+    r"|<[!?](?!\[CDATA\[)[^>]*>"
 )
+# Character data counts as text.
+CDATA = r"(?s)<!\[CDATA\[(.*?)(?:\]\]>|\z)"
 # A tag; a '>' inside a quoted attribute does not end it.
 TAG = (
     r"</?[A-Za-z][^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+>"
@@ -147,6 +149,7 @@ def plain_text(markup: Column, separator: str) -> Column:
 
     def nodes(m: Column) -> Column:
         visible = F.regexp_replace(F.regexp_replace(m, HIDDEN, separator), TAG, separator)
+        visible = F.when(visible.contains("<![CDATA["), F.regexp_replace(visible, CDATA, "$1")).otherwise(visible)
         return F.when(m.contains("<"), visible).otherwise(m)
 
     return decode_references(T.let(markup, nodes))

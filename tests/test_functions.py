@@ -193,3 +193,9 @@ def test_iso_text(spark):
     assert values(spark, samples, lambda c: D.iso_text(c.cast("timestamp"))) == [
         "2025-10-12T12:00:00+00:00", "2025-10-12T12:00:00.250000+00:00", None,
     ]
+
+
+def test_character_data_is_text(spark):
+    samples = ["<p>a<![CDATA[ b < c ]]>d</p>", "<![CDATA[open", "<!DOCTYPE html><p>x</p>", "<script><![CDATA[no]]></script>y"]
+    got = values(spark, samples, lambda c: H.plain_text(c, " "))
+    assert [" ".join(g.split()) for g in got] == ["a b < c d", "open", "x", "y"]

@@ -292,3 +292,10 @@ def test_origin_by_category_nulls_and_empties(spark):
     df = spark.createDataFrame([("s", None), ("s", []), ("s", ["a"]), (None, ["a"])], "origin string, categorie array<string>")
     got = {tuple(r) for r in reports.origin_by_category(df).collect()}
     assert got == {("s", "Autre", 1), ("s", "a", 1)}
+
+
+def test_rows_are_numbered_in_order(spark):
+    df = spark.range(0, 1000, 1, 7).select(((F.col("id") * 7919) % 1000).alias("v"))
+    assert all(r.v == r.position for r in Q.numbered(df, "v").collect())
+    assert sorted(r.v for r in Q.page_rows(df, 100, 50, F.desc("v")).collect()) == list(range(850, 900))
+    assert Q.page_rows(df.limit(0), 0, 5, "v").count() == 0
