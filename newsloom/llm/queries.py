@@ -122,11 +122,73 @@ def op4_benchmark_decontamination(table) -> DataFrame:
     return rows.withColumn("item_ids", F.array_join("item_ids", ","))
 
 
-@query()
+def _certified_cutoffs() -> str:
+    """One row for each stratum and rule: the strictest cutoff before the first that fails."""
+    counts = " UNION ALL ".join(
+        f"SELECT lang, '{rule}' AS rule, {k} AS step, {cut} AS cutoff, count(*) AS n, count(*) FILTER (WHERE {rule} > {cut}) AS bad FROM good GROUP BY lang"
+        for rule, cuts in quality.CUTOFFS.items()
+        for k, cut in enumerate(cuts)
+    )
+    rate = quality.RISK / len(quality.CUTOFFS)
+    level = f"{quality.ALPHA} / (greatest((SELECT count(DISTINCT lang) FROM good), 1) * {len(quality.CUTOFFS)})"
+    return f"""
+      SELECT lang, rule, max_by(cutoff, step) FILTER (WHERE held) AS cutoff FROM (
+        SELECT *, bool_and(passes) OVER (PARTITION BY lang, rule ORDER BY step) AS held FROM (
+          SELECT *, bad < n AND list_sum(list_transform(range(0, bad + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1)
+            - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) <= {level} AS passes FROM ({counts})))
+      GROUP BY lang, rule
+    """
+
+
+_CUTS = ", ".join(f"any_value(cutoff) FILTER (WHERE rule = '{rule}')::BIGINT AS {rule}_cut" for rule in quality.CUTOFFS)
+_ABOVE = " OR ".join(f"coalesce({rule} > {rule}_cut, false)" for rule in quality.CUTOFFS)
+
+
+@query(
+    r"""
+    WITH split_texts AS (
+      SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+      FROM documents
+    ), windows AS (
+      SELECT doc_id, k, array_to_string(w[k:k + 2], ' ') AS triple
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS k FROM split_texts WHERE len(w) > 2)
+    ), repeated AS (
+      SELECT doc_id, k FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, triple) AS n FROM windows) WHERE n > 1
+    ), covered AS (
+      SELECT doc_id, count(DISTINCT at_word) AS n FROM (
+        SELECT doc_id, unnest([k, k + 1, k + 2]) AS at_word FROM repeated) GROUP BY doc_id
+    ), base AS (
+      SELECT s.doc_id, lang, len(w)::BIGINT AS n_words,
+             length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+             length(regexp_replace(text, '\PL', '', 'g')) AS letters, length(regexp_replace(text, '\P{{Lu}}', '', 'g')) AS upper,
+             length(regexp_replace(text, '[^!]', '', 'g')) AS bangs
+      FROM split_texts s LEFT JOIN covered c ON c.doc_id = s.doc_id
+    ), measured AS (
+      SELECT * EXCLUDE (letters, upper, bangs), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+             (1000 * n_symbols // greatest(n_words, 1))::BIGINT AS symbols,
+             (1000 * upper // greatest(letters, 1))::BIGINT AS capitals,
+             (1000 * n_repeat_words // greatest(n_words, 1))::BIGINT AS repeats,
+             (1000 * bangs // greatest(n_words, 1))::BIGINT AS marks
+      FROM base
+    ), good AS (
+      SELECT * FROM measured WHERE NOT base_failed AND doc_id IN (
+        SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)
+    ), cutoffs AS (SELECT lang, {cuts} FROM ({certified}) GROUP BY lang)
+    SELECT m.*, {cut_names}, NOT base_failed AND NOT ({above}) AS kept
+    FROM measured m LEFT JOIN cutoffs c ON c.lang = m.lang
+    """.format(
+        cuts=_CUTS, certified=_certified_cutoffs(), above=_ABOVE, cut_names=", ".join(f"coalesce({r}_cut, -1) AS {r}_cut" for r in quality.CUTOFFS)
+    )
+)
 def op5_quality_rules(table) -> DataFrame:
-    """Base counts, certified cutoffs of the document's language, and the verdict."""
+    """Base counts, certified cutoffs of the document's language (-1: none), and the verdict."""
     rows = quality.judged(table("documents"), table("labels"))
-    return rows.select("doc_id", *quality.BASE, "base_failed", "kept", "lang", *quality.CUTOFFS, *[f"{r}_cut" for r in quality.CUTOFFS])
+    cuts = [F.coalesce(f"{rule}_cut", F.lit(-1).cast("long")).alias(f"{rule}_cut") for rule in quality.CUTOFFS]
+    return rows.select("doc_id", *quality.BASE, "base_failed", "kept", "lang", *quality.CUTOFFS, *cuts)
 
 
 @query()
