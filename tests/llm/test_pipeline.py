@@ -2,9 +2,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from newsloom.llm import queries
+from newsloom.llm import mixing, queries
+from tests.llm import brute
 
 ORDER = ["quality_rules", "line_dedup", "near_dedup", "decontamination", "target_mix"]
 
@@ -22,12 +24,73 @@ def test_stages_keep_columns_and_take_odd_documents(spark, odd_docs, no_docs, sm
             assert rows.count() <= docs.count()
 
 
-def test_run_equals_its_stages(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES:
-        docs = spark.createDataFrame(stage(spark, docs, small).toPandas())
-    want = sorted((r["doc_id"], r["text"]) for r in docs.collect())
-    assert sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, small).collect()) == want
+def _raked(tokens, rounds=200):
+    """{cell: share} for tempered targets, from {cell: tokens}."""
+    weights, targets = {c: float(n) for c, n in tokens.items()}, []
+    for k, margin in enumerate(mixing.MARGINS):
+        sums = {}
+        for cell, n in tokens.items():
+            sums[cell[k]] = sums.get(cell[k], 0) + n
+        powers = {v: n ** mixing.TEMPER[margin] for v, n in sums.items() if n}
+        targets.append({v: x / sum(powers.values()) for v, x in powers.items()})
+    for _ in range(rounds):
+        for k, target in enumerate(targets):
+            have = {}
+            for cell, w in weights.items():
+                have[cell[k]] = have.get(cell[k], 0) + w
+            weights = {c: w * target.get(c[k], 0) / have[c[k]] if have[c[k]] else 0.0 for c, w in weights.items()}
+    return weights
+
+
+def _chances(tokens, weights, budget):
+    """{cell: chance}: the factor is found by halving."""
+    rates = {c: weights[c] / n if n else 0.0 for c, n in tokens.items()}
+    low, high = 0.0, 1e18
+    for _ in range(300):
+        factor = (low + high) / 2
+        expected = sum(n * min(1.0, rates[c] * factor) for c, n in tokens.items())
+        low, high = (factor, high) if expected < budget * sum(tokens.values()) else (low, factor)
+    return {c: min(1.0, r * low) for c, r in rates.items()}
+
+
+def test_run_equals_a_plain_pipeline(spark, small):
+    rows = {r["doc_id"]: r.asDict() for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    items = [brute.shingles(r["text"]) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    # Too few labels for any certificate here: only the base rules reject.
+    base = {i: brute.quality_base(r["text"]) for i, r in rows.items()}
+    texts = {i: rows[i]["text"] for i, b in base.items() if b[0] >= 50 and 100 * b[4] <= 50 * b[0]}
+    texts = brute.lines_left(texts)
+    lowest, _ = brute.components(texts)
+    texts = {i: t for i, t in texts.items() if lowest[i] == i}
+    held = {i: brute.shingles(t) for i, t in texts.items()}
+    texts = {i: t for i, t in texts.items() if not any(q and 100 * len(q & held[i]) >= 75 * len(q) for q in items)}
+
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    marked = frame.select("doc_id", mixing.topic_of(F.col("text")).alias("topic"), F.xxhash64(F.lit(mixing.SEED), "doc_id").alias("h"))
+    topics, draws = {}, {}
+    for r in marked.collect():
+        topics[r["doc_id"]], draws[r["doc_id"]] = r["topic"], (r["h"] & ((1 << 53) - 1)) / (1 << 53)
+    cells = {i: (rows[i]["source"], rows[i]["lang"], topics[i]) for i in texts}
+    tokens = {}
+    for i, cell in cells.items():
+        tokens[cell] = tokens.get(cell, 0) + len(brute.WORD.findall(texts[i]))
+    chances = _chances(tokens, _raked(tokens), mixing.BUDGET)
+
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, small).collect()}
+    clear = {i for i in texts if abs(draws[i] - chances[cells[i]]) > 1e-3}  # raking ends within a tolerance
+    assert {i for i in got if i in clear} == {i for i in clear if draws[i] < chances[cells[i]]}
+    assert set(got) <= set(texts) and len(clear) > 0.9 * len(texts)
+    for i, row in got.items():
+        assert row["text"] == texts[i]
+        assert abs(row["mix_chance"] - chances[cells[i]]) < 1e-3
+
+
+@pytest.mark.parametrize("name", ["line_dedup", "mixing", "pii", "url_rules"])
+def test_native_operators_have_no_python_on_the_way(name):
+    with open(os.path.join(os.path.dirname(queries.__file__), f"{name}.py")) as file:
+        source = file.read()
+    for word in ("udf", "pandas", "pyarrow", "numpy", "mapIn", "applyIn", ".rdd"):
+        assert word not in source
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
