@@ -18,21 +18,31 @@ from pyspark.sql import functions as F
 from newsloom.operators.quality import is_missing, passes_gate
 
 
-def _key_set(keys: DataFrame, key: str) -> DataFrame:
+def _key_set(keys: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """The distinct keys, each once, however often a task sees one.
 
+    Keys that are known to be unique only need the join's own shuffle.
+
     They are made distinct together with a hash of theirs.  The join then has
     to shuffle them itself, and only in a join that shuffles both sides itself
     does adaptive execution split a partition of the other side that one hot
     key has filled.
     """
+    if unique:
+        return keys.where(F.col(key).isNotNull()).select(key)
     known = keys.where(F.col(key).isNotNull()).select(key, F.xxhash64(key).alias("_hash"))
     return known.distinct().select(key)
 
 
-def new_only(batch: DataFrame, known: DataFrame, key: str = "id_article") -> DataFrame:
-    """Rows whose key is not known yet; repeats inside the batch stay."""
-    return batch.join(_key_set(known, key), key, "left_anti")
+def new_only(
+    batch: DataFrame, known: DataFrame, key: str = "id_article", unique: bool = False
+) -> DataFrame:
+    """Rows whose key is not known yet; repeats inside the batch stay.
+
+    ``unique`` says that no key is in ``known`` twice, as in a table that only
+    this operator has added to; it saves a shuffle of the known keys.
+    """
+    return batch.join(_key_set(known, key, unique), key, "left_anti")
 
 
 def known_only(batch: DataFrame, known: DataFrame, key: str = "id_article") -> DataFrame:

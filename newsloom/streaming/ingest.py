@@ -63,7 +63,7 @@ def ingest_new(
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = (F.col(QUERY) == query) & (F.col(BATCH) >= number)
         others = in_buckets_of(rows, read_table(rows.sparkSession, path, schema), key).where(~own)
-        fresh = shape(K.new_only(K.keep_first(rows, key, *order), others, key))
+        fresh = shape(K.new_only(K.keep_first(rows, key, *order), others, key, unique=True))
         folder = f"{path}/{QUERY}={query}/{BATCH}={number}"
         fresh.withColumn(BUCKET, key_bucket(key)).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
 

@@ -87,6 +87,12 @@ def test_a_hot_key_is_split_in_the_known_id_join(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_unique_known_ids_are_shuffled_once(spark):
+    ids = spark.range(100).select(F.col("id").cast("string").alias("id_article"))
+    text = plan(K.new_only(ids, ids, unique=True))
+    assert "HashAggregate" not in text and K.new_only(ids, ids, unique=True).count() == 0
+
+
 def test_counts_combine_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 2).alias("k"))
     text = plan(R.count_by(df, "k"))
