@@ -78,8 +78,8 @@ def _targets(cells: DataFrame, margin: str, given: dict[str, float] | None) -> D
         table = F.create_map(*[F.lit(x) for pair in given.items() for x in pair]) if given else F.create_map()
         weight = F.coalesce(table[F.col(margin)].cast("double"), F.lit(0.0))
     weighted = shares.select(margin, weight.alias("w"))
-    total = weighted.agg(F.sum("w").alias("total"))
-    return weighted.join(total).select(margin, (F.col("w") / F.nullif("total", F.lit(0.0))).alias(f"{margin}_target"))
+    total = weighted.agg(F.sum("w")).scalar()
+    return weighted.select(margin, (F.col("w") / F.nullif(total, F.lit(0.0))).alias(f"{margin}_target"))
 
 
 def raked(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
