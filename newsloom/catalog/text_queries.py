@@ -12,7 +12,6 @@ from newsloom.functions import html as H
 from newsloom.functions import ids as I
 from newsloom.functions import text as T
 from newsloom.functions.staging import with_once
-from newsloom.functions import urls as U
 from newsloom.operators import origin as O
 from newsloom.plans.ingest import union_sources as unite
 from newsloom.sources import blocks as B

@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from newsloom.operators import keys as K
 from newsloom.operators.quality import quality_gate, with_id

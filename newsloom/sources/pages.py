@@ -11,7 +11,6 @@ from newsloom import fixed_values as fixed
 from newsloom.functions import dates as D
 from newsloom.functions import html as H
 from newsloom.functions import ids as I
-from newsloom.functions import text as T
 from newsloom.functions import urls as U
 from newsloom.functions.staging import with_once
 
