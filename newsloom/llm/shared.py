@@ -54,6 +54,15 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def wanted(keys: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The keys under a condition that every key meets.
+
+    It makes them worth a Bloom filter to Spark, which then drops the rows of the
+    other side of a join before they are shuffled.
+    """
+    return keys.where(F.col(column) >= F.lit(-(1 << 63)))
+
+
 _P1 = np.uint64(0x9E3779B97F4A7C15)
 _P2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _S32 = np.uint64(32)
@@ -62,9 +71,15 @@ _S29 = np.uint64(29)
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
-    values = (values ^ (values >> _S32)) * _P1
-    values = (values ^ (values >> _S29)) * _P2
-    return values ^ (values >> _S32)
+    shifted = values >> _S32
+    found = values ^ shifted
+    found *= _P1
+    np.right_shift(found, _S29, out=shifted)
+    found ^= shifted
+    found *= _P2
+    np.right_shift(found, _S32, out=shifted)
+    found ^= shifted
+    return found
 
 
 def word_ids(words: list[bytes]) -> np.ndarray:

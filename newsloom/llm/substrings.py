@@ -4,8 +4,8 @@ A byte is removed when a string of ``WIDTH`` bytes over it also starts in a docu
 of a smaller doc_id.  So the suffixes of all documents are sorted by their first
 ``WIDTH`` bytes, and within each class of equals those of larger ids are copies.
 
-Suffixes are dealt into buckets by the least hash of the 16-byte strings in their
-first ``WIDTH`` bytes.  Equal suffixes have equal buckets, and neighbours mostly
+Suffixes are dealt into buckets by the least hash of the ``GRAM``-byte strings in
+their first ``WIDTH`` bytes.  Equal suffixes have equal buckets, and neighbours mostly
 share theirs, so a run of neighbouring suffixes travels as one segment of text
 instead of one string each.  A segment that a smaller document of the same task has
 too is settled there and is not sent, so a passage that a third of all documents
@@ -41,17 +41,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.shared import cut, map_batches, mixed, settle
+from newsloom.llm.shared import cut, map_batches, mixed, settle, wanted
 
 WIDTH = 50
 #: Bytes whose least hash chooses the bucket.
-GRAM = 16
+GRAM = 10
 #: A perfect difference set: every residue but 0 is one difference of two members.
 PERIOD = 21
 COVER = (0, 1, 4, 14, 16)
-#: Bytes of text that a task prepares at once, and of the corpus in a bucket.
+#: Bytes of text that a task prepares at once, of segments it gathers before it
+#: packs them bucket by bucket, and of the corpus in a bucket.
 CHUNK_BYTES = 4 << 20
-BUCKET_BYTES = 4 << 20
+PACK_BYTES = 48 << 20
+BUCKET_BYTES = 2 << 20
+#: Positions worked on at a time, so that what is in hand stays in the cache.
+BLOCK = 1 << 15
 
 _NEXT = WIDTH - PERIOD + 1  # bytes that a sample is ranked by
 _K = mixed(np.arange(1, 9, dtype=np.uint64)) | np.uint64(1)
@@ -83,13 +87,19 @@ def segments(raw: bytes, piece_of: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     n = len(raw) - WIDTH + 1
     if n <= 0:
         return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
-    words = _words(raw + b"\0" * 7)
-    least = mixed(words[: len(raw) - GRAM + 1] * _K[0] ^ mixed(words[8 : len(raw) - GRAM + 9]))
-    width, span = 1, WIDTH - GRAM + 1
-    while width < span:  # the minimum over windows twice as wide each time
-        step = min(width, span - width)
-        least = np.minimum(least[:-step], least[step:])
-        width += step
+    words, span = _words(raw + b"\0" * 7), WIDTH - GRAM + 1
+    least = np.empty(n, np.uint64)
+    for low in range(0, n, BLOCK):
+        high = min(low + BLOCK, n) + span - 1
+        part = words[low:high] * _K[0]
+        part += words[low + GRAM - 8 : high + GRAM - 8] * _K[1]
+        part = mixed(part)
+        width = 1
+        while width < span:  # the minimum over windows twice as wide each time
+            step = min(width, span - width)
+            part = np.minimum(part[:-step], part[step:])
+            width += step
+        least[low : low + len(part)] = part
     inside = piece_of[:n] == piece_of[WIDTH - 1 :]
     new = np.empty(n, bool)
     new[0] = True
@@ -99,25 +109,45 @@ def segments(raw: bytes, piece_of: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends_at + WIDTH, least[starts]
 
 
-def _pack(parts: list[np.ndarray], text: bytes) -> bytes:
-    sizes = np.array([len(p) for p in parts], np.int64)
-    return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(p.tobytes() for p in parts) + text)
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as differences, byte by byte of equal weight: mostly zeros, which pack well."""
+    steps = np.diff(values.astype(np.int64), prepend=0)
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    steps = np.frombuffer(raw, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(np.int64).ravel())
+
+
+Segments = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]
 
 
-def _unpack(raw: bytes) -> tuple[list[np.ndarray], bytes]:
+def pack(parts: list[Segments]) -> bytes:
+    """Segments of one bucket: doc ids, text ids, each segment's document, start and length, and the text."""
+    sizes = np.array([len(p[0]) for p in parts])
+    owner = np.concatenate([p[2] + before for p, before in zip(parts, np.cumsum(sizes) - sizes, strict=True)])
+    columns = [np.concatenate([p[k] for p in parts]) for k in (0, 1, 3, 4)]
+    columns.insert(2, owner)
+    counts = np.array([len(c) for c in columns], np.int64)
+    raw = [counts.tobytes(), *map(_planes, columns), *(p[5] for p in parts)]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(raw))
+
+
+def unpack(raw: bytes) -> Segments:
     raw = zstandard.ZstdDecompressor().decompress(raw)
-    at, parts = 5 * 8, []
-    for size, kind in zip(np.frombuffer(raw, np.int64, 5), (np.int64, np.int64, np.int32, np.int64, np.int32), strict=True):
-        parts.append(np.frombuffer(raw, kind, size, at))
-        at += parts[-1].nbytes
-    return parts, raw[at:]
+    at, columns = 5 * 8, []
+    for size in np.frombuffer(raw, np.int64, 5).tolist():
+        columns.append(_numbers(raw[at : at + 8 * size]))
+        at += 8 * size
+    return *columns, raw[at:]
 
 
 Piece = tuple[int, int, int, bytes]  # doc_id, text id, offset in the text, bytes
 
 
-def prepared(pieces: list[Piece], buckets: int) -> Iterator[tuple[int, bytes | None, tuple | None]]:
-    """(bucket, packed segments, None) for each bucket, and (_, None, spans) settled here.
+def prepared(pieces: list[Piece], buckets: int) -> Iterator[tuple[int, Segments | None, tuple | None]]:
+    """(bucket, segments, None) for each bucket, and (_, None, spans) settled here.
 
     Spans are arrays of doc_id, text id, start, end.
     """
@@ -153,8 +183,8 @@ def prepared(pieces: list[Piece], buckets: int) -> Iterator[tuple[int, bytes | N
         chosen = sent[low:high]
         held, at = np.unique(owner[chosen], return_inverse=True)
         text = b"".join([raw[a:b] for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)])
-        lengths = (ends[chosen] - starts[chosen]).astype(np.int32)
-        yield int(bucket[low]), _pack([ids[held], texts[held], at.astype(np.int32), starts[chosen] + offset[owner[chosen]], lengths], text), None
+        own = owner[chosen]
+        yield int(bucket[low]), (ids[held], texts[held], at, starts[chosen] + offset[own], ends[chosen] - starts[chosen], text), None
 
 
 def equal_classes(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,9 +193,13 @@ def equal_classes(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     The classes are numbered in the order of their fingerprints.
     """
     words = _words(raw + b"\0" * 7)
-    prints = np.zeros(len(at), np.uint64)
-    for k, shift in enumerate((0, 8, 16, 24, 32, 40, WIDTH - 8)):
-        prints = mixed(prints ^ words[at + shift] * _K[k])
+    prints = np.empty(len(at), np.uint64)
+    for low in range(0, len(at), BLOCK):
+        here = at[low : low + BLOCK]
+        part = words[here] * _K[0]
+        for k, shift in enumerate((8, 16, 24, 32, 40, WIDTH - 8), 1):
+            part += words[here + shift] * _K[k]
+        prints[low : low + BLOCK] = mixed(part)
     ordered = np.sort(prints)
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     del ordered
@@ -182,22 +216,21 @@ def equal_classes(raw: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     classes = np.cumsum(new) - 1
     leaders = at[np.flatnonzero(new)][classes]
 
-    # The cover's samples within the suffixes that take part, ranked by their bytes.
-    taking = np.zeros(len(raw) + PERIOD, np.int32)
-    np.add.at(taking, at, 1)
-    np.add.at(taking, at + PERIOD, -1)
-    samples = np.flatnonzero(np.cumsum(taking)[: len(raw)] > 0)
-    samples = samples[np.isin(samples % PERIOD, COVER)]
+    # The cover's samples that a tie will ask for, ranked by their bytes.
+    shift = SHIFTS[at % PERIOD, leaders % PERIOD]
+    asked = np.zeros(len(raw), bool)
+    asked[at + shift] = True
+    asked[leaders + shift] = True
+    samples = np.flatnonzero(asked)
     keys = [words[samples + k].byteswap() for k in (0, 8, 16, _NEXT - 8)]
     order = np.lexsort(keys[::-1])
     differs = np.zeros(len(order), np.int64)
     for key in keys:
         differs[1:] |= key[order][1:] != key[order][:-1]
-    ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(differs)
+    ranks = np.empty(len(raw), np.int32)
+    ranks[samples[order]] = np.cumsum(differs)
 
-    shift = SHIFTS[at % PERIOD, leaders % PERIOD]
-    tied = ranks[np.searchsorted(samples, at + shift)] == ranks[np.searchsorted(samples, leaders + shift)]
+    tied = ranks[at + shift] == ranks[leaders + shift]
     for k in (0, 8, PERIOD - 9, _NEXT, _NEXT + 8, WIDTH - 8):  # before the shift, and behind the ranked bytes
         tied &= words[at + k] == words[leaders + k]
     if not tied.all():
@@ -214,7 +247,7 @@ def sorted_bucket(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     """(doc_id, text id, start, end) of the copies in the segments of one bucket."""
     ids, texts, starts, lengths, parts = [], [], [], [], []
     for payload in payloads:
-        (held, held_texts, owner, start, length), text = _unpack(payload)
+        held, held_texts, owner, start, length, text = unpack(payload)
         ids.append(held[owner])
         texts.append(held_texts[owner])
         starts.append(start)
@@ -223,10 +256,10 @@ def sorted_bucket(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     ids, texts, starts, lengths = map(np.concatenate, (ids, texts, starts, lengths))
     raw = b"".join(parts)
     del parts
-    lengths = lengths.astype(np.int64)
     first = np.cumsum(lengths) - lengths
     suffixes = lengths - (WIDTH - 1)
-    at = np.arange(int(suffixes.sum())) + np.repeat(first - (np.cumsum(suffixes) - suffixes), suffixes)
+    at = np.repeat(first - (np.cumsum(suffixes) - suffixes), suffixes)
+    at += np.arange(len(at))
     at, classes = equal_classes(raw, at)
     if not len(at):
         return tuple(np.empty(0, np.int64) for _ in range(4))
@@ -255,31 +288,48 @@ def copied_spans(docs: DataFrame) -> DataFrame:
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(pieces: list[Piece]) -> Iterator[pa.RecordBatch]:
-            for bucket, packed, spans in prepared(pieces, buckets):
-                if spans is None:
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": [bucket], "packed": pa.array([packed], pa.binary()), "spans": pa.array([None], pa.binary())}
-                    )
-                else:  # settled spans take part in no sorting; they are dealt by chance
-                    where = int(spans[2].sum() % buckets)
-                    raw = np.stack(spans).astype(np.int64).tobytes()
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": [where], "packed": pa.array([None], pa.binary()), "spans": pa.array([raw], pa.binary())}
-                    )
-
-        pieces, held = [], 0
+        waiting: dict[int, list[Segments]] = {}
+        spans: list[tuple[int, bytes]] = []
+        held = 0
+
+        def settle_chunk(pieces: list[Piece]) -> int:
+            size = 0
+            for bucket, found, settled in prepared(pieces, buckets):
+                if found is None:  # takes part in no sorting; dealt by chance
+                    spans.append((int(settled[2].sum() % buckets), np.stack(settled).astype(np.int64).tobytes()))
+                else:
+                    waiting.setdefault(bucket, []).append(found)
+                    size += len(found[5])
+            return size
+
+        def out() -> pa.RecordBatch:
+            where = [*waiting, *(b for b, _ in spans)]
+            packed = [*map(pack, waiting.values()), *[None] * len(spans)]
+            settled = [*[None] * len(waiting), *(raw for _, raw in spans)]
+            waiting.clear()
+            spans.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(where, pa.int64()), pa.array(packed, pa.binary()), pa.array(settled, pa.binary())],
+                names=["bucket", "packed", "spans"],
+            )
+
+        pieces, size = [], 0
         for batch in batches:
             for doc_id, text_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
                 for offset in range(0, max(len(raw) - WIDTH + 1, 0), CHUNK_BYTES):
                     pieces.append((doc_id, text_id, offset, raw[offset : offset + CHUNK_BYTES + WIDTH - 1]))
-                    held += len(pieces[-1][3])
-                    if held >= CHUNK_BYTES:
-                        yield from out(pieces)
-                        pieces, held = [], 0
+                    size += len(pieces[-1][3])
+                    if size >= CHUNK_BYTES:
+                        held += settle_chunk(pieces)
+                        pieces, size = [], 0
+                    if held >= PACK_BYTES:
+                        yield out()
+                        held = 0
         if pieces:
-            yield from out(pieces)
+            settle_chunk(pieces)
+        if waiting or spans:
+            yield out()
 
     def sort(table: pa.Table) -> pa.Table:
         packed = [x for x in table.column("packed").to_pylist() if x is not None]
@@ -313,7 +363,10 @@ def deduplicated(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
     """
     settle(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    narrow = narrow.select("doc_id", F.xxhash64("text").alias("text_id"), "text")
+    # Rows that share a doc_id are told apart by their text; mostly there are none, and 0 packs best.
+    several = cut(narrow.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").drop("n"), "substring-ids")
+    alike = narrow.join(several.withColumn("again", F.lit(True)), "doc_id", "left")
+    narrow = alike.select("doc_id", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("text_id"), "text")
     spans = copied_spans(narrow).groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = cut(spans, "substring-spans")
 
@@ -328,8 +381,7 @@ def deduplicated(docs: DataFrame, keep_bytes: bool = False) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=names)
 
     names = ["doc_id", "text_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    # The condition on the id lets Spark filter the texts by a Bloom filter before the shuffle.
-    hit = narrow.join(spans.where("doc_id >= -9223372036854775808"), ["doc_id", "text_id"])
+    hit = narrow.join(wanted(spans), ["doc_id", "text_id"])
     cut_texts = cut(
         map_batches(
             hit.dropDuplicates(["doc_id", "text_id"]),

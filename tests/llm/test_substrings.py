@@ -40,7 +40,7 @@ def test_small_chunks_and_buckets_change_nothing(make_docs, monkeypatch):
     payloads = {}
     for bucket, packed, settled in substrings.prepared(pieces, 3):
         if packed is not None:
-            payloads.setdefault(bucket, []).append(packed)
+            payloads.setdefault(bucket, []).append(substrings.pack([packed]))
         else:
             for i, _, a, b in zip(*settled, strict=True):
                 spans[int(i)].append((int(a), int(b)))
@@ -70,3 +70,11 @@ def test_odd_documents(odd_docs, no_docs):
     assert of[7][0]["kept"] == b" extra"[-len(of[7][0]["kept"]) :]
     assert of[None][0]["n_removed"] == 0 and of[1][0]["kept"] == b"" and of[8][0]["n_removed"] == 0
     assert substrings.deduplicated(no_docs).count() == 0
+
+
+def test_packed_segments_come_back():
+    ids, texts = np.array([5, 9, 2**62]), np.array([0, -3, 7])
+    one = (ids, texts, np.array([0, 0, 2]), np.array([4, 90, 1]), np.array([50, 60, 51]), b"x" * 161)
+    got = substrings.unpack(substrings.pack([one, one]))
+    assert got[0].tolist() == [*ids, *ids] and got[1].tolist() == [*texts, *texts]
+    assert got[2].tolist() == [0, 0, 2, 3, 3, 5] and got[4].tolist() == [50, 60, 51] * 2 and got[5] == b"x" * 322
