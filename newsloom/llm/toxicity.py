@@ -68,23 +68,28 @@ _HOMOGLYPHS = str.maketrans(HOMOGLYPHS)
 _STANDINS = str.maketrans(STANDINS)
 _WORD = re.compile(r"[^\W_](?:[\w@$!]*[^\W_])?")
 _UNSEEN = re.compile("[\u200b-\u200d\u2060\ufeff\u00ad]")
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
+_LOOKALIKE = re.compile(f"[{''.join(HOMOGLYPHS)}]")
 _HIDDEN = re.compile(r"[^\W\d_][\d@$!]|[\d@$!][^\W\d_]")
 
 
-def plain_words(text: str | None) -> list[str]:
-    """The words of a text in lower case and compatibility form, accents kept."""
+def plain(text: str | None) -> str:
+    """The words of a text in lower case and compatibility form, accents kept, with single blanks."""
     text = text or ""
     if not text.isascii():
         text = _UNSEEN.sub("", unicodedata.normalize("NFKC", text))
-    return _WORD.findall(text.lower())
+    return " ".join(_WORD.findall(text.lower()))
 
 
-def folded(words: list[str]) -> list[str]:
-    """The words without accents, lookalikes and stand-ins."""
-    if not all(map(str.isascii, words)):
-        flat = unicodedata.normalize("NFKD", " ".join(words)).translate(_HOMOGLYPHS)
-        words = "".join([c for c in flat if not unicodedata.combining(c)]).split(" ")
-    return [w.translate(_STANDINS) if _HIDDEN.search(w) else w for w in words]
+def folded(words: str) -> str:
+    """The same words without accents, lookalikes and stand-ins."""
+    if not words.isascii():
+        words = _MARKS.sub("", unicodedata.normalize("NFKD", words))
+        if _LOOKALIKE.search(words):
+            words = words.translate(_HOMOGLYPHS)
+    if _HIDDEN.search(words):
+        words = " ".join([w.translate(_STANDINS) if _HIDDEN.search(w) else w for w in words.split(" ")])
+    return words
 
 
 def terms_of(words: set[str]) -> set[str]:
@@ -96,8 +101,8 @@ def terms_of(words: set[str]) -> set[str]:
 
 def document_terms(text: str | None) -> set[str]:
     """The terms of a text as written and as folded."""
-    words = plain_words(text)
-    return terms_of({*words, *folded(words)})
+    words = plain(text)
+    return terms_of({*words.split(), *folded(words).split()})
 
 
 class Lexicon:
@@ -109,29 +114,31 @@ class Lexicon:
         for term, weight in weights.items():
             self.automaton.add_word(term, (len(term), weight))
         for phrase in exceptions:
-            key = f" {' '.join(folded(plain_words(phrase)))} "
+            key = f" {folded(plain(phrase))} "
             self.automaton.add_word(key, (len(key), None))
         if len(self.automaton):
             self.automaton.make_automaton()
         self.empty = not weights
 
-    def weight(self, words: list[str]) -> float:
+    def weight(self, words: str) -> float:
         """The sum of the weights found outside exceptions, by length; each word counts once a place."""
         if self.empty or not words:
             return 0.0
         excused, found = [], {}
-        for end, (size, weight) in self.automaton.iter(f" {' '.join(words)} "):
+        for end, (size, weight) in self.automaton.iter(f" {words} "):
             start = end - size + 1
             if weight is None:
                 excused.append((start, end))
             else:
                 found[start] = max(weight, found.get(start, 0.0))
+        if not found:
+            return 0.0
         total = sum(w for at, w in found.items() if not any(a <= at < b for a, b in excused))
-        return total / len(words) ** LENGTH_POWER
+        return total / (words.count(" ") + 1) ** LENGTH_POWER
 
     def text_weight(self, text: str | None) -> float:
         """The larger weight of the words as written and as folded."""
-        words = plain_words(text)
+        words = plain(text)
         bare = folded(words)
         weight = self.weight(bare)
         return weight if bare == words else max(weight, self.weight(words))
