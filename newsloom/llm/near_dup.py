@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.shared import components, cut, id_text, map_batches, settle, shingle_set
+from newsloom.llm.shared import components, cut, id_text, map_batches, settle, shingle_set, wanted
 from newsloom.llm.sketch import band_keys, sketch
 
 #: A link: 100 * intersection >= PERCENT * union.
@@ -114,8 +114,7 @@ def _plausible(pairs: DataFrame, summary: DataFrame) -> DataFrame:
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, set) of the documents named; of the other texts only what a Bloom filter lets through is shuffled."""
-    # The condition on the id makes the side worth a filter to Spark.
-    texts = id_text(docs).join(ids.where("doc_id >= -9223372036854775807"), "doc_id", "left_semi")
+    texts = id_text(docs).join(wanted(ids), "doc_id", "left_semi")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_set(text).tobytes() for text in batch.column(1).to_pylist()]
@@ -126,7 +125,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that the full sets link."""
-    known = sets.where("doc_id >= -9223372036854775807")
+    known = wanted(sets)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = []
@@ -164,7 +163,7 @@ def _rare_shingles(sets: DataFrame, open_docs: DataFrame) -> DataFrame:
     least; so a set needs no bucket for shingles with fewer from there on, and in a
     bucket two sets that cannot share enough from there on are not compared.
     """
-    known = sets.join(open_docs.where("doc_id >= -9223372036854775807"), "doc_id", "left_semi")
+    known = sets.join(wanted(open_docs), "doc_id", "left_semi")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         held = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
@@ -197,7 +196,7 @@ class _Search:
     def rounds(self, members: DataFrame, limit: int | None = None) -> DataFrame:
         """Members of the buckets still open after ``limit`` rounds of one centre each.
 
-        Without a limit there are 16, 256 ... centres, until none is open.
+        Without a limit there are 256, 65,536 ... centres, until none is open.
         """
         reach = members.groupBy("doc").agg(F.sum("size").alias("reach"))
         # A document that has several sets is in a bucket by the largest.
@@ -207,11 +206,13 @@ class _Search:
             here = members.join(self.places, members.doc == self.places.node, "left").select(
                 "bucket", "doc", "share", "n", "reach", F.coalesce("component", "doc").alias("component")
             )
-            split = here.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            here = cut(here.join(split.where("low < high").select("bucket"), "bucket", "left_semi"), "dup-members")
+            split = here.groupBy("bucket").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
+            )
+            here = cut(here.join(split.where("low < high").select("bucket", "size"), "bucket"), "dup-members")
             if done == limit or here.isEmpty():
                 return here
-            centres = 1 if limit else 16 ** (done + 1)
+            centres = 1 if limit else 256 ** (done + 1)
             nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("reach"), "doc"))
             chosen = here.withColumn("nth", nth).where(F.col("nth") <= centres)
             names = {"doc": "centre", "share": "centre_share", "n": "centre_n", "component": "own"}
@@ -219,7 +220,10 @@ class _Search:
             met = here.join(chosen, "bucket").where("component != own").where(_may_link("share", "n", "centre_share", "centre_n"))
             pairs = met.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
             self._compare(cut(pairs.join(self.tested, ["a", "b"], "left_anti"), "dup-pairs"))
-            members = here.join(chosen.select("bucket", F.col("centre").alias("doc")), ["bucket", "doc"], "left_anti")
+            # In a bucket of one member more than centres every pair has been compared.
+            members = here.where(F.col("size") > centres + 1).join(
+                chosen.select("bucket", F.col("centre").alias("doc")), ["bucket", "doc"], "left_anti"
+            )
             members, done = members.select("bucket", "doc", "share", "n", "reach"), done + 1
 
     def _compare(self, pairs: DataFrame) -> None:
