@@ -49,12 +49,16 @@ SEED = 20
 
 def topic_of(text: Column, topics: dict[str, tuple[str, ...]] = TOPICS) -> Column:
     lowered = F.lower(text)
-    marks = [F.coalesce(F.regexp_count(lowered, F.lit(rf"\b(?:{'|'.join(words)})\b")), F.lit(0)) for words in topics.values()]
-    most = F.greatest(*marks, F.lit(0))
-    chosen = F.when(most == 0, OTHER)
-    for name, mark in zip(topics, marks, strict=True):
-        chosen = chosen.when(mark == most, name)
-    return chosen
+
+    def marked(words: tuple[str, ...]) -> str:
+        return rf"\b(?:{'|'.join(words)})\b"
+
+    # Most texts have no mark at all, which one pass shows.
+    some = lowered.rlike(marked(tuple(w for words in topics.values() for w in words)))
+    counts = F.array(*[F.regexp_count(lowered, F.lit(marked(words))) for words in topics.values()])
+    names = F.array(*[F.lit(name) for name in topics])
+    most = F.transform(F.array(counts), lambda c: F.get(names, F.array_position(c, F.array_max(c)).cast("int") - 1))
+    return F.when(some, F.get(most, F.lit(0))).otherwise(OTHER)
 
 
 def features(docs: DataFrame) -> list[Column]:
@@ -150,14 +154,15 @@ def sampled_documents(
     """
     settle(docs.sparkSession)
     named = [f"_mix_{m}" for m in MARGINS]
-    made = [c.alias(n) for n, c in zip((*MARGINS, "n_tokens"), features(docs), strict=True)]
-    cells = _cells(docs.select(*made), targets, budget)
+    made = [c.alias(f"_mix_{n}") for n, c in zip((*MARGINS, "n_tokens"), features(docs), strict=True)]
+    # Written with what was read from the texts, so that they are read once.
+    tagged = cut(docs.select("*", *made), "mix-rows")
+    cells = _cells(tagged.select(*[F.col(f"_mix_{c}").alias(c) for c in (*MARGINS, "n_tokens")]), targets, budget)
     cells = cells.toDF(*named, "_mix_weight", "_mix_chance")
-    tagged = docs.withColumns(dict(zip((*named, "_mix_tokens"), features(docs), strict=True)))
     return tagged.join(cells, named, "left").where(_drawn("_mix_")).select(
-        *[docs[c] for c in docs.columns if not c.startswith("mix_")],
+        *[c for c in docs.columns if not c.startswith("mix_")],
         F.col("_mix_topic").alias("mix_topic"),
-        F.col("_mix_tokens").alias("mix_tokens"),
+        F.col("_mix_n_tokens").alias("mix_tokens"),
         F.col("_mix_weight").alias("mix_weight"),
         F.col("_mix_chance").alias("mix_chance"),
     )
