@@ -400,7 +400,8 @@ def _known_table(tables: Tables) -> str:
     """A table that holds some of the produced articles already, at a new path."""
     path = scratch_path(tables.spark, "ingested")
     known = produced(tables).where(_KNOWN).dropDuplicates(["id_article"])
-    N.enrich_articles(known.withColumns({c: F.lit("known article " * 3) for c in ("titre", "contenu")})).write.parquet(path)
+    known = known.withColumns({c: F.lit("known article " * 3) for c in ("titre", "contenu")})
+    N.enrich_articles(known, **_models(tables)).write.parquet(path)
     return path
 
 
@@ -415,8 +416,9 @@ def ingest_pipeline(tables: Tables) -> DataFrame:
     path = _known_table(tables)
     known = tables.spark.read.parquet(path)
     columns = ["id_article", "titre", "contenu", "langue", "sentiment_score", "sentiment", "categorie", "origin"]
+    models = _models(tables)
     for _ in range(2):
-        N.ingest(produced(tables), tables.spark.read.schema(known.schema).parquet(path), path, **_ENRICHMENT)
+        N.ingest(produced(tables), tables.spark.read.schema(known.schema).parquet(path), path, **models, **_ENRICHMENT)
     return _flat(tables.spark.read.schema(known.schema).parquet(path).where(f"NOT ({_KNOWN})").select(*columns))
 
 
