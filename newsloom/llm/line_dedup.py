@@ -7,8 +7,9 @@ classes ``d`` lines long that follow each other.  Suffixes of one class at depth
 ``min_lines`` form a longest-common-prefix interval of that depth.  Its first
 suffix, by (doc_id, line), is the original; the lines that every later suffix
 covers belong to a maximal repeated run and are deleted.  Overlaps count, so a
-run of any length goes whole.  A run of fewer lines goes when a single line of
-it has ``min_words`` words or more and occurs earlier.
+run of any length goes whole.  A single line goes when it occurs earlier and has
+``min_words`` words or more, or stands in ``min_docs`` documents or more: a short
+line that few documents share may be anybody's, one that many share is boilerplate.
 
 Only lines that occur twice take part in the doubling: a class of one is its own
 interval.  Hot lines are counted in each task before they are shuffled, and the
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.shared import cut, settle
 
-#: Lines of a run that is deleted whatever they hold, and words of a single
-#: line that is deleted by itself.
+#: Lines of a run that is deleted whatever they hold; words of a single line that
+#: is deleted by itself; documents that hold a shorter line that is, too.
 MIN_LINES = 2
 MIN_WORDS = 10
+MIN_DOCS = 50
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _NAME = ("h1", "h2")
@@ -50,12 +52,14 @@ def _name(*columns: str) -> list[Column]:
 
 
 def _intervals(suffixes: DataFrame) -> DataFrame:
-    """Suffixes whose class has two members or more, with the first member's place."""
+    """Suffixes whose class has two members or more, with the number and the first of them."""
     firsts = suffixes.groupBy(*_NAME).agg(F.count("*").alias("members"), F.min(F.struct(*_PLACE)).alias("first"))
-    return suffixes.join(firsts.where("members > 1").drop("members"), list(_NAME))
+    return suffixes.join(firsts.where("members > 1"), list(_NAME))
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS
+) -> DataFrame:
     """(doc_id, text_id, at): the lines to delete, by index among all lines of the text."""
     if min_lines < 2:
         raise ValueError("a run has at least two lines; single lines are a matter of min_words")
@@ -69,10 +73,16 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     lines = lines.select(
         "doc_id", "text_id", "pos", F.col("x.at").alias("at"), F.regexp_count("x.line", F.lit(_WORD)).alias("words"), *_name("x.line")
     )
-    rank = cut(_intervals(lines.distinct()), "line-rank")
+    # Only a line with as many copies can be in as many documents.
+    ranked = _intervals(lines.distinct()).withColumn("often", F.col("members") >= min_docs).drop("members")
+    rank = cut(ranked, "line-rank")
 
     later = F.struct(*_PLACE) > F.col("first")
-    removed = rank.where(later & (F.col("words") >= min_words)).select("doc_id", "text_id", "at")
+    short = rank.where((F.col("words") < min_words) & F.col("often"))
+    spread = short.groupBy(*_NAME).agg(F.countDistinct("doc_id").alias("docs")).where(F.col("docs") >= min_docs)
+    by_spread = short.where(later).join(cut(spread.select(*_NAME), "line-spread"), list(_NAME), "left_semi")
+    by_words = rank.where(later & (F.col("words") >= min_words))
+    removed = by_words.select("doc_id", "text_id", "at").union(by_spread.select("doc_id", "text_id", "at"))
     depth, suffixes = 1, rank.select(*_PLACE, "at", *_NAME)
     while depth < min_lines:
         # A class is missing where its run has no second copy: the pair has none either.
@@ -84,7 +94,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
         ranked = _intervals(deeper)
         depth += step
         if depth < min_lines:
-            suffixes = cut(ranked.drop("first"), "line-rank")
+            suffixes = cut(ranked.drop("first", "members"), "line-rank")
     copies = ranked.where(later).select(*_PLACE)
     covered = copies.select("doc_id", "text_id", F.explode(F.sequence(F.col("pos"), F.col("pos") + (min_lines - 1))).alias("pos"))
     by_run = rank.select(*_PLACE, "at").join(covered.distinct(), list(_PLACE)).select("doc_id", "text_id", "at")
@@ -117,24 +127,26 @@ def _without(text: Column, runs: Column) -> Column:
     return F.array_join(F.flatten(slices), "\n")
 
 
-def _joined(docs: DataFrame, min_lines: int, min_words: int) -> tuple[DataFrame, Column, Column]:
+def _joined(docs: DataFrame, min_lines: int, min_words: int, min_docs: int) -> tuple[DataFrame, Column, Column]:
     """The documents beside their runs; the text column without them; the runs or null."""
     settle(docs.sparkSession)
     doc_id, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
     narrow = docs.select(doc_id.alias("doc_id"), text.alias("text"))
-    runs = cut(maximal_runs(repeated_lines(narrow, min_lines, min_words)), "line-runs")
+    runs = cut(maximal_runs(repeated_lines(narrow, min_lines, min_words, min_docs)), "line-runs")
     joined = docs.join(runs, (doc_id == runs["doc_id"]) & (F.xxhash64(text) == runs["text_id"]), "left")
     found = runs["runs"]
     return joined, F.when(found.isNull(), text).otherwise(_without(text, found)), found
 
 
-def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS
+) -> DataFrame:
     """(doc_id, text, n_lines, n_removed, n_runs) of each document.
 
     The text lacks the deleted runs; one that loses nothing stays as it is, null
     included.  n_lines counts the lines with a word before the deletion.
     """
-    joined, kept, found = _joined(docs, min_lines, min_words)
+    joined, kept, found = _joined(docs, min_lines, min_words, min_docs)
     lines = F.size(F.filter(_lines(docs["text"].cast("string")), lambda x: x.rlike(_WORD)))
     lost = F.aggregate(found, F.lit(0), lambda n, r: n + r["end"] - r["start"])
     return joined.select(
@@ -146,7 +158,9 @@ def deduplicated(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = M
     )
 
 
-def kept_documents(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def kept_documents(
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS
+) -> DataFrame:
     """The documents with their columns; texts have lost their repeated runs."""
-    joined, kept, _ = _joined(docs, min_lines, min_words)
+    joined, kept, _ = _joined(docs, min_lines, min_words, min_docs)
     return joined.select(*[kept.alias(c) if c == "text" else docs[c] for c in docs.columns])
