@@ -2,10 +2,12 @@
 
 A fixed rule names a host and the beginning of a path; it fits that host and all of
 its subdomains, and the longest fitting rule decides.  Other pages get the mined
-rules' verdict.  FP-growth finds the combinations of URL tokens that labelled pages
-share with a bad label; a combination becomes a rule when its support and its
-confidence reach their limits, its confidence is above the share of bad pages by
-``MIN_LIFT``, and no rule with fewer of the same tokens is as confident.  Rules are
+rules' verdict.  FP-growth finds the combinations of URL tokens that ``MIN_BAD``
+bad pages share, a number that does not grow with the table; they are then counted
+over all labelled pages.  A combination becomes a rule when its confidence reaches
+its limit and is above the share of bad pages by ``MIN_SIGMAS`` deviations of a
+sample of its size, which any share of bad pages leaves within reach, and no rule
+with fewer of the same tokens is as confident.  Rules are
 matched by an inverted index: each is filed under its rarest token, the pages'
 tokens are joined to that index, and what is found is checked for the other tokens.
 A page that fits a mined rule is blocked, every other page is allowed.
@@ -35,14 +37,13 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 
-#: Share of the labelled pages that hold a combination and a bad label, share of
-#: the pages with the combination that are bad, and that share over the share of
-#: bad pages at large.
-MIN_SUPPORT = 0.005
+#: Bad pages that hold a combination, share of the pages with the combination that
+#: are bad, and its distance from the share of bad pages at large, in standard
+#: deviations of as many pages drawn at random.
+MIN_BAD = 20
 MIN_CONFIDENCE = 0.8
-MIN_LIFT = 2.0
+MIN_SIGMAS = 5.0
 
-BAD = "label=bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -77,19 +78,43 @@ def tokens(host: str = "host", path: str = "path") -> Column:
 
 
 def mined_rules(
-    pages: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT
+    pages: DataFrame, min_bad: int = MIN_BAD, min_confidence: float = MIN_CONFIDENCE, min_sigmas: float = MIN_SIGMAS
 ) -> DataFrame:
     """(rule_id, tokens, index_token, support, confidence, lift) from (tokens, bad)."""
-    label = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
-    baskets = pages.select(F.concat("tokens", label).alias("items")).where(F.size("items") > 0)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    pages = cut(pages.select(F.array_sort("tokens").alias("tokens"), "bad"), "url-labelled")
+    total = pages.agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).first()
+    base = total["bad"] / total["n"] if total["n"] else 0.0
+    baskets = pages.where(F.size("tokens") > 0)
+    bad = baskets.where("bad")
+    # Support is a share of the bad pages; half a page less keeps rounding from asking for one more.
+    support = (min_bad - 0.5) / max(bad.count(), min_bad)
+    frequent = FPGrowth(itemsCol="tokens", minSupport=support).fit(bad).freqItemsets
+    frequent = frequent.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
+
+    # Each combination is filed under its rarest token and counted over equal pages at once.
+    equal = baskets.groupBy("tokens").agg(F.count("*").alias("n"))
+    counts = equal.select(F.explode("tokens").alias("token"), "n").groupBy("token").agg(F.sum("n").alias("n"))
+    filed = cut(
+        frequent.select("*", F.explode("tokens").alias("token")).join(counts, "token")
+        .groupBy("tokens", "bad").agg(F.min_by("token", F.struct("n", "token")).alias("index_token")),
+        "url-candidates",
+    )
+    held = (
+        equal.select(F.col("tokens").alias("basket"), "n", F.explode("tokens").alias("index_token"))
+        .join(filed, "index_token")
+        .where(F.size(F.array_except("tokens", "basket")) == 0)
+        .groupBy("tokens", "index_token", "bad").agg(F.sum("n").alias("n"))
+        .withColumn("confidence", F.col("bad") / F.col("n"))
+    )
+    above = (F.col("confidence") - base) * F.sqrt("n") >= min_sigmas * (base * (1 - base)) ** 0.5
     found = cut(
-        model.associationRules.where(
-            (F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= min_lift)
-        ).select(F.array_sort("antecedent").alias("tokens"), "support", "confidence", "lift"),
+        held.where((F.col("confidence") >= min_confidence) & above).select(
+            "tokens", "index_token", (F.col("bad") / max(total["n"], 1)).alias("support"), "confidence",
+            (F.col("confidence") / (base or 1.0)).alias("lift"),
+        ),
         "url-rules",
     )
-    shorter = found.select(F.col("tokens").alias("fewer"), F.col("confidence").alias("held"), F.explode("tokens").alias("shared"))
+    shorter = found.select(F.col("tokens").alias("fewer"), F.col("confidence").alias("held"), F.col("index_token").alias("shared"))
     longer = found.select("tokens", "confidence", F.explode("tokens").alias("shared"))
     implied = (
         longer.join(shorter, "shared")
@@ -98,13 +123,7 @@ def mined_rules(
         .select("tokens").distinct()
     )
     rules = found.join(implied, "tokens", "left_anti")
-    counts = model.freqItemsets.where(F.size("items") == 1).select(F.get("items", F.lit(0)).alias("token"), "freq")
-    filed = (
-        rules.select("*", F.explode("tokens").alias("token")).join(counts, "token")
-        .groupBy("tokens", "support", "confidence", "lift")
-        .agg(F.min_by("token", F.struct("freq", "token")).alias("index_token"))
-    )
-    return cut(filed.withColumn("rule_id", F.array_join("tokens", " & ")), "url-rules")
+    return cut(rules.withColumn("rule_id", F.array_join("tokens", " & ")), "url-rules")
 
 
 def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
