@@ -7,8 +7,9 @@ the one with most training documents.  Blocks keep a long text from becoming its
 every part of it is judged by what the language has.  A narrow margin between best
 and second best rejects the prediction: the best guess stays beside the flag.
 
-The model is bounded: at most ``DICT_DOCS`` training documents a language, of
-``DOC_CHARS`` characters at most each, in the order of a hash of their ids, and
+The model is bounded: at most ``DICT_DOCS`` training documents with letters a language,
+in the order of a hash of their ids (of their texts where they have none), of each the
+``DOC_CHARS`` characters from the first letter on, so no document is too long to learn from, and
 ``DICT_BYTES`` of folded text of them.  Every text is read whole when predicted.
 
 Cases: a null text or one without letters is ``und`` with score 0 and rejected;
@@ -50,6 +51,7 @@ MARGIN = 0.01
 NONE = "und"
 
 _OTHERS = re.compile(r"[\W\d_]+")
+_LETTER = r"\p{L}"
 
 
 def folded(text: str) -> bytes:
@@ -94,14 +96,16 @@ def dictionaries(training: DataFrame) -> dict[str, bytes]:
     fit = training.where("lang IS NOT NULL AND text IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    order = Window.partitionBy("lang").orderBy("key", "doc_id")
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    fit = fit.where(F.col("text").rlike(_LETTER)).withColumn("key", key)
+    order = Window.partitionBy("lang").orderBy("key")
     chosen = (
-        fit.where(F.length("text") <= DOC_CHARS).select("lang", "doc_id", F.xxhash64("doc_id").alias("key"))
-        .withColumn("nth", F.row_number().over(order))
+        fit.select("lang", "key").withColumn("nth", F.row_number().over(order))
         .where(F.col("nth") <= DICT_DOCS)
-        .select("lang", "doc_id", "nth")
+        .groupBy("lang", "key").agg(F.min("nth").alias("nth"))
     )
-    rows = fit.where(F.length("text") <= DOC_CHARS).join(chosen, ["lang", "doc_id"]).orderBy("lang", "nth", "text")
+    part = F.regexp_extract("text", rf"(?s){_LETTER}.{{0,{DOC_CHARS - 1}}}", 0)
+    rows = fit.join(chosen, ["lang", "key"]).select("lang", "nth", part.alias("text")).distinct().orderBy("lang", "nth", "text")
     counts = fit.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
     made = {row["lang"]: b"" for row in counts.toLocalIterator()}
     for row in rows.select("lang", "text").toLocalIterator():
