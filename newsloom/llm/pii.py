@@ -4,7 +4,9 @@ The base patterns find e-mail addresses, IP numbers, payment cards and phone
 numbers, leftmost and without overlaps within a kind.  What they find, and the seed
 secrets (hex digests), are instances; the text around an instance is a lexical
 pattern.  Contexts come from every token that looks like an identifier: it holds a
-digit or an @.  A pattern is the two words before the token, the sign that opens it
+digit or an @.  A token in which a valid base span begins is a seed; a span of
+several tokens is one instance, in the context of its first token, and the others
+are no part of the graph.  A pattern is the two words before the token, the sign that opens it
 and the sign that closes it.
 
 Patterns and instances form a graph that Spark scores in rounds.  The score of an
@@ -122,6 +124,24 @@ def valid(kind: Column, value: Column) -> Column:
     )
 
 
+def _with_base(matches: DataFrame) -> DataFrame:
+    """Tokens with ``based``, the end and value of the longest valid base span that begins
+    in them or null, and ``inside``, whether an earlier one reaches into them.
+
+    One pass in the order of the text: each base span goes to the token it begins in.
+    """
+    is_token = F.col("kind") == "token"
+    rows = matches.where(is_token | valid(F.col("kind"), F.col("value")))
+    so_far = Window.partitionBy(*_KEY).orderBy("start", (~is_token).cast("int")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({
+        "own": F.max(F.when(is_token, F.col("start"))).over(so_far),
+        "reach": F.max(F.when(~is_token, F.col("end"))).over(so_far),
+    })
+    token = F.max(F.when(is_token, F.struct("start", "end", "before", "value", F.coalesce(F.col("reach") > F.col("start"), F.lit(False)).alias("inside"))))
+    based = F.max(F.when(~is_token, F.struct("end", "start", "value")))
+    return rows.groupBy(*_KEY, "own").agg(token.alias("token"), based.alias("based")).select(*_KEY, "token.*", "based")
+
+
 def contexts(tokens: DataFrame) -> DataFrame:
     """Tokens with ``core``, its place, the pattern around it and whether it is a seed."""
     core = F.btrim("value", F.lit(_PUNCTUATION))
@@ -129,20 +149,23 @@ def contexts(tokens: DataFrame) -> DataFrame:
     words = F.filter(F.split(cleaned, _BLANKS), lambda w: w != "")
     words = F.slice(words, F.greatest(F.size(words) - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS)
     placed = tokens.withColumn("core", core).where("core != ''").withColumn("skipped", F.expr("locate(core, value) - 1"))
-    opening = F.expr("right(left(value, skipped), 1)")
+    # The sign in front of a base span opens it, not one of its own such as a phone's +.
+    opening = F.expr("right(left(value, least(skipped, coalesce(based.start - start, skipped))), 1)")
     closing = F.expr("substring(value, skipped + length(core) + 1, 1)")
     pattern = F.concat_ws(" ", F.array_join(words, " "), F.concat(opening, F.lit("<x>"), closing))
     kinds = F.array(*[
         F.when(F.col("core").rlike(f"^(?:{expression})$") & valid(F.lit(kind), F.col("core")), kind)
         for kind, expression in (("email", EMAIL), ("ip", IP), ("card", CARD), ("secret", SECRET))
     ])
-    return placed.select(
+    seed = F.col("based").isNotNull() | (F.size(F.filter(kinds, lambda k: k.isNotNull())) > 0)
+    several = F.coalesce(F.col("based.end") > F.col("end"), F.lit(False))
+    return placed.withColumn("seed", seed).where("seed OR NOT inside").select(
         *_KEY,
         (F.col("start") + F.col("skipped")).alias("start"),
         (F.col("start") + F.col("skipped") + F.length("core")).alias("end"),
         pattern.alias("pattern"),
-        F.xxhash64("core").alias("instance"),
-        (F.size(F.filter(kinds, lambda k: k.isNotNull())) > 0).alias("seed"),
+        F.xxhash64(F.when(several, F.btrim("based.value", F.lit(_PUNCTUATION))).otherwise(F.col("core"))).alias("instance"),
+        "seed",
     )
 
 
@@ -179,7 +202,7 @@ def found(docs: DataFrame) -> DataFrame:
     narrow = narrow.withColumn("text_id", F.xxhash64("text"))
     placed = cut(_placed(narrow), "pii-matches")
     base = placed.where((F.col("kind") != "token") & valid(F.col("kind"), F.col("value"))).select(*_KEY, "kind", "start", "end")
-    tokens = cut(contexts(placed.where("kind = 'token'")), "pii-tokens")
+    tokens = cut(contexts(_with_base(placed)), "pii-tokens")
     more = tokens.join(trusted_patterns(tokens).select("pattern"), "pattern", "left_semi").select(*_KEY, F.lit(FOUND).alias("kind"), "start", "end")
     span = F.struct(_order(F.col("kind")).alias("nth"), "start", "end", "kind")
     spans = base.union(more).groupBy(*_KEY).agg(F.array_sort(F.collect_list(span)).alias("all"))
