@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, langid, line_dedup, mixing, near_dup, pii, quality, substrings, toxicity, url_rules
+from newsloom.llm import (
+    alignment,
+    decontaminate,
+    divergence,
+    langid,
+    line_dedup,
+    mixing,
+    near_dup,
+    pii,
+    quality,
+    substrings,
+    token_counts,
+    toxicity,
+    url_rules,
+)
 from newsloom.llm.shared import settle
 
 QUERIES = {}
@@ -256,3 +270,57 @@ def op9_language_id(table) -> DataFrame:
 def op10_url_filters(table) -> DataFrame:
     """The verdict on every page's address."""
     return url_rules.judged(table("pages"), table("labels"))
+
+
+@query()
+def op11_cross_tokenizer_alignment(table) -> DataFrame:
+    """Tokens of two vocabularies laid side by side, for every document."""
+    return alignment.aligned(table("documents"))
+
+
+@query()
+def op12_token_counts(table) -> DataFrame:
+    """The tokens of every document, counted by merging."""
+    return token_counts.counted(table("documents"))
+
+
+@query(
+    r"""
+    WITH texts AS (
+      SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row_no,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+      FROM documents
+    ), kept AS (
+      SELECT lang, term FROM (SELECT DISTINCT row_no, lang, unnest(w) AS term FROM texts) GROUP BY lang, term HAVING count(*) >= {least}
+    ), counts AS (
+      SELECT t.lang, source, t.term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM texts) t
+      JOIN kept k ON k.lang = t.lang AND k.term = t.term GROUP BY t.lang, source, t.term
+    ), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+    groups AS (
+      SELECT g.lang, g.source, coalesce(sum(n), 0) AS total, coalesce(any_value(v), 0) AS v
+      FROM (SELECT DISTINCT lang, source FROM texts) g LEFT JOIN sizes s ON s.lang = g.lang
+      LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source
+    ), shares AS (
+      SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + ({unit}::HUGEINT * (coalesce(n, 0) + {prior})) // (total + {prior} * v) AS p
+      FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+    ), whole AS (
+      SELECT lang, term, 1 + ({unit}::HUGEINT * (sum(n) + {prior})) // (sum(sum(n)) OVER (PARTITION BY lang) + {prior} * count(*) OVER (PARTITION BY lang)) AS q
+      FROM shares GROUP BY lang, term
+    ), differences AS (
+      SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY a.lang, a.source, b.source
+    ), listed AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+      FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+      LEFT JOIN differences d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+      UNION ALL
+      SELECT s.lang, s.source, 'term', s.term, (p - q)::BIGINT FROM shares s JOIN whole w ON w.lang = s.lang AND w.term = s.term WHERE n > 0 AND p > q
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM listed
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= {top}
+    """.format(least=divergence.MIN_DOCS, unit=divergence.UNIT, prior=divergence.PRIOR, top=divergence.TOP_TERMS)
+)
+def op13_source_divergence_audit(table) -> DataFrame:
+    """How far apart sources of a language are, and the terms that mark each."""
+    return divergence.audited(table("documents"))
