@@ -381,7 +381,7 @@ def dated_pages(tables: Tables) -> DataFrame:
 
 
 def listings(tables: Tables) -> DataFrame:
-    """List pages of up to twenty links each; a link outside the headings does not count."""
+    """List pages of up to twenty links each; links in no heading or one of another class do not count."""
     site, part = F.col("page_id") % 3, F.floor(F.col("page_id") / 60)
     link = F.concat(
         F.lit('<h2 class="post-title"><a href="/a/'), F.col("page_id").cast("string"), F.lit('">Titre <b>'),
@@ -391,7 +391,10 @@ def listings(tables: Tables) -> DataFrame:
     lists = rows.groupBy("site", "part").agg(F.array_sort(F.collect_list(F.struct("page_id", "link"))).alias("links"))
     return lists.select(
         F.concat(F.lit("https://site"), F.col("site").cast("string"), F.lit(".example.org/list/"), F.col("part").cast("string")).alias("url"),
-        F.concat(F.lit('<a href="/a/0">no</a>'), F.array_join(F.transform("links", lambda x: x["link"]), "")).alias("html"),
+        F.concat(
+            F.lit('<a href="/a/0">no</a><h2 class="post-title-old"><a href="/a/0">no</a></h2><h2 data-class="post-title"><a href="/a/0">no</a></h2>'),
+            F.array_join(F.transform("links", lambda x: x["link"]), ""),
+        ).alias("html"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Markup to text, and block selection, as column expressions.
+"""Markup to text, as column expressions.
 
 Everything stays in SQL but one thing: a text with a character that NFKC may
 change, beyond the usual few, is handed to Python in Arrow batches.  All other
@@ -7,7 +7,6 @@ texts cross as nulls.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from html.entities import html5
 
@@ -180,47 +179,3 @@ def clean_summary(markup: Column, chars: int = fixed.SUMMARY_CHARS) -> Column:
     first = F.get(F.filter(lines, lambda line: ~T.is_blank(line)), F.lit(0))
     cut = F.concat(F.substring(T.strip(first), 1, chars), F.lit("..."))
     return F.coalesce(T.collapse_spaces(cut), F.lit(""))
-
-
-def block_text(markup: Column, selector: str) -> Column:
-    """Text of the first block that fits, blank-separated; null when none fits."""
-    return T.collapse_spaces(plain_text(select_block(markup, selector), " "))
-
-
-def select_block(markup: Column, selector: str) -> Column:
-    """Inner markup of the first element that fits ``tag`` or ``tag.class``.
-
-    Elements of the same name may nest inside the block.  The text after the
-    opening tag is cut before each opening or closing tag of that name, and a
-    running depth over the pieces finds the end; null when nothing fits.
-    """
-    tag, _, css_class = selector.partition(".")
-    name = re.escape(tag)
-    attributes = r"[^>]*"
-    if css_class:
-        attributes = (
-            r"[^>]*\bclass\s*=\s*(?:\"(?:[^\">]*\s)?%(c)s(?:\s[^\">]*)?\""
-            r"|'(?:[^'>]*\s)?%(c)s(?:\s[^'>]*)?'|%(c)s(?=[\s>]))[^>]*"
-        ) % {"c": re.escape(css_class)}
-    opening = rf"(?is)<{name}(?=[\s>/]){attributes}>"
-    ending = rf"(?i)(?=</?{name}[\s>/])"
-
-    def closes(piece: Column) -> Column:
-        return F.lower(F.substring(piece, 1, len(tag) + 2)) == f"</{tag.lower()}"
-
-    def walk(state: Column, piece: Column) -> Column:
-        depth = state["depth"] + F.when(closes(piece), -1).otherwise(1)
-        moved = F.struct(
-            depth.alias("depth"), (state["kept"] + F.when(depth > 0, 1).otherwise(0)).alias("kept")
-        )
-        return F.when(state["depth"] == 0, state).otherwise(moved)
-
-    def inside(pieces: Column) -> Column:
-        start = F.struct(F.lit(1).alias("depth"), F.lit(1).alias("kept"))
-        kept = F.aggregate(
-            F.slice(pieces, F.lit(2), F.size(pieces)), start, walk, lambda state: state["kept"]
-        )
-        return F.array_join(F.slice(pieces, F.lit(1), kept), "")
-
-    after = F.get(F.split(markup, opening, 2), F.lit(1))
-    return T.let(F.split(after, ending), lambda p: F.when(p.isNotNull(), inside(p)))

@@ -11,40 +11,44 @@ from newsloom import fixed_values as fixed
 from newsloom.functions import dates as D
 from newsloom.functions import html as H
 from newsloom.functions import ids as I
+from newsloom.functions import selectors as E
 from newsloom.functions import urls as U
 from newsloom.functions.staging import with_once
 
 _ANCHOR = r"(?is)<a(?=[\s>])[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))[^>]*>(.*?)</a\s*>"
 
 
-def _blocks_within(markup: Column, selector: str) -> Column:
-    """The elements that fit ``tag`` or ``tag.class``, joined; they must not nest in one another."""
-    tag, _, css_class = selector.partition(".")
-    attributes = rf"[^>]*\bclass\s*=\s*[\"'][^\"'>]*\b{css_class}\b[^>]*" if css_class else "[^>]*"
-    blocks = F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}(?=[\s>]){attributes}>.*?</{tag}\s*>"), F.lit(0))
-    return F.array_join(blocks, "\n")
-
-
 def page_links(
-    pages: DataFrame, html: str = "html", url: str = "url", within: str | Column | None = None
+    pages: DataFrame, html: str = "html", url: str = "url", within: str | None = None
 ) -> DataFrame:
     """One row per link of a page: position, title and absolute address.
 
-    With ``within``, a selector such as ``h2.post-title`` or the markup itself,
-    only the links inside it count.
+    With ``within``, a selector such as ``div.list > h2.post-title``, only the
+    links inside what it selects count.
     """
     markup = F.col(html)
     if within is not None:
-        markup = _blocks_within(markup, within) if isinstance(within, str) else within
+        inside = ", ".join(f"{one.strip()} a" for one in within.split(","))
+        return selected_links(pages, E.elements(markup, inside), html, url)
     anchors = F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(0))
     rows = pages.select(*pages.columns, F.posexplode(anchors).alias("link_pos", "_anchor"))
     href = F.concat(*[F.regexp_extract("_anchor", _ANCHOR, g) for g in (1, 2, 3)])
-    parts = rows.withColumn("href", href).withColumn("_label", F.regexp_extract("_anchor", _ANCHOR, 4))
+    label = F.regexp_extract("_anchor", _ANCHOR, 4)
+    return _resolved(rows.withColumn("href", href).withColumn("_label", label), url).drop("_anchor", html)
+
+
+def selected_links(pages: DataFrame, chosen: Column, html: str = "html", url: str = "url") -> DataFrame:
+    """The links among the elements in ``chosen``: those with an address of their own."""
+    rows = pages.select(*pages.columns, F.posexplode(chosen).alias("link_pos", "_label"))
+    return _resolved(with_once(rows, {"href": E.attribute(F.col("_label"), "href")}), url).drop(html)
+
+
+def _resolved(rows: DataFrame, url: str) -> DataFrame:
     return (
-        parts.where(F.col("href") != "")
+        rows.where(F.col("href") != "")
         .withColumn("titre", H.strip_html_nosep(F.col("_label")))
         .withColumn("link", U.resolve_url(F.col(url), F.col("href")))
-        .drop("_anchor", "_label", html)
+        .drop("_label")
     )
 
 
@@ -86,7 +90,7 @@ def site_articles(
     the time of the run.  Without a title selector ``titre`` is taken as given.
     """
     html = F.col("html")
-    parts = [None if selector is None else H.block_text(html, selector) for selector in (content, date, title)]
+    parts = [None if selector is None else E.first_text(html, selector) for selector in (content, date, title)]
     return _articles(pages, run_time, F.lit(site), *parts)
 
 
@@ -101,8 +105,8 @@ class Sites:
     def __init__(self, sites: list[tuple] = fixed.SITES):
         self.sites = sites
 
-    def _case(self, make: Callable[[tuple], Column]) -> Column:
-        host, case = U.netloc(F.col("url")), F.lit(None).cast("string")
+    def _case(self, make: Callable[[tuple], Column], kind: str = "string") -> Column:
+        host, case = U.netloc(F.col("url")), F.lit(None).cast(kind)
         for site in reversed(self.sites):
             case = F.when(host == U.netloc(F.lit(site[1])), make(site)).otherwise(case)
         return case
@@ -111,17 +115,17 @@ class Sites:
         return self._case(lambda site: F.lit(site[0]))
 
     def block(self, place: int) -> Column:
-        return self._case(lambda site: H.block_text(F.col("html"), site[place]))
+        return self._case(lambda site: E.first_text(F.col("html"), site[place]))
 
     def listed(self) -> Column:
-        return self._case(lambda site: _blocks_within(F.col("html"), site[2].split()[0]))
+        return self._case(lambda site: E.elements(F.col("html"), site[2]), "array<string>")
 
 
 def page_articles(pages: DataFrame, run_time: Column, sites: list[tuple] = fixed.SITES) -> DataFrame:
     """Articles of all configured sites; a page belongs to the site on its host, others are left out."""
     by = Sites(sites)
     own = pages.where(by.name().isNotNull())
-    return _articles(own, run_time, by.name(), by.block(3), by.block(4), H.block_text(F.col("html"), "h1"))
+    return _articles(own, run_time, by.name(), by.block(3), by.block(4), E.first_text(F.col("html"), "h1"))
 
 
 def listed_articles(
@@ -133,7 +137,7 @@ def listed_articles(
     article listed twice comes out twice, with the same id.
     """
     by = Sites(sites)
-    links = page_links(listings.where(by.name().isNotNull()), within=by.listed())
+    links = selected_links(listings.where(by.name().isNotNull()), by.listed())
     found = links.select("titre", F.col("link").alias("url")).join(pages.select("url", "html"), "url")
     own = found.where(by.name().isNotNull())
     return _articles(own, run_time, by.name(), by.block(3), by.block(4), None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import dates as D
 from newsloom.functions import html as H
+from newsloom.functions import selectors as E
 from newsloom.functions import ids as I
 from newsloom.functions import numbers as N
 from newsloom.functions import text as T
@@ -98,7 +99,7 @@ def test_clean_summary(spark):
     ]
 
 
-def test_select_block_nests_and_matches_classes(spark):
+def test_first_text_nests_and_matches_classes(spark):
     samples = [
         '<div class="a body x">1<div>2<div>3</div></div>4</div>5',
         "<div class='body'>only</div>",
@@ -106,8 +107,8 @@ def test_select_block_nests_and_matches_classes(spark):
         '<div class="nobody">no</div>',
         None,
     ]
-    assert values(spark, samples, lambda c: H.block_text(c, "div.body")) == ["1 2 3 4", "only", "open", None, None]
-    assert values(spark, ["<article-x>n</article-x><article id=1>y</article>"], lambda c: H.block_text(c, "article")) == ["y"]
+    assert values(spark, samples, lambda c: E.first_text(c, "div.body")) == ["1 2 3 4", "only", "open", None, None]
+    assert values(spark, ["<article-x>n</article-x><article id=1>y</article>"], lambda c: E.first_text(c, "article")) == ["y"]
 
 
 @pytest.mark.parametrize(
