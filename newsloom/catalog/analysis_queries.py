@@ -324,9 +324,6 @@ def nearest_category(tables: Tables) -> DataFrame:
 _ENRICHMENT = dict(malagasy=FREQUENT, positive=PRAISE, negative=COMPLAINT, phrases=PHRASES, min_ratio=0.2)
 
 
-_NO_ANSWER = "SELECT CAST(NULL AS VARCHAR) AS doc_id, CAST(NULL AS VARCHAR) AS detected, 0.0 AS model_score WHERE false"
-
-
 def _enriched(rows: str, detected: str = _DETECTED, french: str = _CONFIDENCE) -> str:
     """Enrichment of ``doc_id, titre, contenu, source`` rows, with the corpus lists."""
     return f"""
@@ -396,6 +393,35 @@ _FIRST = f"""
 """
 
 
+# Both models on the new rows' cleaned texts; their profiles are those of the documents.
+_NEW_GRAMS = """
+    SELECT doc_id, gram, count(*) AS n FROM (
+      SELECT doc_id, unnest(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3))) AS gram
+      FROM (SELECT doc_id, concat(' ', unnest(split(letters, ' ')), ' ') AS p FROM (
+        SELECT doc_id, trim(regexp_replace(words, '[^a-z]+', ' ', 'g')) AS letters FROM normed))
+      WHERE p <> '  ')
+    GROUP BY doc_id, gram
+"""
+_NEW_DETECTED = f"""
+    SELECT doc_id, arg_max(lang, (score, -place)) AS detected FROM (
+      SELECT g.doc_id, l.lang, l.place, sum(coalesce(p.weight, l.unseen) * g.n) AS score
+      FROM ({_NEW_GRAMS}) g
+      CROSS JOIN (SELECT lang, min(unseen) AS unseen, row_number() OVER (ORDER BY lang) AS place
+        FROM ({_PROFILES}) GROUP BY lang) l
+      LEFT JOIN ({_PROFILES}) p ON p.lang = l.lang AND p.gram = g.gram
+      GROUP BY g.doc_id, l.lang, l.place) GROUP BY doc_id
+"""
+_NEW_CONFIDENCE = f"""
+    SELECT doc_id, CASE WHEN bad >= good THEN -1 ELSE 1 END / (1 + exp(-abs(good - bad) / 10000)) AS model_score FROM (
+      SELECT g.doc_id, sum(CASE WHEN c.class = 1 THEN coalesce(p.weight, c.unseen) * g.n ELSE 0 END) AS good,
+        sum(CASE WHEN c.class = 0 THEN coalesce(p.weight, c.unseen) * g.n ELSE 0 END) AS bad
+      FROM ({_NEW_GRAMS}) g
+      CROSS JOIN (SELECT class, min(unseen) AS unseen FROM ({_CLASS_PROFILES}) GROUP BY class) c
+      LEFT JOIN ({_CLASS_PROFILES}) p ON p.class = c.class AND p.gram = g.gram
+      GROUP BY g.doc_id)
+"""
+
+
 def _known_table(tables: Tables) -> str:
     """A table that holds some of the produced articles already, at a new path."""
     path = scratch_path(tables.spark, "ingested")
@@ -408,7 +434,7 @@ def _known_table(tables: Tables) -> str:
 @query(
     f"""
     SELECT doc_id AS id_article, titre, contenu, langue, sentiment_score, sentiment, categorie, origin
-    FROM ({_enriched(_FIRST, _NO_ANSWER, _NO_ANSWER)})
+    FROM ({_enriched(_FIRST, _NEW_DETECTED, _NEW_CONFIDENCE)})
     """
 )
 def ingest_pipeline(tables: Tables) -> DataFrame:

@@ -1,43 +1,8 @@
-"""Ingest with both trained models, against SQL that scores the produced rows."""
+"""Ingest runs both trained models; its rows are compared with SQL in test_queries."""
 
 import pytest
 
 import __spark_entry__ as entry
-from newsloom.catalog import analysis_queries as A
-from newsloom.catalog import views
-from tests.compare import _rows, database
-
-# Trigrams of the new rows' cleaned texts; profiles are those of the documents.
-_GRAMS = """
-    SELECT doc_id, gram, count(*) AS n FROM (
-      SELECT doc_id, unnest(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3))) AS gram
-      FROM (SELECT doc_id, concat(' ', unnest(split(letters, ' ')), ' ') AS p FROM (
-        SELECT doc_id, trim(regexp_replace(words, '[^a-z]+', ' ', 'g')) AS letters FROM normed))
-      WHERE p <> '  ')
-    GROUP BY doc_id, gram
-"""
-_DETECTED = f"""
-    SELECT doc_id, arg_max(lang, (score, -place)) AS detected FROM (
-      SELECT g.doc_id, l.lang, l.place, sum(coalesce(p.weight, l.unseen) * g.n) AS score
-      FROM ({_GRAMS}) g
-      CROSS JOIN (SELECT lang, min(unseen) AS unseen, row_number() OVER (ORDER BY lang) AS place
-        FROM ({A._PROFILES}) GROUP BY lang) l
-      LEFT JOIN ({A._PROFILES}) p ON p.lang = l.lang AND p.gram = g.gram
-      GROUP BY g.doc_id, l.lang, l.place) GROUP BY doc_id
-"""
-_CONFIDENCE = f"""
-    SELECT doc_id, CASE WHEN bad >= good THEN -1 ELSE 1 END / (1 + exp(-abs(good - bad) / 10000)) AS model_score FROM (
-      SELECT g.doc_id, sum(CASE WHEN c.class = 1 THEN coalesce(p.weight, c.unseen) * g.n ELSE 0 END) AS good,
-        sum(CASE WHEN c.class = 0 THEN coalesce(p.weight, c.unseen) * g.n ELSE 0 END) AS bad
-      FROM ({_GRAMS}) g
-      CROSS JOIN (SELECT class, min(unseen) AS unseen FROM ({A._CLASS_PROFILES}) GROUP BY class) c
-      LEFT JOIN ({A._CLASS_PROFILES}) p ON p.class = c.class AND p.gram = g.gram
-      GROUP BY g.doc_id)
-"""
-_SQL = f"""
-    SELECT doc_id AS id_article, titre, contenu, langue, sentiment_score, sentiment, categorie, origin
-    FROM ({A._enriched(A._FIRST, _DETECTED, _CONFIDENCE)})
-"""
 
 
 @pytest.fixture(scope="module")
@@ -46,11 +11,6 @@ def ingested(spark, small):
     return df.columns, [tuple(r) for r in df.collect()]
 
 
-def test_ingest_scores_the_produced_rows(ingested, small):
-    want = database(small).sql(views.expand(_SQL))
-    assert _rows(*ingested) == _rows(want.columns, want.fetchall())
-
-
 def test_both_models_run(ingested):
     names, rows = ingested
     spoken, scores = names.index("langue"), names.index("sentiment_score")
