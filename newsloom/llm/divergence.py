@@ -60,7 +60,7 @@ BLOCK_BYTES = 1 << 20
 SHELF_BYTES = 64 << 20
 #: Sources and terms of a tile.
 TILE = 32
-SPAN = 8192
+SPAN = 1024
 
 _LETTERS = bytes(range(0x41, 0x5B)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 #: Bytes of text to bytes of terms; what belongs to no term becomes 0.

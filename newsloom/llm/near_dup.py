@@ -268,7 +268,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.union(unnamed).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents with their columns, without those that a smaller id stands for."""
-    gone = cut(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "dup-gone")
+def kept_documents(docs: DataFrame, as_came: DataFrame | None = None) -> DataFrame:
+    """The documents with their columns, without those that a smaller id stands for.
+
+    With ``as_came`` the texts that the documents' ids have there are compared, not
+    those in ``docs``: earlier steps may have cut texts so that copies no longer look
+    alike.  Only ids of ``docs`` take part, so one document of each group stays.
+    """
+    texts = docs
+    if as_came is not None:
+        settle(docs.sparkSession)
+        ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+        texts = cut(id_text(as_came).join(wanted(cut(ids, "dup-ids")), "doc_id", "left_semi"), "dup-texts")
+    gone = cut(near_duplicates(texts).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "dup-gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")

@@ -216,3 +216,9 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     cutoffs = learned_cutoffs(measured, labels)
     return judge(with_measures(docs, prefix), cutoffs, _stratum(docs), prefix).where(f"{prefix}kept").select(*docs.columns)
+
+
+def base_kept_documents(docs: DataFrame) -> DataFrame:
+    """The documents that the base rules let pass, with their columns; nothing is learned or shuffled."""
+    prefix = "_quality_"
+    return with_measures(docs, prefix).where(~base_failed(prefix)).select(*docs.columns)

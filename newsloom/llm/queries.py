@@ -227,8 +227,10 @@ def op6_pii(table) -> DataFrame:
       SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth,
              row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, pos) AS nth_pair
       FROM pairs
+    ), spread AS (
+      SELECT line FROM worded GROUP BY line HAVING count(DISTINCT doc_id) >= {min_docs}
     ), gone AS (
-      SELECT doc_id, pos FROM ranked WHERE words >= 10 AND nth > 1
+      SELECT doc_id, pos FROM ranked WHERE (words >= {min_words} OR line IN (FROM spread)) AND nth > 1
       UNION SELECT doc_id, pos FROM ranked WHERE next_line IS NOT NULL AND nth_pair > 1
       UNION SELECT doc_id, pos + 1 FROM ranked WHERE next_line IS NOT NULL AND nth_pair > 1
     ), marked AS (
@@ -244,7 +246,7 @@ def op6_pii(table) -> DataFrame:
     FROM starts GROUP BY doc_id
     UNION ALL
     SELECT doc_id, 0, 0, 0, sha256('') FROM documents WHERE text IS NULL
-    """
+    """.format(min_words=line_dedup.MIN_WORDS, min_docs=line_dedup.MIN_DOCS)
 )
 def op7_line_dedup(table) -> DataFrame:
     """Deleted line runs of every document and a digest of the text that is left."""

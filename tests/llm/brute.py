@@ -99,9 +99,13 @@ def personal(text):
     return [f"{kind}:{m.start()}:{m.end()}" for kind, m in found]
 
 
-def lines_left(docs, min_words=10):
-    """{doc_id: text without repeated runs of two lines, or of one long line}."""
+def lines_left(docs, min_words=10, min_docs=50):
+    """{doc_id: text without repeated runs of two lines, or of one line that is long or in many documents}."""
     seen, left = {}, {}
+    holders = {}
+    for i in docs:
+        for line in set((docs[i] or "").split("\n")):
+            holders[line] = holders.get(line, 0) + 1
     places = []
     for i in sorted(docs):
         lines = (docs[i] or "").split("\n")
@@ -114,7 +118,8 @@ def lines_left(docs, min_words=10):
     for i, lines, worded in places:
         gone = set()
         for p, k in enumerate(worded):
-            if len(WORD.findall(lines[k])) >= min_words and seen[lines[k]] < (i, p):
+            goes = len(WORD.findall(lines[k])) >= min_words or holders[lines[k]] >= min_docs
+            if goes and seen[lines[k]] < (i, p):
                 gone.add(k)
             if p + 1 < len(worded) and seen[lines[k], lines[worded[p + 1]]] < (i, p):
                 gone.update((k, worded[p + 1]))

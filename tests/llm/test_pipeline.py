@@ -58,9 +58,10 @@ def test_run_equals_a_plain_pipeline(spark, small):
     items = [brute.shingles(r["text"]) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
     # Too few labels for any certificate here: only the base rules reject.
     base = {i: brute.quality_base(r["text"]) for i, r in rows.items()}
-    texts = {i: rows[i]["text"] for i, b in base.items() if b[0] >= 50 and 100 * b[4] <= 50 * b[0]}
-    texts = brute.lines_left(texts)
-    lowest, _ = brute.components(texts)
+    passes = lambda b: b[0] >= 50 and 100 * b[4] <= 50 * b[0]
+    texts = {i: rows[i]["text"] for i, b in base.items() if passes(b)}
+    texts = {i: t for i, t in brute.lines_left(texts).items() if passes(brute.quality_base(t))}
+    lowest, _ = brute.components({i: rows[i]["text"] for i in texts})
     texts = {i: t for i, t in texts.items() if lowest[i] == i}
     held = {i: brute.shingles(t) for i, t in texts.items()}
     texts = {i: t for i, t in texts.items() if not any(q and 100 * len(q & held[i]) >= 75 * len(q) for q in items)}
@@ -81,10 +82,29 @@ def test_run_equals_a_plain_pipeline(spark, small):
     assert {i for i in got if i in clear} == {i for i in clear if draws[i] < chances[cells[i]]}
     assert set(got) <= set(texts) and len(clear) > 0.9 * len(texts)
     for i, row in got.items():
-        assert row["text"] == texts[i]
+        assert row["text"] == texts[i] and passes(brute.quality_base(row["text"]))
         assert abs(row["mix_chance"] - chances[cells[i]]) < 1e-3
 
 
+def test_copies_that_lost_their_lines_go(spark, make_docs, tmp_path):
+    """A near copy keeps a few words when its repeated lines are gone; nothing of it leaves the stages."""
+    def prose(seed, lines):
+        return [" ".join(f"w{(seed * 7919 + 31 * k + j * j) % 997}x{j}" for j in range(14)) for k in range(lines)]
+
+    one, other = prose(1, 12), prose(2, 12)
+    near = [*one[:11], one[11] + " and some more words"]
+    longer = [*one, *prose(3, 2), *[" ".join(f"own{k}{j}" for j in range(30)) for k in range(2)]]
+    docs = make_docs((1, "\n".join(one)), (2, "\n".join(one)), (3, "\n".join(near)), (4, "\n".join(other)), (5, "\n".join(longer)))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    left = corpus_pipeline.repeated_lines(spark, docs, str(tmp_path))
+    assert {r["doc_id"] for r in left.collect()} == {1, 4, 5}
+    # The lines as they came make 5 a copy of 1 only if enough of them agree: 12 of 16 lines do not.
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, left, str(tmp_path)).collect()} == {1, 4, 5}
+    # Judged on what lines are left nothing would link 1 and 3; as they came they are copies.
+    cut_texts = docs.withColumn("text", F.when(F.col("doc_id") == 3, "and some more words").otherwise(F.col("text")))
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, cut_texts, str(tmp_path)).collect()} == {1, 4, 5}
+
+
 @pytest.mark.parametrize("name", ["line_dedup", "mixing", "pii", "url_rules"])
 def test_native_operators_have_no_python_on_the_way(name):
     with open(os.path.join(os.path.dirname(queries.__file__), f"{name}.py")) as file:
@@ -97,7 +117,8 @@ def test_native_operators_have_no_python_on_the_way(name):
 def test_queries_run_whole_and_equal_their_sql(spark, small, name):
     rows = queries.QUERIES[name](spark, small)
     table = "pages" if name.startswith("op10") else "documents"
-    assert rows.count() == spark.read.parquet(f"{small}/{table}.parquet").count()
+    if not name.startswith("op13"):  # that one has rows of groups
+        assert rows.count() == spark.read.parquet(f"{small}/{table}.parquet").count()
     if name in queries.ORACLES:
         with duckdb.connect() as db:
             for file in os.listdir(small):
