@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as t
 
-from newsloom.catalog.registry import Tables, query
+from newsloom.catalog.registry import ORACLES, Tables, query
 from newsloom.functions import dates as D
 from newsloom.operators import keys as K
 from newsloom.operators import quality as Q
@@ -14,6 +16,7 @@ from newsloom.plans import publish as P
 from newsloom.schemas import PUBLISHED_SCHEMA
 from newsloom.session import scratch_path
 from newsloom.sources import tables as S
+from newsloom.sources.versions import VersionedTable
 
 DOCUMENT_SCHEMA = t.StructType(
     [
@@ -96,6 +99,47 @@ def keyed_update(tables: Tables) -> DataFrame:
     return K.keyed_update(documents, changes, "doc_id", ["source"], "step")
 
 
+def _versioned_documents(tables: Tables) -> VersionedTable:
+    """The documents as the first version of a table with keys."""
+    table = VersionedTable(tables.spark, scratch_path(tables.spark, "versioned"), key="doc_id")
+    table.replace(tables.table("documents").select("doc_id", "text", "lang", "source"))
+    return table
+
+
+@query(ORACLES["keyed_update"])
+def versioned_update(tables: Tables) -> DataFrame:
+    """The same updates, on a table whose untouched files stay."""
+    table = _versioned_documents(tables)
+    labels = tables.table("labels")
+    first = labels.where("doc_id % 3 = 0").select("doc_id", F.lit("first").alias("source"), F.lit(1).alias("step"))
+    last = labels.select("doc_id", F.when(F.col("quality") == 1, "good").alias("source"), F.lit(2).alias("step"))
+    table.update(first.union(last), ["source"], "step")
+    return table.read()
+
+
+@query(
+    """
+    SELECT 1 AS version, lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang
+    UNION ALL
+    SELECT 2, lang, count(*), sum(n_chars)::BIGINT FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY lang
+    UNION ALL
+    SELECT 3, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'seen' ELSE lang END AS lang, count(*), sum(n_chars)::BIGINT FROM documents GROUP BY 2
+    """
+)
+def versioned_history(tables: Tables) -> DataFrame:
+    """All versions of a table after a load, a deletion by ids, and the deleted rows' return."""
+    documents, labels = tables.table("documents").select("doc_id", "lang", "n_chars"), tables.table("labels").select("doc_id")
+    table = VersionedTable(tables.spark, scratch_path(tables.spark, "versioned"), key="doc_id")
+    table.replace(documents)
+    table.delete(labels)
+    table.append(K.known_only(documents, labels, "doc_id").withColumn("lang", F.lit("seen")).select(*documents.columns))
+    counts = [
+        table.read(version).groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars")).withColumn("version", F.lit(version))
+        for version in table.versions()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(
     r"""
     SELECT doc_id, titre, source FROM @raw_articles
@@ -147,15 +191,17 @@ def _readable(stored: DataFrame) -> DataFrame:
 @query(_PUBLISHED)
 def publish_clean(tables: Tables) -> DataFrame:
     path = scratch_path(tables.spark, "published")
+    # The first version is there until the second one is whole.
+    P.publish(tables.view("raw_articles").limit(1), run_time(), path)
     P.publish(tables.view("raw_articles"), run_time(), path)
-    return _readable(S.scan_articles(tables.spark, path, PUBLISHED_SCHEMA))
+    return _readable(P.read_published(tables.spark, path))
 
 
 @query(_PUBLISHED)
 def publish_json(tables: Tables) -> DataFrame:
     path = scratch_path(tables.spark, "published")
-    P.publish_json(tables.view("raw_articles"), run_time(), path)
-    return _readable(tables.spark.read.schema(PUBLISHED_SCHEMA).json(path))
+    folder = P.publish_json(tables.view("raw_articles"), run_time(), path)
+    return _readable(tables.spark.read.schema(PUBLISHED_SCHEMA).json(folder))
 
 
 @query(_PUBLISHED)

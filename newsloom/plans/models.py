@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators import language as G
 from newsloom.session import shared_dir
+from newsloom.sources import files as H
 
 #: Languages or classes of a model.
 MAX_CLASSES = 100
@@ -26,13 +27,22 @@ def files_key(*tables: DataFrame) -> str:
 
 
 def stored(spark: SparkSession, name: str, key: str, train: Callable[[], DataFrame]) -> DataFrame:
-    """The table of a model of this name and key; trained and written if it is not there."""
-    path = f"{shared_dir(spark)}/newsloom/models/{name}-{key}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        train().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    """The table of a model of this name and key; trained and written if it is not there.
+
+    A small file names the table's folder.  It appears once the table is whole, so a
+    training that failed is done again; of two sessions that train at the same time
+    the first one's table is read by both.
+    """
+    folder = f"{shared_dir(spark)}/newsloom/trained"
+    name = f"{name}-{key}"
+    if name not in H.names_in(spark, folder):
+        table = f"{name}-{uuid.uuid4().hex}"
+        train().write.parquet(f"{folder}/tables/{table}")
+        try:
+            H.publish_text(spark, f"{folder}/{name}", table)
+        except H.NameTakenError:
+            pass
+    return spark.read.parquet(f"{folder}/tables/{H.read_text(spark, f'{folder}/{name}')}")
 
 
 def language_model(spark: SparkSession, labelled: DataFrame, text: str, label: str) -> G.Weights:

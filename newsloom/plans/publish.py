@@ -1,15 +1,20 @@
-"""Publication: article rows in the fixed warehouse shape, as a full refresh."""
+"""Publication: article rows in the fixed warehouse shape, as a full refresh.
+
+Each refresh is a new version (see ``sources.versions``): readers see the old rows or
+the new ones, and a refresh that fails leaves the old ones.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions import dates as D
 from newsloom.functions import numbers as N
 from newsloom.operators.repair import categories_as_list
 from newsloom.schemas import PUBLISHED_SCHEMA
-from newsloom.sources.tables import create_table_if_missing, write_table
+from newsloom.sources.tables import create_table_if_missing
+from newsloom.sources.versions import VersionedTable
 
 _DATES = ("created_at", "date_publication")
 
@@ -52,24 +57,39 @@ def newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy(*newest_order())
 
 
-def publish(df: DataFrame, run_time: Column, path: str, by_day: bool = True) -> None:
-    """Replace the published table, as Parquet with one folder per publication day."""
+def publish(df: DataFrame, run_time: Column, path: str, by_day: bool = True) -> int:
+    """Replace the published table, as Parquet with one folder per publication day; the new version."""
     rows = published_rows(df, run_time)
     if not by_day:
-        write_table(newest_first(rows), path, "overwrite")
-        return
+        return VersionedTable(df.sparkSession, path).replace(newest_first(rows))
     day = F.to_date("date_publication")
-    write_table(rows.withColumn("publication_day", day), path, "overwrite", by="publication_day")
+    return VersionedTable(df.sparkSession, path, by="publication_day").replace(rows.withColumn("publication_day", day))
+
 
+def read_published(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The published table, as of a version if one is given."""
+    return VersionedTable(spark, path).read(version)
 
-def publish_table(df: DataFrame, run_time: Column, name: str, location: str | None = None) -> None:
-    """Replace the rows of a typed table of the catalog, newest first; make the table if it is missing."""
-    create_table_if_missing(df.sparkSession, name, PUBLISHED_SCHEMA, location)
-    newest_first(published_rows(df, run_time)).write.insertInto(name, overwrite=True)
 
+def publish_table(df: DataFrame, run_time: Column, name: str, location: str | None = None) -> int:
+    """Replace the rows of a typed table of the catalog, newest first; make the table if it is missing.
 
-def publish_json(df: DataFrame, run_time: Column, path: str) -> None:
-    """The same rows as JSON lines with ISO dates, newest first."""
+    The rows are written beside the old ones, below the place that the table was made
+    at, and the table is pointed at them in one step.
+    """
+    spark = df.sparkSession
+    create_table_if_missing(spark, name, PUBLISHED_SCHEMA, location)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    here = described.where("col_name = 'Location'").first()["data_type"]
+    versions = VersionedTable(spark, here.split("/_data/")[0])
+    version = versions.replace(newest_first(published_rows(df, run_time)))
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{versions.folder(version)}'")
+    return version
+
+
+def publish_json(df: DataFrame, run_time: Column, path: str) -> str:
+    """The same rows as JSON lines with ISO dates, newest first; the folder they are in."""
     rows = newest_first(published_rows(df, run_time))
     dates = {c: D.iso_text(F.col(c)) for c in (*_DATES, "sync_timestamp")}
-    rows.withColumns(dates).write.mode("overwrite").json(path)
+    versions = VersionedTable(df.sparkSession, path, fmt="json")
+    return versions.folder(versions.replace(rows.withColumns(dates)))

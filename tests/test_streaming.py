@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
+from newsloom.operators import key_index as K
 from newsloom.streaming import ingest as I
 from newsloom.streaming import volume as V
 
@@ -100,12 +101,74 @@ def test_daily_counts_are_complete_and_drop_late_rows(spark, tmp_path):
     assert days() == [("2025-01-01", "a", 2), ("2025-01-04", "a", 2), ("2025-01-08", "b", 1)]
 
 
-def test_a_batch_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+def test_a_batch_reads_only_folders_that_can_hold_its_keys(spark, tmp_path):
+    """A table of 200 folders with 2,000 keys each, and a batch of 1,000 keys."""
+    table = str(tmp_path / "table")
+    rows = spark.range(400_000).select(
+        F.concat(F.lit("k"), "id").alias("k"), F.lit(None).cast("timestamp").alias("ts"), F.col("id").alias("n"),
+        F.lit("q").alias(I.QUERY), (F.col("id") / 2000).cast("long").alias(I.BATCH),
+    )
+    rows.repartition(4, I.BATCH).write.partitionBy(I.QUERY, I.BATCH).parquet(table)
+    every = I.folders_of(I.read_table(spark, table, SCHEMA))
+    assert every == {("q", n) for n in range(200)}
+    new = spark.range(1000).select(F.concat(F.lit("new"), "id").alias("k"))
+    # Without filters everything is read.
+    assert I.folders_of(I.known_part(spark, table, SCHEMA, new, "k")) == every
+    I.index_table(spark, table, SCHEMA, "k")
+    assert I.known_part(spark, table, SCHEMA, new, "k").count() == 0 or len(I.folders_of(I.known_part(spark, table, SCHEMA, new, "k"))) <= 20
+    some = new.union(spark.createDataFrame([("k1",), ("k2",), ("k399999",), (None,)], "k string"))
+    part = I.known_part(spark, table, SCHEMA, some, "k")
+    folders = I.folders_of(part)
+    assert {("q", 0), ("q", 199)} <= folders and len(folders) <= 20
+    assert part.where("k IN ('k1', 'k2', 'k399999')").count() == 3
+    # The key column and the folders are all that is read.
+    scan = part.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:string>" in scan
+
+
+def test_a_folder_without_a_whole_filter_is_read(spark, tmp_path):
     folder, table, check = (str(tmp_path / x) for x in ("in", "table", "check"))
-    add(spark, folder, [(f"k{n}", "2025-01-01 10:00:00", n) for n in range(200)])
+    add(spark, folder, [(f"k{n}", "2025-01-01 10:00:00", n) for n in range(50)])
     I.ingest_new(source(spark, folder), table, check, "k", "n").awaitTermination()
-    rows = spark.createDataFrame([("k1",), ("k1",), ("new",)], "k string")
-    known = I.in_buckets_of(rows, I.read_table(spark, table, SCHEMA), "k")
-    text = known._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(key_bucket" in text or "PartitionFilters: [key_bucket" in text
-    assert "k1" in {r.k for r in known.collect()} and known.count() < 40
+    asked = spark.createDataFrame([("other",)], "k string")
+    assert I.folders_of(I.known_part(spark, table, SCHEMA, asked, "k")) == {("none", -1)}
+    # As if the batch had failed before its filter was written, or half way through.
+    (mine,) = (tmp_path / "table" / "_keys").glob("query_id=*/batch_id=0")
+    parts = sorted(mine.glob("*.parquet"))
+    held = spark.read.parquet(str(mine)).where("block < 0").collect()
+    assert len(held) == 1 and held[0]["keys"] == 50
+    for part in parts:
+        part.unlink()
+    assert len(I.folders_of(I.known_part(spark, table, SCHEMA, asked, "k"))) == 2
+    # A query with a new checkpoint sees all input again and adds nothing.
+    I.ingest_new(source(spark, folder), table, str(tmp_path / "new"), "k", "n").awaitTermination()
+    assert len(rows_of(spark, table)) == 50
+
+
+def test_batches_without_new_keys_have_whole_filters(spark, tmp_path):
+    folder, table, check = (str(tmp_path / x) for x in ("in", "table", "check"))
+    for _ in range(2):
+        add(spark, folder, [("a", "2025-01-01", 1), (None, "2025-01-01", 2)])
+        I.ingest_new(source(spark, folder), table, check, "k", "n").awaitTermination()
+    whole = K.whole_filters(I.read_index(spark, table), I.QUERY, I.BATCH)
+    assert whole.count() == 2
+
+
+def test_filters_have_no_false_negatives_and_few_false_positives(spark):
+    sizes = {0: 0, 1: 1, 2: K.KEYS_PER_BLOCK, 3: K.KEYS_PER_BLOCK + 1, 4: 20_000}
+    keys = spark.range(30_000).select(F.explode(F.array(*[F.lit(f) for f in sizes])).alias("f"), F.col("id"))
+    keys = keys.where(F.expr(f"id < element_at(map({', '.join(f'{a}, {b}' for a, b in sizes.items())}), f)")).withColumn("k", F.concat("f", F.lit("-"), "id"))
+    folders = spark.createDataFrame([(f,) for f in sizes], "f int")
+    index = K.filters_of(keys, "k", folders).cache()
+    assert {r["f"]: (r["level"], r["keys"]) for r in index.where("block = -1").collect()} == {
+        0: (0, 0), 1: (0, 1), 2: (0, K.KEYS_PER_BLOCK), 3: (1, K.KEYS_PER_BLOCK + 1), 4: (4, 20_000)
+    }
+    assert K.whole_filters(index, "f").count() == 5
+    for f in (1, 2, 3, 4):
+        one = keys.where(F.col("f") == f).limit(1)
+        assert f in {r["f"] for r in K.folders_with(index, one, "k", "f").collect()}
+    # Each key is told apart by a folder column of its own.
+    alone = index.where("f = 4").drop("f").withColumn("f", F.lit(4))
+    strangers = spark.range(20_000).select(F.concat(F.lit("x"), "id").alias("k"))
+    assert K.folders_with(alone, strangers.limit(1000), "k", "f").count() <= 1
+    index.unpersist()
