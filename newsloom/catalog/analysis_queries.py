@@ -14,6 +14,7 @@ from newsloom.operators import categories as C
 from newsloom.operators import keys as K
 from newsloom.operators import language as G
 from newsloom.operators import lexicon as L
+from newsloom.operators import phrases as X
 from newsloom.operators import sentiment as S
 from newsloom.plans import ingest as N
 from newsloom.plans import models as M
@@ -96,20 +97,31 @@ def _hits(phrases, name: str) -> str:
 @query(f"{_hits(None, 'default')} UNION ALL {_hits(PHRASES, 'corpus')}")
 def keyword_hits(tables: Tables) -> DataFrame:
     names = {"default": L.phrase_table(), "corpus": L.phrase_table(PHRASES)}
-    found = normalized_of(tables)
-    for name, table in names.items():
-        found = found.withColumn(name, L.phrases_found(F.col("words"), table))
-
-    def rows(name: str):
-        scores = F.filter(L.phrase_scores(F.col(name), names[name]), lambda s: s["hits"] > 0)
-        return F.transform(
-            scores,
-            lambda s: F.struct(
-                F.lit(name).alias("phrases"), s["categorie"].alias("categorie"), s["hits"].cast("long").alias("hits")
-            ),
-        )
-
-    return found.select("doc_id", F.inline(F.concat(rows("default"), rows("corpus"))))
+    rows = [(name, category, phrase) for name, table in names.items() for category, listed in table for phrase in listed]
+    phrases = tables.spark.createDataFrame(rows, "phrases string, categorie string, phrase string")
+    return X.category_hits(normalized_of(tables).select("doc_id", "words"), "words", phrases, "phrases", "categorie")
+
+
+_FRAGMENTS = f"""
+    SELECT DISTINCT substr(ws[2], 2) || ' ' || ws[3] AS phrase FROM ({_WORDS}) WHERE len(ws) >= 3
+    UNION SELECT DISTINCT ws[1] FROM ({_WORDS}) WHERE len(ws) >= 1
+"""
+
+
+@query(
+    f"""
+    SELECT phrase, count(*) AS n FROM ({_FRAGMENTS}) p JOIN ({_WORDS}) t ON contains(t.words, p.phrase)
+    WHERE phrase <> '' GROUP BY phrase
+    """
+)
+def phrase_matches(tables: Tables) -> DataFrame:
+    """In how many documents each document's own opening words stand, inside words too."""
+    texts = normalized_of(tables).select("doc_id", "words")
+    listed = words_of(tables).select("ws")
+    opening = listed.where("size(ws) >= 3").select(F.concat(F.substring(F.col("ws")[1], 2, 1 << 30), F.lit(" "), F.col("ws")[2]).alias("phrase"))
+    firsts = listed.where("size(ws) >= 1").select(F.col("ws")[0].alias("phrase"))
+    index = X.phrase_index(opening.union(firsts))
+    return X.phrases_in(texts, "words", index).groupBy("phrase").agg(F.count("*").alias("n"))
 
 
 def _ranked(phrases) -> str:
