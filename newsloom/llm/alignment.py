@@ -29,9 +29,12 @@ columns are ignored, whatever their names; an empty table gives an empty one.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -45,8 +48,9 @@ from newsloom.llm.shared import cut, id_text, settle
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
-#: Bytes of text that are aligned together.
-BLOCK_BYTES = 4 << 20
+#: Bytes of text that are aligned together; tokens that are written out together.
+BLOCK_BYTES = 2 << 20
+WRITTEN_TOKENS = 1 << 19
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -57,8 +61,31 @@ ALIGNED = (
 )
 
 
+class Strings:
+    """Byte strings by number, laid end to end."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.fromiter(map(len, strings), np.int32, len(strings))
+        self.starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        """The bytes of the numbered strings, one after the other."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(total, len(self.flat)) < 1 << 31 else np.int64
+        shift = (self.starts[numbers] - (ends - sizes)).astype(kind)
+        return self.flat[np.repeat(shift, sizes) + np.arange(total, dtype=kind)]
+
+
 class ByteVocabulary:
-    """The tokens of a byte-level vocabulary, with the bytes of each."""
+    """The tokens of a byte-level vocabulary, with the bytes of each.
+
+    Where the file's merges stand in the order of their ids and its texts are split by
+    the usual pattern, tokens are found by rank, which is the same and several times
+    faster; otherwise by the file's own tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -74,8 +101,24 @@ class ByteVocabulary:
         for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
             if all(c in byte_of for c in token):
                 self.bytes[number] = bytes(byte_of[c] for c in token)
+        self.ranked = self._by_rank()
+
+    def _by_rank(self):
+        import tiktoken
+
+        made = json.loads(self.tokenizer.to_str())
+        model, split = made["model"], made["pre_tokenizer"] or {}
+        numbers = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model.get("merges", [])]
+        plain = made["normalizer"] is None and not model.get("ignore_merges") and not model.get("unk_token")
+        usual = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        ranks = {token: k for k, token in enumerate(self.bytes) if token}
+        if not (plain and usual and numbers == sorted(set(numbers)) and len(ranks) == 256 + len(numbers)):
+            return None
+        return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def tokens(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked is not None:
+            return [self.ranked.encode_ordinary(" " + t) for t in texts]
         found = self.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)
         return [e.ids for e in found]
 
@@ -96,64 +139,103 @@ class PieceVocabulary:
         return self.model.encode(texts, num_threads=1)
 
 
-@lru_cache(maxsize=4)
-def vocabularies(byte_path: str, piece_path: str):
-    """Both vocabularies, loaded once in each worker, and the ids as text with what may follow one."""
-    a, b = ByteVocabulary(byte_path), PieceVocabulary(piece_path)
-    size = max(len(a.bytes), len(b.bytes))
-    written = [f"{k}{after}" for after in (",", "|", ";", "") for k in range(size)]
-    return a, b, size, written
+@dataclass
+class Vocabularies:
+    """Both vocabularies, their tokens' bytes, and ids as they are written, with what may follow one."""
+
+    a: ByteVocabulary
+    b: PieceVocabulary
+    bytes_a: Strings
+    bytes_b: Strings
+    ids: int
+    written: Strings
 
 
-def _ends(tokens: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in a row, and where each ends in their joined bytes."""
-    ids = np.fromiter((i for row in tokens for i in row), np.int64, sum(map(len, tokens)))
-    return ids, np.cumsum(sizes[ids])
+@lru_cache(maxsize=4)
+def vocabularies(byte_path: str, piece_path: str) -> Vocabularies:
+    """Loaded once in each worker."""
+    a, b = ByteVocabulary(byte_path), PieceVocabulary(piece_path)
+    ids = max(len(a.bytes), len(b.bytes))
+    written = [b"%d%s" % (k, after) for after in (b",", b"|", b";", b"") for k in range(ids)]
+    return Vocabularies(a, b, Strings(a.bytes), Strings(b.bytes), ids, Strings(written))
+
+
+class Side:
+    """The tokens of one vocabulary in some texts: ids in a row, and how many each text has."""
+
+    def __init__(self, tokens: list[list[int]], strings: Strings):
+        self.counts = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.ids = np.fromiter(chain.from_iterable(tokens), np.int32, int(self.counts.sum()))
+        self.ends = np.cumsum(strings.sizes[self.ids], dtype=np.int64)
+        lasts = np.cumsum(self.counts)
+        reached = np.concatenate([[0], self.ends])[np.concatenate([[0], lasts])]
+        self.bytes = np.diff(reached)  # of each text
+
+    def marks(self, total: int) -> np.ndarray:
+        """For each offset whether a token ends there."""
+        found = np.zeros(total + 1, bool)
+        found[self.ends] = True
+        return found
 
 
 class Block:
     """The alignment of some texts, none of them empty."""
 
     def __init__(self, texts: list[str], byte_path: str, piece_path: str):
-        a, b, size, written = vocabularies(byte_path, piece_path)
-        rows = []
-        for k, (x, y) in enumerate(zip(a.tokens(texts), b.tokens(texts), strict=True)):
-            raw = b" " + texts[k].encode()
-            if raw == b"".join(map(a.bytes.__getitem__, x)) == b"".join(map(b.bytes.__getitem__, y)):
-                rows.append((k, x, y, len(raw)))
+        both = vocabularies(byte_path, piece_path)
+        kept = list(range(len(texts)))
+        raw = [b" " + t.encode() for t in texts]
+        tokens_a, tokens_b = both.a.tokens(texts), both.b.tokens(texts)
+        while True:  # once more where a text does not come back from its tokens
+            a = Side([tokens_a[k] for k in kept], both.bytes_a)
+            b = Side([tokens_b[k] for k in kept], both.bytes_b)
+            sizes = np.fromiter((len(raw[k]) for k in kept), np.int64, len(kept))
+            bounds = np.cumsum(sizes)
+            right = (a.bytes == sizes) & (b.bytes == sizes)
+            if right.all():
+                whole = np.frombuffer(b"".join(raw[k] for k in kept), np.uint8)
+                for side, strings in ((a, both.bytes_a), (b, both.bytes_b)):
+                    wrong = np.flatnonzero(strings.joined(side.ids) != whole)
+                    right[np.searchsorted(bounds, wrong, "right")] = False
+                if right.all():
+                    break
+            kept = [k for k, good in zip(kept, right, strict=True) if good]
         #: Which of the texts have tokens; the other attributes are about those alone.
-        self.texts = [r[0] for r in rows]
-        bounds = np.cumsum([r[3] for r in rows], dtype=np.int64)
-        self.n_a = np.array([len(r[1]) for r in rows], np.int64)
-        self.n_b = np.array([len(r[2]) for r in rows], np.int64)
-        ids_a, ends_a = _ends([r[1] for r in rows], np.fromiter(map(len, a.bytes), np.int64))
-        ids_b, ends_b = _ends([r[2] for r in rows], np.fromiter(map(len, b.bytes), np.int64))
-        links = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, links), np.searchsorted(ends_b, links)
-        text = np.searchsorted(bounds, links)
-        shared = links[(ends_a[at_a] == links) & (ends_b[at_b] == links)] if len(links) else links
-        self.n_links = np.bincount(text, minlength=len(rows))
-        self.n_groups = np.bincount(np.searchsorted(bounds, shared), minlength=len(rows))
-        self.pairs, place = np.unique(ids_a[at_a] << 32 | ids_b[at_b], return_inverse=True)
-        held, self.times = np.unique(text * max(len(self.pairs), 1) + place, return_counts=True)
-        self.text, self.place = np.divmod(held, max(len(self.pairs), 1))
-        self.digests = self._digests(ids_a, ends_a, ids_b, ends_b, shared, size, written)
-
-    def _digests(self, ids_a, ends_a, ids_b, ends_b, shared, size, written) -> list[str]:
-        groups = np.concatenate([np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)])
-        side = 2 * groups + np.repeat([0, 1], [len(ids_a), len(ids_b)])
-        order = np.argsort(side, kind="stable")
-        ids, side = np.concatenate([ids_a, ids_b])[order], side[order]
-        ahead = np.append(side[1:], -1)
-        after = np.where(ahead == side, 0, np.where(ahead >> 1 == side >> 1, 1, 2))
-        lasts = np.cumsum(self.n_a + self.n_b)
-        after[lasts - 1] = 3
-        which = (ids + after * size).tolist()
-        firsts = [0, *lasts.tolist()]
-        return [
-            hashlib.sha256("".join(map(written.__getitem__, which[i:j])).encode()).hexdigest()
-            for i, j in zip(firsts, firsts[1:], strict=False)
-        ]
+        self.texts, self.n_a, self.n_b = kept, a.counts, b.counts
+        total = int(bounds[-1]) if kept else 0
+        is_a, is_b = a.marks(total), b.marks(total)
+        is_both, is_last = is_a & is_b, np.zeros(total + 1, bool)
+        is_last[bounds] = True
+        upto_a, upto_b, upto_both, upto_last = (np.cumsum(x, dtype=np.int32) for x in (is_a, is_b, is_both, is_last))
+        links, shared = np.flatnonzero(is_a | is_b), np.flatnonzero(is_both)
+        text = (upto_last[links] - is_last[links]).astype(np.int64)
+        self.n_links = np.bincount(text, minlength=len(kept))
+        self.n_groups = np.bincount(upto_last[shared] - is_last[shared], minlength=len(kept))
+        self._pairs(text, a.ids[upto_a[links] - is_a[links]], b.ids[upto_b[links] - is_b[links]], both)
+        # In the written order the B tokens of earlier groups come before an A token, the A tokens of its group before a B token.
+        through_a, through_b = upto_a[shared].astype(np.int64), upto_b[shared].astype(np.int64)
+        before_b = np.concatenate([[0], through_b[:-1]]) if len(shared) else through_b
+        order = np.empty(len(a.ids) + len(b.ids), np.int32)
+        order[np.arange(len(a.ids)) + before_b[upto_both[a.ends] - is_both[a.ends]]] = a.ids
+        order[np.arange(len(b.ids)) + through_a[upto_both[b.ends] - is_both[b.ends]]] = b.ids
+        order[through_a + before_b - 1] += both.ids  # the last A token of a group
+        order[through_a + through_b - 1] += 2 * both.ids  # the last token of a group
+        lasts = upto_a[bounds].astype(np.int64) + upto_b[bounds]
+        order[lasts - 1] += both.ids  # the last token of a text
+        self.digests = list(_digests(order, lasts, both.written))
+
+    def _pairs(self, text: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, both: Vocabularies) -> None:
+        """The pairs of the block, and for each text which of them it has, how often."""
+        bits_b = len(both.b.bytes).bit_length()
+        bits = bits_b + len(both.a.bytes).bit_length()
+        keys = text << bits | ids_a.astype(np.int64) << bits_b | ids_b
+        keys.sort()
+        firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+        self.times = np.diff(np.append(firsts, len(keys)))
+        held = keys[firsts]
+        self.text = held >> bits
+        codes, self.place = np.unique(held & ((1 << bits) - 1), return_inverse=True)
+        self.pairs = codes >> bits_b << 32 | codes & ((1 << bits_b) - 1)
 
     def documents(self, copies: np.ndarray) -> np.ndarray:
         """For each pair how many documents hold it, ``copies`` being those of each text with tokens."""
@@ -162,6 +244,19 @@ class Block:
         return found
 
 
+def _digests(order: np.ndarray, lasts: np.ndarray, written: Strings) -> Iterator[str]:
+    """The digest of each text's written groups; some texts at a time are written out."""
+    first = done = 0
+    while done < len(lasts):
+        upto = max(done + 1, int(np.searchsorted(lasts, first + WRITTEN_TOKENS, "right")))
+        numbers = order[first : lasts[upto - 1]]
+        ends = np.cumsum(written.sizes[numbers], dtype=np.int64)[lasts[done:upto] - first - 1]
+        data = written.joined(numbers).tobytes()
+        for start, end in zip([0, *ends.tolist()], ends.tolist(), strict=False):
+            yield hashlib.sha256(data[start:end]).hexdigest()
+        first, done = int(lasts[upto - 1]), upto
+
+
 def _rows(number: int, texts: list[str], copies: list[int], byte_path: str, piece_path: str) -> pa.RecordBatch:
     """The rows of one block: its texts with tokens and its pairs."""
     block = Block(texts, byte_path, piece_path)

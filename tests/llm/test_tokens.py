@@ -71,7 +71,8 @@ def test_counted_odd_documents(odd_docs, no_docs, model):
 
 def plainly_aligned(docs):
     """The rows by looking at all pairs of tokens of every document."""
-    a, b, _, _ = alignment.vocabularies(alignment.BYTE_VOCABULARY, alignment.PIECE_VOCABULARY)
+    both = alignment.vocabularies(alignment.BYTE_VOCABULARY, alignment.PIECE_VOCABULARY)
+    a, b = both.a, both.b
     held, rows = Counter(), []
 
     def ranges(ids, sizes):
@@ -105,6 +106,18 @@ def as_rows(df):
     return Counter(tuple(r) for r in df.select(*columns).collect())
 
 
+def test_tokens_by_rank_are_those_of_the_file():
+    a = alignment.ByteVocabulary(alignment.BYTE_VOCABULARY)
+    assert a.ranked is not None
+    dice = random.Random(5)
+    texts = [f"a{c}b 1{c}2 {c}{c}  {c}\n{c}'s {c}1{c}! !{c}" for c in map(chr, range(0x3000))]
+    for _ in range(2000):
+        texts.append("".join(dice.choice(" \n\t'strevmdl019.,é中😀") for _ in range(dice.randint(1, 60))))
+    ranked = a.tokens([*ODD, *texts, "x" * 100_000])
+    a.ranked = None
+    assert a.tokens([*ODD, *texts, "x" * 100_000]) == ranked
+
+
 def test_alignment_of_odd_texts(make_docs, no_docs):
     rows = [(k, t[:300]) for k, t in enumerate(ODD)] + [(90, None), (3, "hello there"), (None, "hello there"), (92, "hello there"), (93, "hello")]
     wanted = plainly_aligned(rows)
