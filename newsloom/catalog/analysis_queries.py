@@ -326,7 +326,7 @@ def model_sentiment(tables: Tables) -> DataFrame:
 def nearest_category(tables: Tables) -> DataFrame:
     embeddings = tables.table("embeddings")
     means = C.class_means(embeddings, "label", "embedding")
-    centroids = C.collect_centroids(means, "label", "embedding", max_classes=1000)
+    centroids = C.centroid_blocks(means, "label", "embedding")
     nearest = C.nearest_category(embeddings.select("vec_id", "embedding"), "embedding", centroids)
     return nearest.select("vec_id", F.round("similarity", 6).alias("similarity"), "categorie")
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from newsloom import fixed_values as fixed
 from newsloom.functions import text as T
 from newsloom.operators import lexicon as L
+from newsloom.operators import model_blocks as M
+from newsloom.session import scratch_path
+
+#: Vectors that are compared together.
+CENTROID_BYTES = 32 << 20
 
 
 def leading_categories(scores: Column) -> Column:
@@ -143,43 +148,58 @@ def class_means(df: DataFrame, label: str, vector: str) -> DataFrame:
     return df.groupBy(label).agg(vector_to_array(mean).alias(vector))
 
 
-def collect_centroids(
-    means: DataFrame, label: str, vector: str, max_classes: int
-) -> list[tuple[str, list[float]]]:
-    """Class means as a model, in label order; the caller says how many classes the driver can hold."""
-    rows = means.orderBy(label).take(max_classes + 1)
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    return [(str(row[label]), row[vector]) for row in rows]
+def centroid_blocks(means: DataFrame, label: str, vector: str, block_bytes: int = CENTROID_BYTES) -> DataFrame:
+    """Class means as blocks of unit vectors in label order, each of at most ``block_bytes``; written."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, columns, size = [], [], 0
+        for batch in batches:
+            for name, values in zip(batch["_label"], batch["_vector"], strict=True):
+                column = np.asarray(values, dtype="float64")
+                if names and size + column.nbytes > block_bytes:
+                    yield pd.DataFrame([M.packed(0, names, np.array(columns).T.copy())])
+                    names, columns, size = [], [], 0
+                length = np.linalg.norm(column)
+                names.append(str(name))
+                columns.append(column / (length if length else 1.0))
+                size += column.nbytes
+        if names:
+            yield pd.DataFrame([M.packed(0, names, np.array(columns).T.copy())])
+
+    spark = means.sparkSession
+    named = means.select(F.col(label).alias("_label"), F.col(vector).alias("_vector"))
+    ordered = named.repartitionByRange("_label").sortWithinPartitions("_label")
+    blocks = ordered.mapInPandas(pack, M.BLOCK).withColumn("at", F.monotonically_increasing_id())
+    path = scratch_path(spark, "centroids")
+    blocks.write.parquet(path)
+    return spark.read.schema(blocks.schema).parquet(path)
+
+
+def _cosines(vectors: pd.Series, matrix: np.ndarray) -> np.ndarray:
+    """Cosines with the unit vectors of a block; a null vector has none, a zero vector those of zero."""
+    given = vectors.notna().to_numpy()
+    found = np.full((len(vectors), matrix.shape[1]), np.nan)
+    if given.any():
+        rows = np.stack(vectors[given].to_numpy()).astype("float64")
+        norms = np.linalg.norm(rows, axis=1, keepdims=True)
+        found[given] = (rows / np.where(norms == 0, 1, norms)) @ matrix
+    return found
 
 
 def nearest_category(
     df: DataFrame,
     vector: str,
-    centroids: Sequence[tuple[str, Sequence[float]]],
+    centroids: Sequence[tuple[str, Sequence[float]]] | DataFrame,
     threshold: float = fixed.SIMILARITY_THRESHOLD,
 ) -> DataFrame:
     """Best category by cosine, the first one on a tie; below the threshold the default.
 
-    ``centroids`` is the model: a dozen vectors.  It travels inside the function
-    and every Arrow batch is one matrix product, so rows meet no join.
+    ``centroids`` are a few named vectors, or the blocks of any number of them.
+    Every Arrow batch is one matrix product for each block, so rows meet no join.
     """
-    names = np.array([name for name, _ in centroids], dtype=object)
-    matrix = np.array([v for _, v in centroids], dtype="float64")
-    matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-
-    @F.pandas_udf("similarity double, categorie string")
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        if vectors.empty:
-            return pd.DataFrame({"similarity": [], "categorie": []})
-        rows = np.stack(vectors.to_numpy()).astype("float64")
-        norms = np.linalg.norm(rows, axis=1, keepdims=True)
-        cosines = (rows / np.where(norms == 0, 1, norms)) @ matrix.T
-        best = cosines.argmax(axis=1)
-        top = cosines[np.arange(len(rows)), best]
-        chosen = np.where(top >= threshold, names[best], fixed.DEFAULT_CATEGORY)
-        return pd.DataFrame({"similarity": top, "categorie": chosen})
-
-    return df.withColumn("_nearest", nearest(vector)).select(
-        *df.columns, "_nearest.similarity", "_nearest.categorie"
-    )
+    if not isinstance(centroids, DataFrame):
+        rows = [(name, [float(x) for x in values]) for name, values in centroids]
+        centroids = centroid_blocks(df.sparkSession.createDataFrame(rows, "name string, v array<double>"), "name", "v")
+    best = M.best_in_blocks(df, F.col(vector), centroids, _cosines, "_nearest")
+    chosen = F.when(F.col("_nearest.score") >= threshold, F.col("_nearest.name")).otherwise(fixed.DEFAULT_CATEGORY)
+    return best.select(*df.columns, F.col("_nearest.score").alias("similarity"), chosen.alias("categorie"))

@@ -20,11 +20,16 @@ from pyspark.sql.types import StringType
 from newsloom import fixed_values as fixed
 from newsloom.functions import text as T
 from newsloom.operators import lexicon as L
+from newsloom.operators import model_blocks as M
+from newsloom.session import scratch_path
 
 LETTERS = " abcdefghijklmnopqrstuvwxyz"
 GRAMS = len(LETTERS) ** 3
 SCALE = 10_000
 
+#: Languages of one matrix: 20 MB.
+CLASSES_AT_ONCE = 128
+
 Weights = tuple[list[str], np.ndarray]
 
 
@@ -67,22 +72,54 @@ def _gram_index(gram: str) -> int:
     return (a * len(LETTERS) + b) * len(LETTERS) + c
 
 
-def language_weights(profiles: DataFrame, max_languages: int) -> Weights:
-    """The trained table as one small matrix: 19,683 rows, one column per language.
+def language_blocks(profiles: DataFrame, at_once: int = CLASSES_AT_ONCE) -> DataFrame:
+    """The trained table as blocks of matrices: 19,683 rows, a column for each of ``at_once`` languages."""
+    spark = profiles.sparkSession
+    names = profiles.select("lang").distinct()
+    # One short row for each language meets in this window.
+    numbered = names.withColumn("_place", F.row_number().over(Window.orderBy("lang")) - 1)
+    rows = profiles.join(numbered, "lang").withColumn("_block", F.floor(F.col("_place") / at_once).cast("long"))
+
+    def dense(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        languages = sorted(part["lang"].unique())
+        column = part["lang"].map({name: k for k, name in enumerate(languages)}).to_numpy()
+        matrix = np.empty((GRAMS, len(languages)), dtype="int64")
+        matrix[:, column] = part["unseen"].to_numpy()
+        matrix[[_gram_index(g) for g in part["gram"]], column] = part["weight"].to_numpy()
+        return pd.DataFrame([M.packed(int(key[0]), languages, matrix)])
+
+    blocks = rows.groupBy("_block").applyInPandas(dense, M.BLOCK)
+    path = scratch_path(spark, "language-blocks")
+    blocks.write.parquet(path)
+    return spark.read.schema(blocks.schema).parquet(path)
+
+
+def language_weights(profiles: DataFrame, at_once: int = CLASSES_AT_ONCE) -> Weights | DataFrame:
+    """The trained table ready for use.
 
-    The caller says how many languages the driver and the tasks can hold.
+    Up to ``at_once`` languages it is one matrix that travels with a function; with
+    more it is the table of its blocks (``detect_in_blocks``).
     """
-    bound = GRAMS * max_languages
-    table = profiles.select("lang", "gram", "weight", "unseen").limit(bound + 1).toPandas()
-    if len(table) > bound:
-        raise ValueError(f"the labels name more than {max_languages} languages")
-    languages = sorted(table["lang"].unique())
-    matrix = np.empty((GRAMS, len(languages)), dtype="int64")
-    for column, language in enumerate(languages):
-        part = table[table["lang"] == language]
-        matrix[:, column] = part["unseen"].iloc[0]
-        matrix[[_gram_index(g) for g in part["gram"]], column] = part["weight"]
-    return languages, matrix
+    blocks = language_blocks(profiles, at_once)
+    rows = blocks.limit(2).collect() if blocks.count() == 1 else []
+    if not rows:
+        return blocks
+    return list(rows[0]["names"]), M.unpacked(rows[0].asDict())
+
+
+def text_scores(texts: pd.Series, matrix: np.ndarray) -> np.ndarray:
+    """The score of each text in each class of a block; NaN for a text without a trigram."""
+    found = np.full((len(texts), matrix.shape[1]), np.nan)
+    for k, text in enumerate(texts):
+        grams = text_grams(text) if isinstance(text, str) else np.empty(0, "int64")
+        if grams.size:
+            found[k] = matrix[grams].sum(axis=0)
+    return found
+
+
+def detect_in_blocks(df: DataFrame, normalized: Column, blocks: DataFrame, into: str) -> DataFrame:
+    """Add the most likely language of a normalised text, of any number of languages."""
+    return M.best_in_blocks(df, normalized, blocks, text_scores, into).withColumn(into, F.col(into)["name"])
 
 
 def _grams(text: bytes) -> np.ndarray:

@@ -10,13 +10,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import fixed_values as fixed
 from newsloom.functions import text as T
 from newsloom.operators import language as G
 from newsloom.operators import lexicon as L
+from newsloom.operators import model_blocks as M
 
 
 def lexicon_score(
@@ -95,3 +96,14 @@ def model_sentiment(normalized: Column, model: G.Weights, **settings) -> Column:
             yield texts.map(score).astype("float64")
 
     return scored(normalized)
+
+
+def score_in_blocks(
+    df: DataFrame, normalized: Column, blocks: DataFrame, into: str, negative: str = "0", neutral: str | None = None
+) -> DataFrame:
+    """Add the signed confidence of a normalised text, by a model of any number of classes."""
+    best = F.col(into)
+    sign = F.when(best["name"] == neutral, 0.0) if neutral is not None else F.when(F.lit(False), 0.0)
+    sign = sign.when(best["name"] == negative, -1.0).otherwise(1.0)
+    scored = M.best_in_blocks(df, normalized, blocks, G.text_scores, into, scale=float(G.SCALE))
+    return scored.withColumn(into, F.coalesce(sign / best["mass"], F.lit(0.0)))

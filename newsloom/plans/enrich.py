@@ -98,11 +98,19 @@ def _enriched(
     listed = G.detect_language(text, word_list, words=malagasy, min_ratio=min_ratio, unlisted="?")
     worked = with_once(worked, {"_listed": listed})
     table = L.phrase_table(phrases)
-    worked = worked.withColumn("_read", _read_texts(norm, F.col("_listed"), table, language_model, sentiment_model))
+    if isinstance(language_model, DataFrame):  # more languages than one matrix holds
+        worked = G.detect_in_blocks(worked, F.when(F.col("_listed") == "?", norm), language_model, "_detected")
+        settled = G.settled_language(F.col("_listed"), F.col("_detected"), other_label=other_label)
+        worked, language_model = with_once(worked, {"_listed": settled}).drop("_detected"), None
+    blocks = sentiment_model if isinstance(sentiment_model, DataFrame) else None
+    own = None if blocks is not None else sentiment_model
+    worked = worked.withColumn("_read", _read_texts(norm, F.col("_listed"), table, language_model, own))
     settled = G.settled_language(F.col("_listed"), F.col("_read.detected"), other_label=other_label)
-    worked = worked.withColumn("langue", settled)
+    worked, french = worked.withColumn("langue", settled), F.col("_read.french")
+    if blocks is not None:
+        worked, french = S.score_in_blocks(worked, F.when(F.col("langue") == "fr", norm), blocks, "_french"), F.col("_french")
     malagasy_score = S.lexicon_score(word_list, positive, negative)
-    score = S.score_by_language(F.col("langue"), F.col("_read.french"), malagasy_score)
+    score = S.score_by_language(F.col("langue"), french, malagasy_score)
     named = C.categorize(norm, phrases, found=F.col("_read.found"))
     worked = with_once(worked, {"sentiment_score": score, "categorie": named})
     return worked.withColumns(

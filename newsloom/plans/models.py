@@ -12,9 +12,6 @@ from newsloom.operators import language as G
 from newsloom.session import shared_dir
 from newsloom.sources import files as H
 
-#: Languages or classes of a model.
-MAX_CLASSES = 100
-
 
 def files_key(*tables: DataFrame) -> str:
     """A name for the files behind scans: their paths, sizes and times of change."""
@@ -45,17 +42,17 @@ def stored(spark: SparkSession, name: str, key: str, train: Callable[[], DataFra
     return spark.read.parquet(f"{folder}/tables/{H.read_text(spark, f'{folder}/{name}')}")
 
 
-def language_model(spark: SparkSession, labelled: DataFrame, text: str, label: str) -> G.Weights:
+def language_model(spark: SparkSession, labelled: DataFrame, text: str, label: str) -> G.Weights | DataFrame:
     """Trigram weights of the languages in a scanned table."""
     table = stored(
         spark, f"language-{text}-{label}", files_key(labelled), lambda: G.train_language_profiles(labelled, text, label)
     )
-    return G.language_weights(table, MAX_CLASSES)
+    return G.language_weights(table)
 
 
 def sentiment_model(
     spark: SparkSession, texts: DataFrame, labels: DataFrame, key: str, text: str, label: str
-) -> G.Weights:
+) -> G.Weights | DataFrame:
     """Trigram weights of the classes that ``labels`` give to the texts of a scanned table."""
 
     def train() -> DataFrame:
@@ -63,4 +60,4 @@ def sentiment_model(
         return G.train_language_profiles(texts.select(key, text).join(classes, key), text, label)
 
     table = stored(spark, f"sentiment-{text}-{label}", files_key(texts, labels), train)
-    return G.language_weights(table, MAX_CLASSES)
+    return G.language_weights(table)
