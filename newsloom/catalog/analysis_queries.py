@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from newsloom import fixed_values as fixed
-from newsloom.catalog.registry import Tables, query
+from newsloom.catalog.registry import ORACLES, Tables, query
 from newsloom.catalog.quality_queries import VALID, stripped
 from newsloom.catalog.text_queries import DOMAIN, NAMES, PRODUCED, collapsed, normal, plain, produced
 from newsloom.functions import text as T
@@ -18,6 +18,7 @@ from newsloom.operators import phrases as X
 from newsloom.operators import sentiment as S
 from newsloom.plans import ingest as N
 from newsloom.plans import models as M
+from newsloom.plans import parts as Z
 from newsloom.plans.enrich import enrich_articles as enrich
 from newsloom.plans.enrich import reenrich as renew
 from newsloom.session import scratch_path
@@ -394,6 +395,18 @@ def reenrich(tables: Tables) -> DataFrame:
     return _flat(renew(rows, **_models(tables), **_ENRICHMENT))
 
 
+@query(ORACLES["reenrich"])
+def reenrich_parts(tables: Tables) -> DataFrame:
+    """The same in two runs over the files of a table: the second goes on where the first was ended."""
+    path = scratch_path(tables.spark, "parts")
+    rows = tables.view("articles").select("doc_id", "titre", "contenu", "source", "langue")
+    rows.repartition(4, "doc_id").write.parquet(f"{path}/table")
+    table, models = tables.spark.read.schema(rows.schema).parquet(f"{path}/table"), _models(tables)
+    for lots in (1, None):
+        Z.change_in_parts(table, f"{path}/out", lambda part: renew(part, **models, **_ENRICHMENT), lot_bytes=1, max_lots=lots)
+    return _flat(Z.read_parts(tables.spark, f"{path}/out"))
+
+
 # --- ingest: all producers, known ids, gate, enrichment, append ---------------------------
 
 _KNOWN = "substr(id_article, 1, 1) < '4'"

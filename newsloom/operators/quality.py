@@ -203,6 +203,46 @@ def numbered(df: DataFrame, *order: str | Column) -> DataFrame:
     return rows.join(starts, "_range").withColumn("position", F.col("_before") + within).drop("_range", "_place", "_before")
 
 
-def page_rows(df: DataFrame, skip: int, n: int, *order: str | Column) -> DataFrame:
-    """``n`` rows after the first ``skip``, in a total order; the skipped ones meet in no task."""
-    return numbered(df, *order).where(F.col("position").between(skip, skip + n - 1)).drop("position")
+def order_histogram(df: DataFrame, first: str, order: Column | str | None = None, ranges: int | None = None) -> DataFrame:
+    """(place, low, high, nulls, n) of ``ranges`` ranges of a sort column, in its order.
+
+    ``order`` is the column as it is sorted by, descending for instance; there are as
+    many ranges as shuffle partitions unless more are asked for.  Of the table the one
+    column is read and shuffled; equal values are in one range, so the counts
+    say exactly how many rows come before a range.  Store it to look up more pages.
+    """
+    ranges = ranges or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = df.select(first).repartitionByRange(ranges, first if order is None else order)
+    return parts.groupBy(F.spark_partition_id().alias("place")).agg(
+        F.min(first).alias("low"), F.max(first).alias("high"), (F.count("*") - F.count(first)).alias("nulls"), F.count("*").alias("n")
+    )
+
+
+def page_rows(
+    df: DataFrame, skip: int, n: int, *order: str | Column, first: str | None = None, histogram: DataFrame | None = None
+) -> DataFrame:
+    """``n`` rows after the first ``skip``, in a total order; the skipped ones meet in no task.
+
+    The rows of the ranges that the page lies in are read and put in order, no others:
+    ``first`` names the column that the order begins with, where that is not a plain
+    name, and ``histogram`` is a stored ``order_histogram`` of it.  Without a name the
+    whole table is put in order.
+    """
+    first = first or (order[0] if isinstance(order[0], str) else None)
+    if first is None:
+        return numbered(df, *order).where(F.col("position").between(skip, skip + n - 1)).drop("position")
+    ranges = histogram if histogram is not None else order_histogram(df, first, order[0])
+    before, low, high, nulls, start = 0, [], [], False, None
+    for row in ranges.orderBy("place").collect():  # one short row for each range
+        if before < skip + n and before + row["n"] > skip:
+            start = before if start is None else start
+            low, high = [*low, row["low"]], [*high, row["high"]]
+            nulls = nulls or row["nulls"] > 0
+        before += row["n"]
+    if start is None:
+        return df.limit(0)
+    column, within = F.col(first), F.lit(False)
+    if any(v is not None for v in low):
+        within = column.between(F.lit(min(v for v in low if v is not None)), F.lit(max(v for v in high if v is not None)))
+    part = df.where(within | column.isNull() if nulls else within)
+    return numbered(part, *order).where(F.col("position").between(skip - start, skip - start + n - 1)).drop("position")

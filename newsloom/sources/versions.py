@@ -51,10 +51,16 @@ class NoVersionError(ValueError):
 
 
 class VersionedTable:
-    """The versioned table at ``path``; ``key`` names the column that updates go by, ``by`` one that folders go by."""
+    """The versioned table at ``path``; ``key`` names the column that updates go by, ``by`` one that folders go by.
 
-    def __init__(self, spark: SparkSession, path: str, key: str | None = None, by: str | None = None, fmt: str = "parquet"):
-        self.spark, self.path, self.key, self.by, self.fmt = spark, path.rstrip("/"), key, by, fmt
+    Rows of one folder are brought together before they are written, unless ``gather``
+    is off because they are together already.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, key: str | None = None, by: str | None = None, fmt: str = "parquet", gather: bool = True
+    ):
+        self.spark, self.path, self.key, self.by, self.fmt, self.gather = spark, path.rstrip("/"), key, by, fmt, gather
         self.data, self.log = f"{self.path}/_data", f"{self.path}/_versions"
 
     # --- versions ----------------------------------------------------------
@@ -100,7 +106,7 @@ class VersionedTable:
         """Write rows as new data files; their folder and their part of a manifest."""
         load = f"{LOAD}={uuid.uuid4().hex}"
         if self.by is not None:
-            df.hint("rebalance", self.by).write.partitionBy(self.by).format(self.fmt).save(f"{self.data}/{load}")
+            (df.hint("rebalance", self.by) if self.gather else df).write.partitionBy(self.by).format(self.fmt).save(f"{self.data}/{load}")
         else:
             ordered = df.repartitionByRange(self.key).sortWithinPartitions(self.key) if self.key else df
             ordered.write.format(self.fmt).save(f"{self.data}/{load}")
@@ -157,6 +163,24 @@ class VersionedTable:
             return df.schema
         return StructType([f for f in df.schema.fields if f.name != self.by] + [df.schema[self.by]])
 
+    def keep_folders(self, values: Sequence[str]) -> int:
+        """Take out the files of all folders but those of these values of ``by``."""
+        folder = F.regexp_extract("file", f"/{self.by}=([^/]*)/", 1)
+
+        def step(before: int) -> int | None:
+            manifest = self.manifest(before)
+            gone = manifest.where(~folder.isin(list(values)))
+            return None if gone.isEmpty() else self._publish(before, manifest.where(folder.isin(list(values))), self.read(before, []).schema)
+
+        return self._change(step)
+
+    def folder_values(self) -> set[str]:
+        """The values of ``by`` that the last version has files of; none for a table without versions."""
+        if not self.versions():
+            return set()
+        rows = self.manifest().select(F.regexp_extract("file", f"/{self.by}=([^/]*)/", 1).alias("value")).distinct().collect()
+        return {r["value"] for r in rows}
+
     # --- changes by key ----------------------------------------------------
 
     def candidates(self, version: int, keys: DataFrame) -> list[str]:
