@@ -19,7 +19,8 @@ Cases: a null or empty text has no shingles and neither finds nor is found; a te
 of fewer than five words is one shingle, so a short item is found only in an equal
 short text; rows of the benchmark that share an item_id are found when any of them
 is, and a row without item_id is no item; an empty benchmark finds nothing; every
-row of the documents gives one row, whatever its doc_id.
+row of the documents gives one row, whatever its doc_id; a text may be of any length;
+an empty table gives an empty one; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations

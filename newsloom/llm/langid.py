@@ -14,7 +14,8 @@ in the order of a hash of their ids (of their texts where they have none), of ea
 
 Cases: a null text or one without letters is ``und`` with score 0 and rejected;
 without any training language every text is; rows are independent, so repeated
-rows and null ids get the prediction of their text.
+rows and null ids get the prediction of their text; an empty table gives an empty
+one; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ joins back to the lines are ones that adaptive execution can split.
 
 Cases: a null or empty text has no lines; a row without doc_id has no place in
 the order, keeps its lines and is nobody's original; rows that share a doc_id
-are told apart by their text, and exact repeats of a row lose the same lines.
+are told apart by their text, and exact repeats of a row lose the same lines; a text
+may have any number of lines; an empty table gives an empty one; other columns pass
+through, whatever their names.
 """
 
 from __future__ import annotations

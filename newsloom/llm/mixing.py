@@ -15,7 +15,7 @@ cell leaves no way) end after ``ROUNDS`` rounds with the last raked margin right
 Cases: null source, language and text are the value ''; a text without words has
 no tokens and, in a cell of its own weight, the cell's chance; rows that share a
 doc_id are drawn together; a null doc_id draws like any other value; an empty
-table gives an empty result.
+table gives an empty result; documents keep all their columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.shared import cut, settle
+from newsloom.llm.shared import cut, settle, unused
 
 #: Expected tokens of the sample, as a share of all.
 BUDGET = 0.5
@@ -150,19 +150,18 @@ def sampled_documents(
 ) -> DataFrame:
     """The drawn documents with their columns, and mix_topic, mix_tokens, mix_weight, mix_chance.
 
-    The cells are a small table, so the texts are not shuffled.
+    The cells are a small table, so the texts are not shuffled.  Where the documents
+    have one of the added names already, underscores are put before the added ones.
     """
     settle(docs.sparkSession)
-    named = [f"_mix_{m}" for m in MARGINS]
-    made = [c.alias(f"_mix_{n}") for n, c in zip((*MARGINS, "n_tokens"), features(docs), strict=True)]
+    own, added = unused(docs, "_mix_"), unused(docs, "mix_")
+    named = [f"{own}{m}" for m in MARGINS]
+    made = [c.alias(f"{own}{n}") for n, c in zip((*MARGINS, "n_tokens"), features(docs), strict=True)]
     # Written with what was read from the texts, so that they are read once.
     tagged = cut(docs.select("*", *made), "mix-rows")
-    cells = _cells(tagged.select(*[F.col(f"_mix_{c}").alias(c) for c in (*MARGINS, "n_tokens")]), targets, budget)
-    cells = cells.toDF(*named, "_mix_weight", "_mix_chance")
-    return tagged.join(cells, named, "left").where(_drawn("_mix_")).select(
-        *[c for c in docs.columns if not c.startswith("mix_")],
-        F.col("_mix_topic").alias("mix_topic"),
-        F.col("_mix_n_tokens").alias("mix_tokens"),
-        F.col("_mix_weight").alias("mix_weight"),
-        F.col("_mix_chance").alias("mix_chance"),
+    cells = _cells(tagged.select(*[F.col(f"{own}{c}").alias(c) for c in (*MARGINS, "n_tokens")]), targets, budget)
+    cells = cells.toDF(*named, f"{own}weight", f"{own}chance")
+    given = {"topic": "topic", "tokens": "n_tokens", "weight": "weight", "chance": "chance"}
+    return tagged.join(cells, named, "left").where(_drawn(own)).select(
+        *docs.columns, *[F.col(f"{own}{c}").alias(f"{added}{name}") for name, c in given.items()]
     )

@@ -24,7 +24,8 @@ equal with a chance near 1e-11.
 Cases: a null or empty text has the empty set and is linked with nothing; a text of
 fewer than five words is one shingle; rows that share a doc_id are one document,
 linked by any of its texts, and stay or go together; a row without doc_id is
-linked with nothing, has no component and stays.
+linked with nothing, has no component and stays; an empty table gives an empty one;
+other columns pass through, whatever their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ texts.  A word is hashed text here, so long tokens cost no more than short ones.
 
 Cases: a null or empty text has no spans; rows are told apart by themselves, so
 repeated rows and null ids give equal spans; a corpus without seeds trusts no
-pattern.
+pattern; a text may be of any length; an empty table gives an empty one; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations

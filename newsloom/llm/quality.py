@@ -14,7 +14,10 @@ keeps all that the base rules keep.
 
 Cases: a null or empty text has no words and fails the base rules; a null
 language is a stratum of its own; labels that name a document twice count it
-once, as bad if any says so; without labels only the base rules decide.
+once, as bad if any says so; without labels only the base rules decide; a measure
+equal to its cutoff passes; repeated rows each have their row, and a text may be of any
+length; an empty table gives an empty one; other columns pass through, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.llm.shared import cut, settle, window_ids, word_ids
+from newsloom.llm.shared import cut, settle, unused, window_ids, word_ids
 
 #: Good documents of a stratum that all rules together may reject, and the
 #: chance that any certificate is wrong.
@@ -209,7 +212,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their columns; their texts are not shuffled."""
-    prefix = "_quality_"
+    prefix = unused(docs, "_quality_")
     measured = cut(
         with_measures(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _stratum(docs).alias("stratum"), F.col("text").cast("string").alias("text"))).drop("text"),
         "measures",
@@ -220,5 +223,5 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def base_kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that the base rules let pass, with their columns; nothing is learned or shuffled."""
-    prefix = "_quality_"
+    prefix = unused(docs, "_quality_")
     return with_measures(docs, prefix).where(~base_failed(prefix)).select(*docs.columns)

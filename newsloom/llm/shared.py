@@ -63,6 +63,13 @@ def wanted(keys: DataFrame, column: str = "doc_id") -> DataFrame:
     return keys.where(F.col(column) >= F.lit(-(1 << 63)))
 
 
+def unused(df: DataFrame, prefix: str) -> str:
+    """The prefix, with as many underscores before it as no column of ``df`` begins with."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
 _P1 = np.uint64(0x9E3779B97F4A7C15)
 _P2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _S32 = np.uint64(32)

@@ -26,7 +26,8 @@ Documents longer than a task's chunk are cut into pieces that overlap by
 
 Cases: a null text is empty; a text shorter than ``WIDTH`` has no string and loses
 nothing; rows that share a doc_id are told apart by their text and are never each
-other's copy; a row without doc_id has no place in the order and loses nothing.
+other's copy; a row without doc_id has no place in the order and loses nothing; an
+empty table gives an empty one; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

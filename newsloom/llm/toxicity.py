@@ -19,7 +19,8 @@ documents are learned from, in the order of a hash of their ids.
 Cases: a null or empty text, or one without words, scores 0; without labels the
 lexicon is empty and every score is 0; labels that name a document twice count it
 once, as toxic if any says so; rows are independent, so repeated rows and null ids
-get the score of their text.
+get the score of their text; an empty table gives an empty one; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
