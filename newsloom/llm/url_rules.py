@@ -18,7 +18,9 @@ a segment's digits count as one sign.  A label names a page by the same id.
 Cases: a null url or one without ``://`` has the empty host and path, no tokens and
 the verdict allow; labels that name a page twice count it once, as bad if any says
 so; without labels no rule is mined; rows that share a page_id, or have none, are
-each judged by their own url.
+each judged by their own url; a url may be of any length and have any number of
+segments; of equally confident rules the last by name is reported; an empty table gives
+an empty one; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -80,37 +82,66 @@ def tokens(host: str = "host", path: str = "path") -> Column:
 def mined_rules(
     pages: DataFrame, min_bad: int = MIN_BAD, min_confidence: float = MIN_CONFIDENCE, min_sigmas: float = MIN_SIGMAS
 ) -> DataFrame:
-    """(rule_id, tokens, index_token, support, confidence, lift) from (tokens, bad)."""
+    """(rule_id, tokens, index_token, support, confidence, lift) from (tokens, bad).
+
+    Rules are as short as can be, which keeps their number down: a token that is a
+    rule by itself is in no other, and of tokens that always come together one stands
+    for all.  So a path that many bad pages share is a token or two to FP-growth,
+    however many segments it has.
+    """
     pages = cut(pages.select(F.array_sort("tokens").alias("tokens"), "bad"), "url-labelled")
     total = pages.agg(F.count("*").alias("n"), F.count_if("bad").alias("bad")).first()
     base = total["bad"] / total["n"] if total["n"] else 0.0
-    baskets = pages.where(F.size("tokens") > 0)
-    bad = baskets.where("bad")
+
+    def is_rule(bad: Column, n: Column) -> Column:
+        above = (bad / n - base) * F.sqrt(n) >= min_sigmas * (base * (1 - base)) ** 0.5
+        return (bad >= min_bad) & (bad / n >= min_confidence) & above
+
+    # Equal pages are counted at once.  Tokens on the same pages have the same sums of their pages' hashes.
+    equal = pages.where(F.size("tokens") > 0).groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("bad"))
+    marks = [F.sum(F.xxhash64(F.lit(seed), "tokens").cast("decimal(38,0)")).alias(f"mark{seed}") for seed in (1, 2)]
+    single = cut(
+        equal.select("*", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), *marks),
+        "url-tokens",
+    )
+    alone = single.where(is_rule(F.col("bad"), F.col("n"))).select(
+        F.array("token").alias("tokens"), F.col("token").alias("index_token"), "bad", "n"
+    )
+    others = single.where(F.col("bad") >= min_bad).where(~is_rule(F.col("bad"), F.col("n")))
+    standing = cut(others.groupBy("mark1", "mark2", "n").agg(F.min("token").alias("token")).select("token", F.col("n").alias("spread")), "url-standing")
+    names = [F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(3), "tokens").alias("h2")]
+    reduced = cut(
+        equal.select(*names, "n", "bad", F.explode("tokens").alias("token")).join(standing, "token")
+        .groupBy("h1", "h2", "n", "bad").agg(F.array_sort(F.collect_list("token")).alias("tokens")),
+        "url-reduced",
+    )
+    baskets = reduced.groupBy("tokens").agg(F.sum("n").alias("n"))
+    # One row for each bad page, on the side of the join that can be split where a basket is hot.
+    bad = pages.where("bad").select(*names).join(reduced.select("h1", "h2", "tokens"), ["h1", "h2"]).select("tokens")
     # Support is a share of the bad pages; half a page less keeps rounding from asking for one more.
     support = (min_bad - 0.5) / max(bad.count(), min_bad)
     frequent = FPGrowth(itemsCol="tokens", minSupport=support).fit(bad).freqItemsets
-    frequent = frequent.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
+    frequent = frequent.where(F.size("items") > 1).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad"))
 
-    # Each combination is filed under its rarest token and counted over equal pages at once.
-    equal = baskets.groupBy("tokens").agg(F.count("*").alias("n"))
-    counts = equal.select(F.explode("tokens").alias("token"), "n").groupBy("token").agg(F.sum("n").alias("n"))
+    # Each combination is filed under its rarest token and counted over equal baskets at once.
     filed = cut(
-        frequent.select("*", F.explode("tokens").alias("token")).join(counts, "token")
-        .groupBy("tokens", "bad").agg(F.min_by("token", F.struct("n", "token")).alias("index_token")),
+        frequent.select("*", F.explode("tokens").alias("token")).join(standing, "token")
+        .groupBy("tokens", "bad").agg(F.min_by("token", F.struct("spread", "token")).alias("index_token")),
         "url-candidates",
     )
     held = (
-        equal.select(F.col("tokens").alias("basket"), "n", F.explode("tokens").alias("index_token"))
+        baskets.select(F.col("tokens").alias("basket"), "n", F.explode("tokens").alias("index_token"))
         .join(filed, "index_token")
         .where(F.size(F.array_except("tokens", "basket")) == 0)
         .groupBy("tokens", "index_token", "bad").agg(F.sum("n").alias("n"))
-        .withColumn("confidence", F.col("bad") / F.col("n"))
     )
-    above = (F.col("confidence") - base) * F.sqrt("n") >= min_sigmas * (base * (1 - base)) ** 0.5
+    rules = held.where(is_rule(F.col("bad"), F.col("n"))).select("tokens", "index_token", "bad", "n").union(
+        alone.select("tokens", "index_token", "bad", "n")
+    )
     found = cut(
-        held.where((F.col("confidence") >= min_confidence) & above).select(
-            "tokens", "index_token", (F.col("bad") / max(total["n"], 1)).alias("support"), "confidence",
-            (F.col("confidence") / (base or 1.0)).alias("lift"),
+        rules.select(
+            "tokens", "index_token", (F.col("bad") / max(total["n"], 1)).alias("support"), (F.col("bad") / F.col("n")).alias("confidence"),
+            (F.col("bad") / F.col("n") / (base or 1.0)).alias("lift"),
         ),
         "url-rules",
     )
