@@ -40,6 +40,6 @@ def stream_ingest_dedup(tables: Tables) -> DataFrame:
 def stream_daily_counts(tables: Tables) -> DataFrame:
     path = scratch_path(tables.spark, "volume")
     counts = V.daily_counts(events_stream(tables), "ts", "event_type")
-    V.write_daily_counts(counts, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    V.write_daily_counts(counts, f"{path}/table", f"{path}/checkpoint", "event_type").awaitTermination()
     written = V.read_daily_counts(tables.spark, f"{path}/table", counts.schema, "event_type")
     return written.withColumn("day", F.col("day").cast("string"))

@@ -226,6 +226,40 @@ class VersionedTable:
         """Take out the rows whose key is in ``keys``."""
         return self._rewrite(keys, lambda old: K.delete_keys(old, keys, self.key))
 
+    # --- many small files ----------------------------------------------------
+
+    def _full_tier(self, version: int, fan: int) -> list[str]:
+        """The files of the smallest size class that has ``fan`` files; class k has up to fan ** k rows a file."""
+        tiers: dict[int, list[str]] = {}
+        for row in self.manifest(version).select("file", "n").collect():
+            tier = 0
+            while fan**tier < row["n"]:
+                tier += 1
+            tiers.setdefault(tier, []).append(row["file"])
+        return next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= fan), [])
+
+    def merge(self, change: Callable[[DataFrame], DataFrame] = lambda rows: rows, fan: int = 8) -> int:
+        """Replace small files by one of their rows together, as often as ``fan`` files have a size alike.
+
+        ``change`` works on the rows that are merged, to drop those that others stand
+        for.  Each row is merged once for each size class, and after n appends of a few
+        rows there are about fan * log(n) files, each written once for each class.
+        """
+
+        def step(before: int) -> int | None:
+            files = self._full_tier(before, fan) if before else []
+            if not files:
+                return None
+            old = self.read(before, files)
+            _, written = self._write(change(old).coalesce(1))
+            kept = self.manifest(before).where(~F.col("file").isin(files))
+            return self._publish(before, kept.unionByName(written), old.schema)
+
+        last = -1
+        while last != (now := self._change(step)):
+            last = now
+        return last
+
     # --- old versions ------------------------------------------------------
 
     def forget(self, keep: int = 2, hours: float = 24.0) -> list[str]:

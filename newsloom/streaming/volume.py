@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from newsloom.sources.versions import VersionedTable
+
 BATCH = "batch_id"
+#: Versions, and hours of files, that readers may still be at when small files are merged.
+KEPT_VERSIONS = 8
+KEPT_HOURS = 1.0
 
 
 def daily_counts(stream: DataFrame, moment: str, key: str, lateness: str = "1 day") -> DataFrame:
@@ -21,23 +28,39 @@ def daily_counts(stream: DataFrame, moment: str, key: str, lateness: str = "1 da
     )
 
 
+def _latest(key: str) -> Callable[[DataFrame], DataFrame]:
+    """Of each day and key the row written last."""
+
+    def latest(rows: DataFrame) -> DataFrame:
+        last = rows.groupBy("day", key).agg(F.max_by("n", BATCH).alias("n"), F.max(BATCH).alias(BATCH))
+        return last.select(*rows.columns)
+
+    return latest
+
+
 def write_daily_counts(
-    counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    counts: DataFrame, path: str, checkpoint: str, key: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Write the counts that a micro-batch has changed, open days included.
 
-    Each batch replaces a folder of its own, so one that runs again after a
-    failure leaves the same rows.
+    The rows of a batch carry its number and are added in one step; a batch that runs
+    again after a failure adds the same rows, which change nothing.  Small files are
+    merged, and only the last row of a day and key stays in them, so what readers read
+    is bounded by the days and keys there are, not by the batches.
     """
-    # The table exists before the first batch.
-    counts.sparkSession.createDataFrame([], counts.schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+    table = VersionedTable(counts.sparkSession, path)
+    if not table.versions():  # it exists before the first batch
+        table.append(counts.sparkSession.createDataFrame([], StructType([*counts.schema.fields]).add(BATCH, "long")))
 
-    def replace(changed: DataFrame, number: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+    def add(changed: DataFrame, number: int) -> None:
+        here = VersionedTable(changed.sparkSession, path)
+        before = here.append(changed.withColumn(BATCH, F.lit(number).cast("long")).coalesce(1))
+        if here.merge(_latest(key)) > before:
+            here.forget(keep=KEPT_VERSIONS, hours=KEPT_HOURS)
 
     return (
         counts.writeStream.outputMode("update")
-        .foreachBatch(replace)
+        .foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -46,5 +69,4 @@ def write_daily_counts(
 
 def read_daily_counts(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame:
     """The counts as they stand: of each day and key the one written last."""
-    written = spark.read.schema(StructType([*schema.fields]).add(BATCH, "long")).parquet(path)
-    return written.groupBy("day", key).agg(F.max_by("n", BATCH).alias("n"))
+    return _latest(key)(VersionedTable(spark, path).read()).select(*schema.fieldNames())

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from newsloom.operators import key_index as K
+from newsloom.sources.versions import VersionedTable
 from newsloom.streaming import ingest as I
 from newsloom.streaming import volume as V
 
@@ -85,7 +86,7 @@ def test_daily_counts_are_complete_and_drop_late_rows(spark, tmp_path):
 
     def run():
         counts = V.daily_counts(source(spark, folder, 1), "ts", "k")
-        V.write_daily_counts(counts, table, check).awaitTermination()
+        V.write_daily_counts(counts, table, check, "k").awaitTermination()
 
     def days():
         schema = t.StructType().add("day", "date").add("k", "string").add("n", "long")
@@ -101,6 +102,24 @@ def test_daily_counts_are_complete_and_drop_late_rows(spark, tmp_path):
     assert days() == [("2025-01-01", "a", 2), ("2025-01-04", "a", 2), ("2025-01-08", "b", 1)]
 
 
+def test_files_of_daily_counts_stay_few(spark, tmp_path):
+    """What readers read after many batches of one open day is what they read after a few."""
+    table = VersionedTable(spark, str(tmp_path / "counts"))
+    schema = t.StructType().add("day", "date").add("k", "string").add("n", "long")
+    files = []
+    for number in range(30):
+        rows = spark.range(3).select(F.lit("2025-01-01").cast("date").alias("day"), F.concat(F.lit("k"), "id").alias("k"), F.lit(number + 1).cast("long").alias("n"))
+        table.append(rows.withColumn(V.BATCH, F.lit(number).cast("long")).coalesce(1))
+        table.merge(V._latest("k"), fan=4)
+        files.append(table.manifest().count())
+    assert max(files) <= 6
+    got = V.read_daily_counts(spark, table.path, schema, "k").collect()
+    assert sorted((r.k, r.n) for r in got) == [("k0", 30), ("k1", 30), ("k2", 30)]
+    # A batch that runs again adds rows that change nothing.
+    table.append(rows.withColumn(V.BATCH, F.lit(29).cast("long")))
+    assert sorted((r.k, r.n) for r in V.read_daily_counts(spark, table.path, schema, "k").collect()) == [("k0", 30), ("k1", 30), ("k2", 30)]
+
+
 def test_a_batch_reads_only_folders_that_can_hold_its_keys(spark, tmp_path):
     """A table of 200 folders with 2,000 keys each, and a batch of 1,000 keys."""
     table = str(tmp_path / "table")
