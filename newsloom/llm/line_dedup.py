@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions.staging import with_once
 from newsloom.llm.shared import cut, settle
 
 #: Lines of a run that is deleted whatever they hold; words of a single line that
@@ -161,8 +162,15 @@ def deduplicated(
 
 
 def kept_documents(
-    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS
+    docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS, words_left: int = 0
 ) -> DataFrame:
-    """The documents with their columns; texts have lost their repeated runs."""
+    """The documents with their columns; texts have lost their repeated runs.
+
+    Documents whose text has fewer than ``words_left`` words then go.
+    """
     joined, kept, _ = _joined(docs, min_lines, min_words, min_docs)
-    return joined.select(*[kept.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    left = joined.select(*[kept.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    if not words_left:
+        return left
+    once = with_once(left, {"text": F.col("text")})
+    return once.where(F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)) >= words_left)
