@@ -251,7 +251,8 @@ class VersionedTable:
             if not files:
                 return None
             old = self.read(before, files)
-            _, written = self._write(change(old).coalesce(1))
+            # A shuffle, so that what ``change`` adds up is added up in tasks of its own.
+            _, written = self._write(change(old).repartition(1))
             kept = self.manifest(before).where(~F.col("file").isin(files))
             return self._publish(before, kept.unionByName(written), old.schema)
 

@@ -54,7 +54,9 @@ def write_daily_counts(
 
     def add(changed: DataFrame, number: int) -> None:
         here = VersionedTable(changed.sparkSession, path)
-        before = here.append(changed.withColumn(BATCH, F.lit(number).cast("long")).coalesce(1))
+        # Each part of the state is a task of its own, and its few rows are handed to the one that writes:
+        # merged into one task the parts would hold the buffers of their aggregations together.
+        before = here.append(changed.withColumn(BATCH, F.lit(number).cast("long")).repartition(1))
         if here.merge(_latest(key)) > before:
             here.forget(keep=KEPT_VERSIONS, hours=KEPT_HOURS)
 

@@ -191,3 +191,22 @@ def test_filters_have_no_false_negatives_and_few_false_positives(spark):
     strangers = spark.range(20_000).select(F.concat(F.lit("x"), "id").alias("k"))
     assert K.folders_with(alone, strangers.limit(1000), "k", "f").count() <= 1
     index.unpersist()
+
+
+def test_the_parts_of_the_state_are_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    """One task that reads all parts keeps the buffers of all their aggregations until it ends."""
+    folder, table, check = (str(tmp_path / x) for x in ("in", "table", "check"))
+    add(spark, folder, [(k, f"2025-01-{d:02d} 10:00:00", 0) for k in "abc" for d in range(1, 9)])
+    plans, append = [], VersionedTable.append
+
+    def seen(self, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return append(self, df)
+
+    monkeypatch.setattr(VersionedTable, "append", seen)
+    counts = V.daily_counts(source(spark, folder), "ts", "k")
+    V.write_daily_counts(counts, table, check, "k").awaitTermination()
+    assert len(plans) > 1 and not any("Coalesce" in p for p in plans) and all("SinglePartition" in p or "REPARTITION_BY_NUM" in p for p in plans[1:])
+    assert VersionedTable(spark, table).manifest().where("n > 0").count() == 1
+    schema = t.StructType().add("day", "date").add("k", "string").add("n", "long")
+    assert V.read_daily_counts(spark, table, schema, "k").count() == 24
