@@ -118,11 +118,10 @@ _FRAGMENTS = f"""
 def phrase_matches(tables: Tables) -> DataFrame:
     """In how many documents each document's own opening words stand, inside words too."""
     texts = normalized_of(tables).select("doc_id", "words")
-    listed = words_of(tables).select("ws")
-    opening = listed.where("size(ws) >= 3").select(F.concat(F.substring(F.col("ws")[1], 2, 1 << 30), F.lit(" "), F.col("ws")[2]).alias("phrase"))
-    firsts = listed.where("size(ws) >= 1").select(F.col("ws")[0].alias("phrase"))
-    index = X.phrase_index(opening.union(firsts))
-    return X.phrases_in(texts, "words", index).groupBy("phrase").agg(F.count("*").alias("n"))
+    opening = F.concat(F.substring(F.col("ws")[1], 2, 1 << 30), F.lit(" "), F.col("ws")[2])
+    opened = F.array(F.when(F.size("ws") >= 3, opening), F.when(F.size("ws") >= 1, F.col("ws")[0]))
+    index = X.phrase_index(words_of(tables).select(F.explode(opened).alias("phrase")))
+    return X.phrases_in(texts, "words", index, automata=True).groupBy("phrase").agg(F.count("*").alias("n"))
 
 
 def _ranked(phrases) -> str:

@@ -11,18 +11,27 @@ one pass of the texts for each, so texts are neither shuffled nor copied, and an
 number of phrases is searched.  Explosion, lookup and test are one generated loop; a
 row leaves it for each phrase that is there.
 
+With an index of very many phrases most grams are those of many, and the texts meet far
+more phrases than they hold.  ``automata`` searches the same blocks by an automaton each,
+which reads a text once and stops only where a phrase ends: what it costs is the texts and
+what is found, whatever share of the phrases looks alike.
+
 Texts and phrases are normalised: words parted by single blanks.  An empty phrase is in
 no text; a null text holds none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
+from newsloom.operators import lexicon as L
 from newsloom.session import scratch_path
 
 GRAM = 4
@@ -54,7 +63,41 @@ def phrase_index(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
     return ranked.where("_place = 1").select("phrase", "gram", "width")
 
 
-def phrases_in(texts: DataFrame, text: str, index: DataFrame, block: int = BLOCK) -> DataFrame:
+def _in_block(number: int, blocks: int) -> Column:
+    """Whether a phrase is in this block."""
+    return F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == number
+
+
+def _search(block: Broadcast) -> Column:
+    """The phrases of a block that are in ``_text``, each once."""
+
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        search = L.phrase_search(block.value)
+        for texts in batches:
+            yield texts.map(search, na_action="ignore").astype(object)
+
+    return found("_text")
+
+
+def _by_automata(texts: DataFrame, kept: list[str], index: DataFrame, blocks: int) -> DataFrame:
+    """The phrases of one block after the other; for more than one the texts are written before, as they are read again."""
+    spark = texts.sparkSession
+    if blocks > 1:
+        place = scratch_path(spark, "phrase-texts")
+        texts.write.parquet(place)
+        texts = spark.read.schema(texts.schema).parquet(place)
+    found = []
+    for number in range(blocks):
+        listed = [r["phrase"] for r in index.where(_in_block(number, blocks)).select("phrase").collect()]  # one block
+        if listed:
+            held = _search(spark.sparkContext.broadcast(listed))
+            found.append(texts.select(*kept, F.explode(held).alias("phrase")))
+    none = texts.select(*kept, F.lit("").alias("phrase")).where(F.lit(False))
+    return reduce(DataFrame.union, found, none)
+
+
+def phrases_in(texts: DataFrame, text: str, index: DataFrame, block: int = BLOCK, automata: bool = False) -> DataFrame:
     """The columns of ``texts`` but the text, with each phrase that it holds, once."""
     kept = [c for c in texts.columns if c != text]
     place = scratch_path(texts.sparkSession, "phrases")
@@ -62,6 +105,8 @@ def phrases_in(texts: DataFrame, text: str, index: DataFrame, block: int = BLOCK
     index = texts.sparkSession.read.schema(index.schema).parquet(place)
     counts = {r["width"]: r["n"] for r in index.groupBy("width").agg(F.count("*").alias("n")).collect()}  # GRAM widths at most
     blocks = max(1, -(-sum(counts.values()) // block))
+    if automata:
+        return _by_automata(texts.select(*kept, F.col(text).alias("_text")), kept, index, blocks)
     words = F.array_distinct(T.words(F.col(text)))
 
     def of_width(n: int) -> Column:
@@ -73,7 +118,7 @@ def phrases_in(texts: DataFrame, text: str, index: DataFrame, block: int = BLOCK
     for number in range(blocks):
         part = index.select(F.col("gram").alias("_gram"), F.col("phrase"))
         if blocks > 1:
-            part = part.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == number)
+            part = part.where(_in_block(number, blocks))
         met = exploded.join(F.broadcast(part), "_gram")
         found.append(met.where(F.col("_text").contains(F.col("phrase"))).select(*kept, "phrase"))
     return reduce(DataFrame.union, found)
@@ -86,5 +131,5 @@ def category_hits(texts: DataFrame, text: str, phrases: DataFrame, *group: str,
     """
     kept = [c for c in texts.columns if c != text]
     entries = phrases.groupBy("phrase", *group).agg(F.count("*").alias("_entries"))
-    held = phrases_in(texts, text, phrase_index(phrases), block)
+    held = phrases_in(texts, text, phrase_index(phrases), block, automata=True)
     return held.join(entries, "phrase").groupBy(*kept, *group).agg(F.sum("_entries").alias("hits"))

@@ -26,6 +26,19 @@ def test_random_phrases(spark, block):
     index = X.phrase_index(spark.createDataFrame([(p,) for p in phrases + phrases[:5]], "phrase string"))
     found = X.phrases_in(rows, "t", index, block).collect()
     assert sorted((r.k, r.phrase) for r in found) == plainly(texts, phrases)
+    found = X.phrases_in(rows, "t", index, block, automata=True).collect()
+    assert sorted((r.k, r.phrase) for r in found) == plainly(texts, phrases)
+    assert X.phrases_in(rows, "t", index.limit(0), block, automata=True).count() == 0
+
+
+def test_phrases_that_look_alike_cost_what_is_found(spark):
+    """Ten thousand phrases around the same few grams, in texts of those grams that hold a few of the phrases."""
+    phrases = spark.range(10_000).select(F.concat(F.lit("ation ment"), F.col("id").cast("string"), F.lit("x")).alias("phrase"))
+    texts = spark.range(50).select("id", F.concat(F.lit("station mention ation ment"), F.col("id").cast("string"), F.lit("x ation ment")).alias("t"))
+    found = X.phrases_in(texts, "t", X.phrase_index(phrases), automata=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 0
+    assert sorted((r.id, r.phrase) for r in found.collect()) == [(k, f"ation ment{k}x") for k in range(50)]
 
 
 def test_an_anchor_is_inside_a_word(spark):
