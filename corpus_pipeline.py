@@ -33,11 +33,13 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one of the smallest id.
 
-    Texts are compared as they came: of a copy without its repeated lines nothing may
-    be left that still looks like the original.  What is left without its lines is held
-    to the base rules of the first stage once more.
+    Texts are compared as they came first: of a copy without its repeated lines nothing
+    may be left that still looks like the original.  What is left without its lines is
+    held to the base rules of the first stage once more, and then compared as it is now:
+    documents that only repeated lines told apart are copies as well.
     """
-    return quality.base_kept_documents(near_dup.kept_documents(docs, _table(spark, sf_dir, "documents")))
+    as_came = near_dup.kept_documents(docs, _table(spark, sf_dir, "documents"))
+    return near_dup.kept_documents(cut(quality.base_kept_documents(as_came), "base-kept"))
 
 
 def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,6 +105,23 @@ def test_copies_that_lost_their_lines_go(spark, make_docs, tmp_path):
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, cut_texts, str(tmp_path)).collect()} == {1, 4, 5}
 
 
+def test_documents_that_only_repeated_lines_told_apart_are_copies(spark, make_docs, tmp_path):
+    """The line stage has an effect on the near duplicates: its texts are compared, too."""
+    def prose(seed, lines):
+        return [" ".join(f"w{(seed * 7919 + 31 * k + j * j) % 997}x{j}" for j in range(14)) for k in range(lines)]
+
+    article, menu, links = prose(1, 6), prose(2, 8), prose(3, 8)
+    docs = make_docs(
+        (1, "\n".join(menu)), (2, "\n".join(links)), (3, "\n".join([*menu, *article])),
+        (4, "\n".join([*links, *(f"{line} w{k}y" if k == 5 else line for k, line in enumerate(article))])),
+    )
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()} == {1, 2, 3, 4}
+    # Without their menus and links, which others brought before, 3 and 4 are one article.
+    cut_texts = docs.withColumn("text", F.substring_index("text", "\n", -6))
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, cut_texts, str(tmp_path)).collect()} == {1, 2, 3}
+
+
 @pytest.mark.parametrize("name", ["line_dedup", "mixing", "pii", "url_rules"])
 def test_native_operators_have_no_python_on_the_way(name):
     with open(os.path.join(os.path.dirname(queries.__file__), f"{name}.py")) as file:
