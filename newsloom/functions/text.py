@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # java.util.regex and RE2.
 _SPACES = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 SPACE = f"[{_SPACES}]"
+#: The same characters; \\s and U+000B, U+001C to U+001F, U+0085, and the categories Z.
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 NON_ASCII = r"[^\x00-\x7F]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -72,7 +74,7 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """White space off both ends, line breaks included."""
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def has_length(text: Column, least: int) -> Column:

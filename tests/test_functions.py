@@ -200,3 +200,23 @@ def test_character_data_is_text(spark):
     samples = ["<p>a<![CDATA[ b < c ]]>d</p>", "<![CDATA[open", "<!DOCTYPE html><p>x</p>", "<script><![CDATA[no]]></script>y"]
     got = values(spark, samples, lambda c: H.plain_text(c, " "))
     assert [" ".join(g.split()) for g in got] == ["a b < c d", "open", "x", "y"]
+
+
+def test_strip_by_a_list_takes_what_the_class_does(spark):
+    texts = ["".join((chr(c), "a ", chr(c), "b", chr(c))) for c in [*range(1, 0x3100), 0xFEFF, 0x1F600] if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(s,) for s in texts], "c string")
+    wanted = F.regexp_replace("c", rf"^{T.SPACE}+|{T.SPACE}+\z", "")
+    assert df.where(T.strip(F.col("c")) != wanted).count() == 0
+    # Only the ends of a text are read.
+    assert "regexp" not in df.select(T.strip(F.col("c")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_usual_letters_are_settled_before_the_long_class(spark):
+    df = spark.range(1, 0xFFFF).where("id < 55296 OR id > 57343").select(F.concat(F.lit("aé"), F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")).alias("c"))
+    wanted = F.col("c").rlike(rf"(?=[^\x00-\x7F])[^{H._stable_class()}]")
+    assert df.where(F.col("c").rlike(H._UNSTABLE) != wanted).count() == 0
+    assert H._UNSTABLE.count("&&") == 2
+
+
+def test_markup_patterns_begin_with_the_bracket():
+    assert H.HIDDEN.removeprefix("(?is)")[0] == "<" and H.HIDDEN.count("|<") == 0 and H.TAG.count("|<") == 0
