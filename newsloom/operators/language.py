@@ -48,12 +48,16 @@ def padded_trigrams(word: Column) -> Column:
 def train_language_profiles(df: DataFrame, text: str, label: str) -> DataFrame:
     """Trigram counts per language and their scaled log probability (add-one).
 
-    Words are counted before they are cut into trigrams, so the cutting works
-    on the vocabulary and not on the corpus; both counts combine task by task.
+    What stands between blanks is counted as it is, then normalised and counted by
+    words, before these are cut into trigrams: normalising works on what differs, and
+    the cutting on the vocabulary, not on the corpus.  No rule of the normalisation
+    looks across a blank.  All counts combine task by task.
     """
-    listed = F.split(letters_only(T.normalize_text(F.col(text))), " ")
-    words = df.select(F.col(label).alias("lang"), F.explode(listed).alias("word"))
-    vocabulary = words.where(F.col("word") != "").groupBy("lang", "word").agg(F.count("*").alias("n"))
+    pieces = df.select(F.col(label).alias("lang"), F.explode(F.split(F.col(text), " ")).alias("piece"))
+    different = pieces.where(F.col("piece") != "").groupBy("lang", "piece").agg(F.count("*").alias("n"))
+    listed = F.split(letters_only(T.normalize_text(F.col("piece"))), " ")
+    words = different.select("lang", "n", F.explode(listed).alias("word"))
+    vocabulary = words.where(F.col("word") != "").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     grams = vocabulary.select("lang", "n", F.explode(padded_trigrams(F.col("word"))).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # At most GRAMS rows per language meet in this window.
@@ -148,10 +152,15 @@ def language_of(model: Weights) -> Callable[[str | None], str | None]:
 
     None for a text without a trigram; the alphabetically first language on a tie.
     """
+    of_grams = language_of_grams(model)
+    return lambda text: of_grams(text_grams(text or ""))
+
+
+def language_of_grams(model: Weights) -> Callable[[np.ndarray], str | None]:
+    """The same from a text's trigrams."""
     languages, matrix = model
 
-    def best(text: str | None) -> str | None:
-        grams = text_grams(text or "")
+    def best(grams: np.ndarray) -> str | None:
         return languages[int(matrix[grams].sum(axis=0).argmax())] if grams.size else None
 
     return best

@@ -70,10 +70,15 @@ def sentiment_of(
     scores 0.  A text without a trigram scores 0.  ``chars`` reads the first
     characters only, as a model of bounded input would (``fixed.MODEL_CHARS``).
     """
+    of_grams = sentiment_of_grams(model, negative, neutral)
+    return lambda text: of_grams(G.text_grams((text or "")[:chars]))
+
+
+def sentiment_of_grams(model: G.Weights, negative: str = "0", neutral: str | None = None) -> Callable[[np.ndarray], float]:
+    """The same from a text's trigrams."""
     classes, matrix = model
 
-    def score(text: str | None) -> float:
-        grams = G.text_grams((text or "")[:chars])
+    def score(grams: np.ndarray) -> float:
         if not grams.size:
             return 0.0
         sums = matrix[grams].sum(axis=0) / G.SCALE

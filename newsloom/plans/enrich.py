@@ -41,16 +41,18 @@ def _read_texts(
     @F.pandas_udf("detected string, french double, found array<string>")
     def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         search = L.phrase_search(every)
-        detect = G.language_of(language_model) if language_model else lambda text: None
-        score = S.sentiment_of(sentiment_model) if sentiment_model else lambda text: 0.0
+        detect = G.language_of_grams(language_model) if language_model else lambda grams: None
+        score = S.sentiment_of_grams(sentiment_model) if sentiment_model else lambda grams: 0.0
 
         def one(text: str | None, mark: str | None) -> tuple:
             if text is None:
                 return None, None, []
             try:
-                detected = detect(text) if mark == "?" else None
+                # Both models read the same trigrams; a text on the word list's side has no use for them.
+                grams = G.text_grams(text) if mark in ("?", "fr") else None
+                detected = detect(grams) if mark == "?" else None
                 french = mark == "fr" or (mark == "?" and (detected or "fr") == "fr")
-                return detected, score(text) if french else None, search(text)
+                return detected, score(grams) if french else None, search(text)
             except (ValueError, ArithmeticError, LookupError):
                 return None, None, []
 

@@ -297,3 +297,15 @@ def test_rows_are_numbered_in_order(spark):
     assert all(r.v == r.position for r in Q.numbered(df, "v").collect())
     assert sorted(r.v for r in Q.page_rows(df, 100, 50, F.desc("v")).collect()) == list(range(850, 900))
     assert Q.page_rows(df.limit(0), 0, 5, "v").count() == 0
+
+
+def test_training_normalises_what_differs(spark):
+    """Pieces between blanks are counted before they are normalised, with the same words in the end."""
+    rows = [("Été d'ÉTÉ\nété  eté, ete", "fr"), ("Été\tΟΔΟΣ x1y", "fr"), (None, "fr"), ("", "de"), ("Éte 'été'", None)]
+    df = spark.createDataFrame(rows, "t string, l string")
+    profiles = G.train_language_profiles(df, "t", "l")
+    plan = profiles._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("translate(") < plan.rindex("Aggregate")
+    counts = {(r.lang, r.gram): r.n for r in profiles.collect()}
+    assert counts[("fr", "ete")] == 6 and counts[("fr", " x ")] == 1 and counts[("fr", " d ")] == 1 and counts[(None, "ete")] == 2
+    assert {lang for lang, _ in counts} == {"fr", None}
