@@ -446,10 +446,17 @@ _NEW_CONFIDENCE = f"""
 """
 
 
-def _known_table(tables: Tables) -> str:
+def _batch(tables: Tables) -> DataFrame:
+    """The produced articles, read and shaped once for all that is done with them."""
+    rows, path = produced(tables), scratch_path(tables.spark, "produced")
+    rows.write.parquet(path)
+    return tables.spark.read.schema(rows.schema).parquet(path)
+
+
+def _known_table(tables: Tables, batch: DataFrame) -> str:
     """A table that holds some of the produced articles already, at a new path."""
     path = scratch_path(tables.spark, "ingested")
-    known = produced(tables).where(_KNOWN).dropDuplicates(["id_article"])
+    known = batch.where(_KNOWN).dropDuplicates(["id_article"])
     known = known.withColumns({c: F.lit("known article " * 3) for c in ("titre", "contenu")})
     N.enrich_articles(known, **_models(tables)).write.parquet(path)
     return path
@@ -463,12 +470,13 @@ def _known_table(tables: Tables) -> str:
 )
 def ingest_pipeline(tables: Tables) -> DataFrame:
     """The rows that two runs over the same batch add to a table: the second adds none."""
-    path = _known_table(tables)
+    batch = _batch(tables)
+    path = _known_table(tables, batch)
     known = tables.spark.read.parquet(path)
     columns = ["id_article", "titre", "contenu", "langue", "sentiment_score", "sentiment", "categorie", "origin"]
     models = _models(tables)
     for _ in range(2):
-        N.ingest(produced(tables), tables.spark.read.schema(known.schema).parquet(path), path, **models, **_ENRICHMENT)
+        N.ingest(batch, tables.spark.read.schema(known.schema).parquet(path), path, **models, **_ENRICHMENT)
     return _flat(tables.spark.read.schema(known.schema).parquet(path).where(f"NOT ({_KNOWN})").select(*columns))
 
 
@@ -480,4 +488,5 @@ def ingest_pipeline(tables: Tables) -> DataFrame:
     """
 )
 def ingest_counters(tables: Tables) -> DataFrame:
-    return K.run_counters(produced(tables), tables.spark.read.parquet(_known_table(tables)).select("id_article"))
+    batch = _batch(tables)
+    return K.run_counters(batch, tables.spark.read.parquet(_known_table(tables, batch)).select("id_article"))

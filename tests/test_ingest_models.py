@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from newsloom.catalog import analysis_queries
 
 
 @pytest.fixture(scope="module")
@@ -16,3 +17,11 @@ def test_both_models_run(ingested):
     spoken, scores = names.index("langue"), names.index("sentiment_score")
     assert {r[spoken] for r in rows} == {"fr", "mg"}
     assert any(r[scores] != 0.0 for r in rows if r[spoken] == "fr")
+
+
+@pytest.mark.parametrize("name", ["ingest_counters", "ingest_pipeline"])
+def test_a_batch_is_produced_once(spark, small, monkeypatch, name):
+    made, produced = [], analysis_queries.produced
+    monkeypatch.setattr(analysis_queries, "produced", lambda tables: made.append(1) or produced(tables))
+    assert entry.queries()[name](spark, small).count() > 0
+    assert len(made) == 1
