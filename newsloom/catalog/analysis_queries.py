@@ -118,10 +118,14 @@ _FRAGMENTS = f"""
 def phrase_matches(tables: Tables) -> DataFrame:
     """In how many documents each document's own opening words stand, inside words too."""
     texts = normalized_of(tables).select("doc_id", "words")
+    place = scratch_path(tables.spark, "normalized")
+    texts.write.parquet(place)  # they are read for their openings and searched
+    texts = tables.spark.read.schema(texts.schema).parquet(place)
+    first = with_once(texts, {"ws": F.filter(F.split("words", " ", 4), lambda w: w != "")})  # three words and the rest
     opening = F.concat(F.substring(F.col("ws")[1], 2, 1 << 30), F.lit(" "), F.col("ws")[2])
     opened = F.array(F.when(F.size("ws") >= 3, opening), F.when(F.size("ws") >= 1, F.col("ws")[0]))
-    index = X.phrase_index(words_of(tables).select(F.explode(opened).alias("phrase")))
-    return X.phrases_in(texts, "words", index, automata=True).groupBy("phrase").agg(F.count("*").alias("n"))
+    index = X.phrase_index(first.select(F.explode(opened).alias("phrase")))
+    return X.phrases_in(texts, "words", index, counted=True).groupBy("phrase").agg(F.sum("n").alias("n"))
 
 
 def _ranked(phrases) -> str:

@@ -16,26 +16,34 @@ more phrases than they hold.  ``automata`` searches the same blocks by an automa
 which reads a text once and stops only where a phrase ends: what it costs is the texts and
 what is found, whatever share of the phrases looks alike.
 
+Where only the number of texts of each phrase is asked for, ``counted`` looks the distinct
+words of the texts up instead of the texts.  Its tables are small, so that millions of phrases
+are one block, and each task counts before anything is laid out as rows.
+
 Texts and phrases are normalised: words parted by single blanks.  An empty phrase is in
 no text; a null text holds none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as T
 from newsloom.operators import lexicon as L
+from newsloom.operators import phrase_words as W
 from newsloom.session import scratch_path
 
 GRAM = 4
 BLOCK = 100_000
+#: Phrases of a block of ``counted``, and bytes of phrases.
+COUNTED, COUNTED_BYTES = 2_000_000, 32 << 20
 
 
 def _grams(word: Column, width: int) -> Column:
@@ -80,13 +88,19 @@ def _search(block: Broadcast) -> Column:
     return found("_text")
 
 
+def _read_again(texts: DataFrame, blocks: int) -> DataFrame:
+    """For more than one block the texts are written before, as they are read again."""
+    if blocks == 1:
+        return texts
+    place = scratch_path(texts.sparkSession, "phrase-texts")
+    texts.write.parquet(place)
+    return texts.sparkSession.read.schema(texts.schema).parquet(place)
+
+
 def _by_automata(texts: DataFrame, kept: list[str], index: DataFrame, blocks: int) -> DataFrame:
-    """The phrases of one block after the other; for more than one the texts are written before, as they are read again."""
+    """The phrases of one block after the other."""
     spark = texts.sparkSession
-    if blocks > 1:
-        place = scratch_path(spark, "phrase-texts")
-        texts.write.parquet(place)
-        texts = spark.read.schema(texts.schema).parquet(place)
+    texts = _read_again(texts, blocks)
     found = []
     for number in range(blocks):
         listed = [r["phrase"] for r in index.where(_in_block(number, blocks)).select("phrase").collect()]  # one block
@@ -97,12 +111,46 @@ def _by_automata(texts: DataFrame, kept: list[str], index: DataFrame, blocks: in
     return reduce(DataFrame.union, found, none)
 
 
-def phrases_in(texts: DataFrame, text: str, index: DataFrame, block: int = BLOCK, automata: bool = False) -> DataFrame:
-    """The columns of ``texts`` but the text, with each phrase that it holds, once."""
+def _counted(block: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """In how many texts of a task each phrase of a block stands."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = W.Search(block.value)
+        for batch in batches:
+            search.add(batch.column(0))
+        yield from search.found()
+
+    return count
+
+
+def _by_words(texts: DataFrame, index: DataFrame, block: int) -> DataFrame:
+    """(phrase, n) of each task, block by block."""
+    spark = texts.sparkSession
+    size = index.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("phrase")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // block), -(-size["bytes"] // COUNTED_BYTES))
+    texts = _read_again(texts, blocks)
+    found = []
+    for number in range(blocks):
+        listed = index.where(_in_block(number, blocks)).select("phrase").toArrow()["phrase"]  # one block
+        phrases = W.Phrases(pa.concat_arrays([pa.array([], pa.string()), *(c.cast(pa.string()) for c in listed.chunks)]))
+        found.append(texts.mapInArrow(_counted(spark.sparkContext.broadcast(phrases)), "phrase string, n long"))
+    return reduce(DataFrame.union, found)
+
+
+def phrases_in(
+    texts: DataFrame, text: str, index: DataFrame, block: int | None = None, automata: bool = False, counted: bool = False
+) -> DataFrame:
+    """The columns of ``texts`` but the text, with each phrase that it holds, once.
+
+    ``counted`` gives (phrase, n) instead: numbers of texts, which are to be added up for each phrase.
+    """
     kept = [c for c in texts.columns if c != text]
     place = scratch_path(texts.sparkSession, "phrases")
     index.write.parquet(place)
     index = texts.sparkSession.read.schema(index.schema).parquet(place)
+    if counted:
+        return _by_words(texts.select(F.col(text).alias("_text")), index, block or COUNTED)
+    block = block or BLOCK
     counts = {r["width"]: r["n"] for r in index.groupBy("width").agg(F.count("*").alias("n")).collect()}  # GRAM widths at most
     blocks = max(1, -(-sum(counts.values()) // block))
     if automata:

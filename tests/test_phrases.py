@@ -2,9 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from newsloom.operators import phrase_words as W
 from newsloom.operators import phrases as X
 
 
@@ -69,3 +72,54 @@ def test_a_hundred_thousand_phrases_without_python(spark):
     listed = {r.phrase for r in phrases.collect()}
     wanted = {(r.id, p) for r in texts.collect() for w in set(r.t.split()) for i in range(len(w)) if (p := w[i : i + 10]) in listed}
     assert rows == wanted and rows
+
+
+def counted(texts, phrases):
+    return {p: n for p in set(phrases) if p and (n := sum(t is not None and p in t for t in texts))}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_counts_by_words(monkeypatch, seed):
+    """Phrases of one to four parts, blanks at their ends and in a row, in texts alike."""
+    dice = random.Random(seed)
+    for name, values in [("DENSE", (1, 4096)), ("TEXT_BYTES", (20, 300, 1 << 20)), ("ENTRIES", (3, 50, 1 << 20))]:
+        monkeypatch.setattr(W, name, dice.choice(values))
+
+    def spoken(most):
+        return " ".join("".join(dice.choice("abé漢") for _ in range(dice.randint(0, 4))) for _ in range(dice.randint(0, most)))
+
+    texts = [spoken(12) for _ in range(60)] + [None, "", "a" * 50]
+    phrases = {t[(k := dice.randrange(len(t))) : k + dice.randint(1, 15)] for t in texts if t for _ in range(3)}
+    phrases = sorted(phrases | {spoken(4) for _ in range(40)} - {""})
+    search = W.Search(W.Phrases(pa.array(phrases)))
+    search.add(pa.array(texts[:25]))
+    search.add(pa.array(texts[25:]))
+    found = [(r["phrase"], r["n"]) for batch in search.found() for r in batch.to_pylist()]
+    assert len(dict(found)) == len(found) and dict(found) == counted(texts, phrases)
+
+
+@pytest.mark.parametrize("block", [None, 7])
+def test_counted_phrases_add_up(spark, block):
+    texts = [("a bc def",), ("xa bcd",), ("a bc def",), (None,), ("",), ("def",)]
+    phrases = ["", "a bc", "a bc", "bc", "c d", "ef", "f", "a bc def", " bc", "zz", "e", "d", "def", "abc"]
+    rows = spark.createDataFrame(texts, "t string").repartition(3)
+    index = X.phrase_index(spark.createDataFrame([(p,) for p in phrases], "phrase string"))
+    found = X.phrases_in(rows, "t", index, block, counted=True).groupBy("phrase").agg(F.sum("n").alias("n")).collect()
+    assert {r.phrase: r.n for r in found} == counted([t for t, in texts], phrases)
+    assert X.phrases_in(rows, "t", index.limit(0), block, counted=True).count() == 0
+
+
+def test_more_phrases_are_no_more_passes(spark):
+    """A quarter of a million phrases: the texts are read once, and what they hold is counted before it is rows."""
+    phrases = spark.range(250_000).select(F.concat(F.lit("ation ment"), F.col("id").cast("string"), F.lit("x")).alias("phrase"))
+    texts = spark.range(50).select(F.concat(F.lit("station mention ation ment"), F.col("id").cast("string"), F.lit("x ation ment")).alias("t"))
+    found = X.phrases_in(texts.union(texts), "t", X.phrase_index(phrases), counted=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan and "Exchange" not in plan
+    found = found.groupBy("phrase").agg(F.sum("n").alias("n")).collect()
+    assert {r.phrase: r.n for r in found} == {f"ation ment{k}x": 2 for k in range(50)}
+
+
+def test_openings_are_counted_where_they_are_found(spark, small):
+    plan = entry.queries()["phrase_matches"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan and "Python" not in plan
